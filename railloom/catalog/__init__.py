@@ -1,4 +1,4 @@
 """Every registered query with its check SQL, over the star-schema test tables."""
 
-from . import summaries  # noqa: F401
+from . import scalars, summaries  # noqa: F401
 from .registry import CHECKS, QUERIES  # noqa: F401

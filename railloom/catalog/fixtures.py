@@ -13,7 +13,16 @@ from pyspark.sql import functions as F
 
 from ..operators.sequence import RunLayout, detect_layout, scan
 
-BASE = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+# Columns the views read; declared, never inferred.
+BASE = {
+    "nation": "n_nationkey INT",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_mktsegment STRING",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_totalprice DOUBLE, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE,"
+    " l_extendedprice DOUBLE, l_returnflag STRING",
+    "events": "ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING",
+}
 
 _PREFIX = """CASE {k} % 8 WHEN 0 THEN 'cbl' WHEN 1 THEN 'cbr' WHEN 2 THEN 'cga' WHEN 3 THEN 'cor'
  WHEN 4 THEN 'mbn' WHEN 5 THEN 'mme' WHEN 6 THEN 'mun' ELSE 'mss' END"""
@@ -215,7 +224,7 @@ class Tables:
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._frames:
             if name in BASE:
-                self._frames[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+                self._frames[name] = self.spark.read.schema(BASE[name]).parquet(f"{self.sf_dir}/{name}.parquet")
             elif name == "fx_itin":
                 self._frames[name] = self._itin()
             else:

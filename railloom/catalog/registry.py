@@ -11,6 +11,15 @@ from .fixtures import Tables, with_views
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
+_TABLES: dict[tuple[str, str], Tables] = {}
+
+
+def tables(spark: SparkSession, sf_dir: str) -> Tables:
+    """Lazy frames of a data folder, analysed once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _TABLES:
+        _TABLES[key] = Tables(tune(spark), sf_dir)
+    return _TABLES[key]
 
 
 def query(name: str, sql: str | None = None):
@@ -21,7 +30,7 @@ def query(name: str, sql: str | None = None):
             raise ValueError(f"query {name} is registered twice")
 
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(Tables(tune(spark), sf_dir))
+            return fn(tables(tune(spark), sf_dir))
 
         run.__name__ = name
         QUERIES[name] = run
