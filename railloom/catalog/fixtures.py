@@ -227,6 +227,10 @@ class Tables:
                 self._frames[name] = self.spark.read.schema(BASE[name]).parquet(f"{self.sf_dir}/{name}.parquet")
             elif name == "fx_itin":
                 self._frames[name] = self._itin()
+            elif name == "link_shape":
+                self._frames[name] = self._link_shape()
+            elif name == "zone_ring":
+                self._frames[name] = self._zone_ring()
             else:
                 self._frames[name] = self._view(name)
         return self._frames[name]
@@ -260,3 +264,27 @@ class Tables:
             (F.col("l_quantity").cast("double") / 10).alias("trv_time"),
             ((key * 7919) % 90000).cast("int").alias("dep_time"),
         )
+
+    def _link_shape(self) -> DataFrame:
+        """fx_link with its three vertices as an array."""
+        ends = self["fx_node"].select("node", "point_x", "point_y")
+        a = ends.toDF("a", "ax", "ay")
+        b = ends.toDF("b", "bx", "by")
+
+        def point(x, y):
+            return F.struct(x.alias("x"), y.alias("y"))
+
+        ax, ay, bx, by = (F.col(c) for c in ("ax", "ay", "bx", "by"))
+        mid = point((ax + bx) / 2 + 1056, (ay + by) / 2 + 528)
+        shape = F.array(point(ax, ay), mid, point(bx, by))
+        joined = self["fx_link"].join(a, "a").join(b, "b")
+        return joined.select("a", "b", "miles", "directions", "modes1", "modes2", shape.alias("vertices"))
+
+    def _zone_ring(self) -> DataFrame:
+        x, y, r = F.col("cx"), F.col("cy"), F.col("r")
+
+        def point(px, py):
+            return F.struct(px.alias("x"), py.alias("y"))
+
+        ring = F.array(point(x - r, y), point(x, y + r), point(x + r, y), point(x, y - r))
+        return self["fx_zone"].select("zone", ring.alias("ring"))
