@@ -124,6 +124,18 @@ SELECT r.line, r.mode, i.tr_line, i.it_order, i.itin_a, i.itin_b,
        CASE WHEN r.line LIKE 'metra%' THEN substr('ABCDEFGHIJKMX', CAST(1 + i.itin_b % 13 AS INT), 1)
             ELSE CAST(1 + i.itin_b % 11 AS STRING) END AS zone_id_b
 FROM fx_itin i JOIN fx_feed_run r ON CAST(substr(i.tr_line, 4, 7) AS BIGINT) = r.o_orderkey""",
+    # Coding sheets: one header per order, every itinerary row; upper-case names, some half orders.
+    "fx_fhead": """
+SELECT upper(tr_line) AS tr_line, CASE WHEN o_orderkey % 29 = 0 THEN 'CM' ELSE mode END AS mode,
+       CAST(1 + o_orderkey % 7 AS INT) AS action, CASE o_orderkey % 4 WHEN 0 THEN '234567' WHEN 1 THEN '4567'
+         WHEN 2 THEN '67' ELSE '' END AS scenario, '1234' AS tod, 'o''hare ' || longname || ' line' AS description,
+       'notes on ' || longname || ' and more text' AS notes, CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE 30 END AS speed
+FROM fx_run""",
+    "fx_fitin": """
+SELECT upper(tr_line) AS tr_line, CASE WHEN (itin_a + itin_b) % 31 = 0 THEN CAST(it_order AS DOUBLE) + 0.5e0 ELSE CAST(it_order AS DOUBLE) END AS ord,
+       itin_a, itin_b, CASE WHEN itin_b % 3 = 0 THEN CAST(39000 + itin_b % 100 AS INT) END AS layover, dw_code,
+       CASE WHEN itin_a % 6 = 0 THEN NULL ELSE trv_time / 3 END AS trv_time, CAST(NULL AS DOUBLE) AS zn_fare
+FROM fx_itin""",
     # Future itinerary rows keyed by line group and link, one block per action.
     "fx_pair": """
 SELECT DISTINCT substr(tr_line, 1, 3) AS ln, itin_a, itin_b FROM fx_itin WHERE itin_a <> itin_b""",
