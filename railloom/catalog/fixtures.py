@@ -11,6 +11,8 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.core import round_half_away
+from ..operators.itinerary import measure
 from ..operators.sequence import RunLayout, detect_layout, scan
 
 # Columns the views read; declared, never inferred.
@@ -175,6 +177,25 @@ FROM fx_link l JOIN (SELECT 2 AS n, 1 AS o UNION ALL SELECT 2, 2 UNION ALL SELEC
                      UNION ALL SELECT 3, 2 UNION ALL SELECT 3, 3) k
   ON k.n = CASE WHEN (l.a + l.b) % 3 = 0 THEN 3 ELSE 2 END
 WHERE (l.a * 13 + l.b) % 5 = 0 AND l.a < l.b""",
+    # Link ends after the edit: split links are drawn in pieces, all others in one.
+    "fx_link_end": """
+SELECT q.a, q.b, CAST(q.a AS BIGINT) * 10000000 + q.b * 10 + q.o AS orig_fid, q.miles, (q.o + 1) * 100.0e0 AS shape_leng,
+       CASE WHEN k.e = 0 THEN 'start' ELSE 'end' END AS which,
+       n1.point_x + (n2.point_x - n1.point_x) * (q.o - 1 + k.e) / q.n AS point_x,
+       n1.point_y + (n2.point_y - n1.point_y) * (q.o - 1 + k.e) / q.n AS point_y
+FROM (SELECT l.a, l.b, l.miles, coalesce(p.o, 1) AS o, coalesce(p.n, 1) AS n
+      FROM fx_link l LEFT JOIN fx_piece p ON l.a = p.a AND l.b = p.b) q
+JOIN fx_node n1 ON q.a = n1.node JOIN fx_node n2 ON q.b = n2.node
+CROSS JOIN (SELECT 0 AS e UNION ALL SELECT 1) k""",
+    # Itinerary with measures, fares and a clock of 600 s per segment.
+    "fx_mitin": """
+SELECT i.tr_line, i.it_order, i.itin_a, i.itin_b, i.dw_code, i.layover, i.trv_time,
+       CAST(i.dep_time + (i.it_order - 1) * 600 AS INT) AS dep_time, CAST(i.dep_time + i.it_order * 600 - 120 AS INT) AS arr_time,
+       CAST(i.itin_a % 5 AS DOUBLE) AS zn_fare,
+       floor((sum(coalesce(l.miles, 0)) OVER w - coalesce(l.miles, 0)) * 100 + 0.5 + 1e-9) / 100 AS f_meas,
+       floor(sum(coalesce(l.miles, 0)) OVER w * 100 + 0.5 + 1e-9) / 100 AS t_meas
+FROM fx_itin i LEFT JOIN fx_link l ON i.itin_a = l.a AND i.itin_b = l.b
+WINDOW w AS (PARTITION BY i.tr_line ORDER BY i.it_order)""",
     "fx_deleted": "SELECT node, label FROM fx_node WHERE node % 7 = 3",
     # People movers: a tenth of the links, open from a scenario on.
     "fx_mover": """
@@ -239,6 +260,8 @@ class Tables:
                 self._frames[name] = self.spark.read.schema(BASE[name]).parquet(f"{self.sf_dir}/{name}.parquet")
             elif name == "fx_itin":
                 self._frames[name] = self._itin()
+            elif name == "fx_mitin":
+                self._frames[name] = self._measured_itin()
             elif name == "link_shape":
                 self._frames[name] = self._link_shape()
             elif name == "zone_ring":
@@ -277,6 +300,18 @@ class Tables:
             ((key * 7919) % 90000).cast("int").alias("dep_time"),
         )
 
+    def _measured_itin(self) -> DataFrame:
+        lengths = self["fx_link"].select(F.col("a").alias("itin_a"), F.col("b").alias("itin_b"), "miles")
+        rows = self["fx_itin"].join(lengths, ["itin_a", "itin_b"], "left").na.fill(0.0, ["miles"])
+        rows = measure(rows, self.layout)
+        order = F.col("it_order")
+        return rows.select(
+            "tr_line", "it_order", "itin_a", "itin_b", "dw_code", "layover", "trv_time",
+            (F.col("dep_time") + (order - 1) * 600).alias("dep_time"), (F.col("dep_time") + order * 600 - 120).alias("arr_time"),
+            (F.col("itin_a") % 5).cast("double").alias("zn_fare"),
+            round_half_away("f_meas", 2).alias("f_meas"), round_half_away("t_meas", 2).alias("t_meas"),
+        )
+
     def _link_shape(self) -> DataFrame:
         """fx_link with its three vertices as an array."""
         ends = self["fx_node"].select("node", "point_x", "point_y")
