@@ -145,12 +145,19 @@ SELECT DISTINCT substr(tr_line, 1, 3) AS ln, itin_a, itin_b FROM fx_itin WHERE i
 SELECT ln, itin_a, itin_b, itin_a + 5000 AS new, 1 + (itin_a + itin_b) % 2 AS nd
 FROM fx_pair WHERE (itin_a * 7 + itin_b) % 13 = 0""",
     "fx_cut": """
-SELECT ln, itin_a, itin_b, CASE WHEN itin_a % 2 = 0 THEN 0.2 ELSE 0.35 END AS reduc
+SELECT ln, itin_a, itin_b, CASE WHEN itin_a % 2 = 0 THEN 0.2e0 ELSE 0.35e0 END AS reduc
 FROM fx_pair WHERE (itin_a + itin_b) % 9 = 0""",
     "fx_station": """
 SELECT ln, itin_a, itin_b, itin_a + 6000 AS new,
        CASE itin_a % 3 WHEN 0 THEN '0.5' WHEN 1 THEN '1:0.25:23:0.4:4:1' ELSE '23:0' END AS dw_code
 FROM fx_pair WHERE (itin_a * 3 + itin_b) % 17 = 0""",
+    # Drawn features of the travel-time projects: three vertices per pair.
+    "fx_cut_vertex": """
+SELECT c.ln || CASE WHEN c.itin_a % 2 = 0 THEN '901' ELSE '902' END AS tr_line, CAST(c.itin_a AS BIGINT) * 100000 + c.itin_b AS link, p.seq,
+       CASE p.seq WHEN 1 THEN n1.point_x WHEN 3 THEN n2.point_x ELSE (n1.point_x + n2.point_x) / 2 + 7 END AS x,
+       CASE p.seq WHEN 1 THEN n1.point_y WHEN 3 THEN n2.point_y ELSE (n1.point_y + n2.point_y) / 2 + 7 END AS y
+FROM fx_cut c JOIN fx_node n1 ON c.itin_a = n1.node JOIN fx_node n2 ON c.itin_b = n2.node
+CROSS JOIN (SELECT 1 AS seq UNION ALL SELECT 2 UNION ALL SELECT 3) p""",
     # Consolidation spans: one end per line group and start node.
     "fx_span": """
 SELECT substr(x.tr_line, 1, 3) AS ln, x.itin_a AS start_node, min(y.itin_b) AS end_node,
@@ -163,7 +170,7 @@ SELECT p.ln, k.it_order, CAST(CASE k.it_order WHEN -2 THEN 48101 WHEN -1 THEN 48
          WHEN 1001 THEN p.node ELSE 48103 END AS INT) AS itin_a,
        CAST(CASE k.it_order WHEN -2 THEN 48102 WHEN -1 THEN p.node
          WHEN 1001 THEN 48103 ELSE 48104 END AS INT) AS itin_b,
-       '0' AS layover, '0' AS dw_code, 2.5 AS trv_time
+       '0' AS layover, '0' AS dw_code, 2.5e0 AS trv_time, 'p1' AS project
 FROM (SELECT ln, min(itin_a) AS node FROM fx_pair GROUP BY ln) p
 CROSS JOIN (SELECT -2 AS it_order UNION ALL SELECT -1 UNION ALL SELECT 1001 UNION ALL SELECT 1002) k""",
     # Pieces of split links: two or three per link, temporary node numbers in between.
