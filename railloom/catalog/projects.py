@@ -114,7 +114,7 @@ def stop_allocation(t):
     on = ["ln", "itin_a", "itin_b"]
     rows = _base(t).withColumn("ln", C.line_group("tr_line")).join(t["fx_station"].withColumnRenamed("dw_code", "share"), on)
     rows = rows.withColumn("rate", A.stop_share("share", "4"))
-    out = A.allocate_stops(rows, [*on, "new"], ["dep_time", "tr_line", "it_order"])
+    out = A.allocate_stops(rows, [*on, "new"], ["dep_time", "tr_line", "it_order"], t.layout.total)
     return out.select("tr_line", "it_order", *on, "new", "stops")
 
 
@@ -125,8 +125,11 @@ def consolidated(t):
 
 @query("w11_span_marking", f"WITH {span_sql('fx_itin', 'x')} SELECT tr_line, new, p0, p1, {rnd('total', 6)} AS total FROM x_t")
 def span_marking(t):
-    spans = A.consolidation_spans(_base(t), t["fx_span"]).filter(F.col("p1").isNotNull())
-    return spans.select("tr_line", "new", "p0", "p1", C.round_half_away("total", 6).alias("total"))
+    marks = A.mark_spans(_base(t), t["fx_span"], (), t.layout).filter(F.col("new").isNotNull())
+    return marks.groupBy("tr_line").agg(
+        F.max("new").alias("new"), F.min("it_order").alias("p0"), F.max("it_order").alias("p1"),
+        C.round_half_away(F.max("total"), 6).alias("total"),
+    )
 
 
 @query("d27_line_extension", f"WITH {extend_sql('fx_itin', 'x')} {_sel('x')}")

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.core import line_group, period_value, revised_description, round_half_away
+from ..session import durable
 from .geometry import chain_nodes
 from .sequence import SHORT, RunLayout, scan
 from .tables import cut_by_range, first_per_key, rows_from
@@ -80,20 +81,21 @@ def stop_share(dw_code: Column | str, tod: Column | str) -> Column:
     return period_value(dw_code, tod)
 
 
-def allocate_stops(rows: DataFrame, group: Sequence[str], order: Sequence[str]) -> DataFrame:
+def allocate_stops(
+    rows: DataFrame, group: Sequence[str], order: Sequence[str], at_most: int | None = None
+) -> DataFrame:
     """Column `stops`: every `interval`-th row of its group stops until the share is used up.
 
     `rate` is the share, the same for all rows of a group; without a positive number of stops all pass.
     """
-    freq = rows.groupBy(*group).agg(F.count(F.lit(1)).alias("_freq"), F.max("rate").alias("rate"))
-    n = round_half_away(F.col("_freq") * F.col("rate"), 0)
-    freq = freq.withColumn("_stops", n).withColumn("_every", round_half_away(F.try_divide(F.col("_freq"), F.col("_stops")), 0))
-    cut, bucket = cut_by_range(rows, group, order)
-    seen = scan(cut, group, order, bucket=bucket, number="_k").drop("_range")
-    joined = seen.join(freq.drop("rate"), list(group), "left")
+    cut, bucket = cut_by_range(rows, group, order, at_most=at_most)
+    seen = scan(cut, group, order, bucket=bucket, number="_k", size="_freq").drop("_range")
+    stops = round_half_away(F.col("_freq") * F.col("rate"), 0)
+    seen = seen.withColumn("_stops", stops)
+    seen = seen.withColumn("_every", round_half_away(F.try_divide(F.col("_freq"), F.col("_stops")), 0))
     k, every = F.col("_k"), F.col("_every")
     hit = (F.col("_stops") > 0) & (F.pmod(k, F.greatest(every, F.lit(1.0))) == 0) & (k <= every * F.col("_stops"))
-    return joined.withColumn("stops", F.coalesce(hit, F.lit(False))).drop("_k", "_freq", "_stops", "_every")
+    return seen.withColumn("stops", F.coalesce(hit, F.lit(False))).drop("_k", "_freq", "_stops", "_every")
 
 
 def add_stations(
@@ -108,7 +110,7 @@ def add_stations(
     new = first_per_key(coded.select(*on, "new", F.col("dw_code").alias("share")), on, ["new"])
     all_rows = _with_group(itin).join(new, on, "left")
     cut = all_rows.filter(F.col("new") > 0).withColumn("rate", stop_share("share", tod))
-    cut = allocate_stops(cut, [*on, "new"], ["dep_time", "tr_line", "it_order"])
+    cut = allocate_stops(cut, [*on, "new"], ["dep_time", "tr_line", "it_order"], layout.total)
     half = round_half_away(F.col("trv_time") / 2 + 0.5, 1)
     first = {
         "half": F.lit(1), "itin_a": F.col("itin_a"), "itin_b": F.col("new"), "layover": F.lit("0"),
@@ -132,27 +134,40 @@ def add_stations(
 # --- 7: consolidated station --------------------------------------------------------------------------
 
 
-def consolidation_spans(itin: DataFrame, coded: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Per run the first coded span it passes: (tr_line, new, p0, p1, total); p1 null when no end follows.
+def mark_spans(itin: DataFrame, coded: DataFrame, by: Sequence[str] = (), layout: RunLayout = SHORT) -> DataFrame:
+    """Mark the first coded span each run passes.
 
-    Runs that already touch a coded station are left out.
+    Adds `new` (null outside the span), `at_start`, `at_end` and `total`, the time of the span. Runs that
+    already touch a coded station are left alone, and so are runs that never reach the end of the span.
+    All steps scan the runs in one order, so they share one shuffle.
     """
     key, on = [*by, "tr_line"], [*by, "ln", "itin_a"]
-    span = first_per_key(coded.select(*by, "ln", F.col("start_node").alias("itin_a"), F.col("end_node").alias("_end"), "new"), on, ["_end", "new"])
-    rows = _with_group(itin)
-    ends = rows_from(rows.select(*key, "itin_a", "itin_b"), {"new": "itin_a"}, {"new": "itin_b"}).select(*key, "new")
-    skip = ends.join(span.select(*by, "new").distinct(), [*by, "new"], "left_semi").select(*key).distinct()
-    hits = rows.join(span, on).join(skip, key, "left_anti")
-    first = hits.groupBy(*key).agg(
-        F.min("it_order").alias("p0"), F.min_by("_end", "it_order").alias("_end"), F.min_by("new", "it_order").alias("new")
+    span = coded.select(*by, "ln", F.col("start_node").alias("itin_a"), F.col("end_node").alias("_end"), F.col("new").alias("_new"))
+    rows = _with_group(itin).join(first_per_key(span, on, ["_end", "_new"]), on, "left")
+    known = coded.select(*by, "new").distinct()
+    for end, flag in (("itin_a", "_ka"), ("itin_b", "_kb")):
+        rows = rows.join(known.withColumnRenamed("new", end).withColumn(flag, F.lit(1)), [*by, end], "left")
+
+    def step(df, **outputs):
+        return scan(df, key, ["it_order"], bucket=layout.bucket("it_order"), **outputs)
+
+    hit, touch = F.col("_new").isNotNull(), F.coalesce("_ka", "_kb", F.lit(0))
+    rows = step(rows, running={"_hits": F.when(hit, 1).otherwise(0)}, total={"_touch": touch})
+    opens = hit & (F.col("_hits") == 1) & (F.col("_touch") == 0)
+    rows = step(rows.withColumn("at_start", opens), carry={"_span": F.when(opens, F.struct("_new", "_end"))})
+    closes = F.coalesce(F.col("itin_b") == F.col("_span._end"), F.lit(False))
+    ends = F.when(closes, 1).otherwise(0)
+    rows = step(rows.withColumn("_closes", closes), running={"_ends": ends}, total={"_any": ends})
+    inside = F.col("_span").isNotNull() & (F.col("_any") > 0) & ((F.col("_ends") == 0) | (F.col("_closes") & (F.col("_ends") == 1)))
+    rows = step(rows.withColumn("_in", inside), total={"total": F.when(inside, F.col("trv_time"))})
+    rows = rows.withColumns(
+        {
+            "new": F.when(F.col("_in"), F.col("_span._new")),
+            "at_start": F.col("_in") & F.col("at_start"),
+            "at_end": F.col("_in") & F.col("_closes"),
+        }
     )
-    after = rows.select(*key, "it_order", "itin_b", "trv_time").join(first, key).filter(F.col("it_order") >= F.col("p0"))
-    stop = after.filter(F.col("itin_b") == F.col("_end")).groupBy(*key).agg(F.min("it_order").alias("p1"))
-    spans = first.join(stop, key, "left")
-    inside = after.drop("p0", "_end", "new").join(spans.filter(F.col("p1").isNotNull()).select(*key, "p0", "p1"), key)
-    inside = inside.filter(F.col("it_order").between(F.col("p0"), F.col("p1")))
-    total = inside.groupBy(*key).agg(F.sum("trv_time").alias("total"))
-    return spans.join(total, key, "left").drop("_end")
+    return rows.select(*itin.columns, "new", "at_start", "at_end", "total")
 
 
 def consolidate_stations(itin: DataFrame, coded: DataFrame, by: Sequence[str] = (), layout: RunLayout = SHORT) -> DataFrame:
@@ -160,17 +175,23 @@ def consolidate_stations(itin: DataFrame, coded: DataFrame, by: Sequence[str] =
 
     Coded rows (ln, start_node, end_node, new). Both new segments take half of the total less half a minute.
     """
-    key = [*by, "tr_line"]
-    spans = consolidation_spans(itin, coded, by).filter(F.col("p1").isNotNull())
-    rows = itin.join(spans, key, "left")
-    p, p0, p1 = F.col("it_order"), F.col("p0"), F.col("p1")
-    rows = rows.filter(F.coalesce(~((p > p0) & (p < p1)), F.lit(True)))
+    rows = mark_spans(itin, coded, by, layout)
+    inside, new = F.col("new").isNotNull(), F.col("new").cast("int")
+    rows = rows.filter(~inside | F.col("at_start") | F.col("at_end"))
     half = round_half_away(F.col("total") / 2 - 0.5, 1)
-    into = F.struct(F.lit(1).alias("half"), F.col("itin_a").alias("a"), F.col("new").cast("int").alias("b"), half.alias("t"))
-    out_of = F.struct(F.lit(2).alias("half"), F.col("new").cast("int").alias("a"), F.col("itin_b").alias("b"), half.alias("t"))
-    same = F.struct(F.lit(1).alias("half"), F.col("itin_a").alias("a"), F.col("itin_b").alias("b"), F.col("trv_time").alias("t"))
-    parts = F.when((p == p0) & (p == p1), F.array(into, out_of)).when(p == p0, F.array(into)).when(p == p1, F.array(out_of))
-    rows = rows.withColumn("_v", F.explode(F.coalesce(parts, F.array(same))))
+
+    def part(n: int, a: Column, b: Column, t: Column) -> Column:
+        return F.struct(F.lit(n).alias("half"), a.alias("a"), b.alias("b"), t.alias("t"))
+
+    a, b = F.col("itin_a"), F.col("itin_b")
+    into, out_of = part(1, a, new, half), part(2, new, b, half)
+    parts = (
+        F.when(~inside, F.array(part(1, a, b, F.col("trv_time"))))
+        .when(F.col("at_start") & F.col("at_end"), F.array(into, out_of))
+        .when(F.col("at_start"), F.array(into))
+        .otherwise(F.array(out_of))
+    )
+    rows = rows.withColumn("_v", F.explode(parts))
     rows = rows.withColumns(
         {"half": F.col("_v.half"), "itin_a": F.col("_v.a"), "itin_b": F.col("_v.b"), "trv_time": F.col("_v.t")}
     )
@@ -193,26 +214,28 @@ def extend_lines(itin: DataFrame, coded: DataFrame, by: Sequence[str] = (), layo
     coded = coded.join(rank, [*by, "ln", "project"])
     turns = rank.agg(F.max("_turn")).first()[0] or 0
     for turn in range(1, turns + 1):
-        itin = _extend_once(itin, coded.filter(F.col("_turn") == turn), by, key, layout)
+        itin = _extend_once(itin if turn == 1 else durable(itin), coded.filter(F.col("_turn") == turn), by, key, layout)
     return itin
 
 
 def _extend_once(itin: DataFrame, coded: DataFrame, by, key, layout: RunLayout) -> DataFrame:
     front, back = coded.filter(F.col("it_order") < 0), coded.filter(F.col("it_order") > 1000)
     attach = [*by, "ln"]
-    at_front = front.groupBy(*attach).agg(F.max_by("itin_b", "it_order").alias("itin_a"))
-    at_back = back.groupBy(*attach).agg(F.min_by("itin_a", "it_order").alias("itin_b"))
-    rows = _with_group(itin)
-    ends = rows.groupBy(*key, "ln").agg(F.min_by("itin_a", "it_order").alias("itin_a"), F.max_by("itin_b", "it_order").alias("itin_b"))
-    heads = ends.select(*key, "ln", "itin_a").join(at_front, [*attach, "itin_a"], "left_semi").select(*key, "ln")
-    tails = ends.select(*key, "ln", "itin_b").join(at_back, [*attach, "itin_b"], "left_semi").select(*key, "ln")
-    new_cols = [c for c in itin.columns if c in coded.columns and c not in key]
-    added = heads.join(front.select(*attach, *[c for c in new_cols if c not in attach]), attach).withColumn("_part", F.lit(0))
-    behind = tails.join(back.select(*attach, *[c for c in new_cols if c not in attach]), attach).withColumn("_part", F.lit(2))
-    kept = rows.withColumn("_part", F.lit(1))
-    kept = kept.join(tails.select(*key).withColumn("_tail", F.lit(True)), key, "left")
-    over = F.col("_tail") & (F.coalesce(F.col("layover").try_cast("double"), F.lit(0.0)) > 0)
-    kept = kept.withColumn("layover", F.when(over, "0").otherwise(F.col("layover"))).drop("_tail")
+    at_front = front.groupBy(*attach).agg(F.max_by("itin_b", "it_order").alias("_front"))
+    at_back = back.groupBy(*attach).agg(F.min_by("itin_a", "it_order").alias("_back"))
+    rows = _with_group(itin).join(at_front, attach, "left").join(at_back, attach, "left")
+    rows = scan(rows, key, ["it_order"], bucket=layout.bucket("it_order"), first="_first", last="_last")
+    head = F.coalesce(F.col("_first") & (F.col("itin_a") == F.col("_front")), F.lit(False))
+    tail = F.coalesce(F.col("_last") & (F.col("itin_b") == F.col("_back")), F.lit(False))
+    rows = rows.withColumns({"_head": head, "_tail": tail})
+    ends = F.when(F.col("_tail"), 1).otherwise(0)
+    rows = scan(rows, key, ["it_order"], bucket=layout.bucket("it_order"), total={"_tails": ends})
+    new_cols = [c for c in itin.columns if c in coded.columns and c not in (*key, *attach)]
+    added = rows.filter("_head").select(*key, "ln").join(front.select(*attach, *new_cols), attach).withColumn("_part", F.lit(0))
+    behind = rows.filter("_tail").select(*key, "ln").join(back.select(*attach, *new_cols), attach).withColumn("_part", F.lit(2))
+    over = (F.col("_tails") > 0) & (F.coalesce(F.col("layover").try_cast("double"), F.lit(0.0)) > 0)
+    kept = rows.withColumns({"_part": F.lit(1), "layover": F.when(over, "0").otherwise(F.col("layover"))})
+    kept = kept.drop("_front", "_back", "_first", "_last", "_head", "_tail", "_tails")
     blank = F.coalesce(F.col("layover"), F.lit(""))
     extra = added.unionByName(behind).withColumn("layover", F.when(blank == "", "0").otherwise(F.col("layover")))
     both = kept.unionByName(extra, allowMissingColumns=True)
@@ -253,16 +276,19 @@ def apply_actions(
     by: Sequence[str] = (),
     layout: RunLayout = SHORT,
 ) -> DataFrame:
-    """All actions in their fixed order; an absent table leaves its action out."""
+    """All actions in their fixed order; an absent table leaves its action out.
+
+    Actions that read the itineraries several times start from a written state, so earlier actions run once.
+    """
     if shifts is not None:
         itin = shift_terminus(itin, shifts, by)
     if cuts is not None:
         whole = whole_lines if whole_lines is not None else cuts.select(*by, "ln").limit(0)
         itin = cut_times(itin, cuts, whole, by)
     if stations is not None:
-        itin = add_stations(itin, stations, tod, by, layout)
+        itin = add_stations(durable(itin), stations, tod, by, layout)
     if spans is not None:
         itin = consolidate_stations(itin, spans, by, layout)
     if extensions is not None:
-        itin = extend_lines(itin, extensions, by, layout)
+        itin = extend_lines(durable(itin), extensions, by, layout)
     return itin

@@ -66,7 +66,8 @@ def tod_runs(base: DataFrame, coded: DataFrame, scenarios: Sequence[int]) -> Dat
     tods = F.filter(F.array(*[F.lit(p) for p in ALL_TODS]), lambda p: F.col("_t").contains(p.cast("string")))
     new = new.withColumnRenamed("tod", "_t").withColumn("tod", F.explode(tods)).drop("_t", "action")
     value = C.period_value("headway", F.col("tod"))
-    new = new.withColumns({"acthdwy": value, "headway": value, "_src": F.lit(1)})
+    # Two steps: a lambda over `headway` must not sit beside its replacement in one projection.
+    new = new.withColumn("acthdwy", value).withColumns({"headway": F.col("acthdwy"), "_src": F.lit(1)})
     both = own.unionByName(new, allowMissingColumns=True)
     return first_per_key(both, ["scenario", "tod", "tr_line"], ["_src"]).drop("_src")
 

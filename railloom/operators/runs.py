@@ -19,14 +19,16 @@ def overnight_order(runs: DataFrame, tod: str = "tod") -> DataFrame:
     return runs.withColumns({"priority": pm, "hour_rank": F.coalesce(hour, F.lit(-1))})
 
 
-def departure_gaps(runs: DataFrame, group: Sequence[str], tod: str = "tod") -> DataFrame:
+def departure_gaps(
+    runs: DataFrame, group: Sequence[str], tod: str = "tod", at_most: int | None = None
+) -> DataFrame:
     """Minutes since the previous departure of the group; a lone run stands for the whole period.
 
     A gap longer than the period is folded over midnight and a zero gap counts as the period. The first
     run of a larger group has no gap and is left out.
     """
     order = ["priority", "hour_rank", "start_sec", "tr_line"]
-    ranked, bucket = cut_by_range(overnight_order(runs, tod), group, order)
+    ranked, bucket = cut_by_range(overnight_order(runs, tod), group, order, at_most=at_most)
     seen = scan(ranked, group, order, bucket=bucket, size="runs", first="_first", lag={"_prev": F.col("start_sec")})
     period = period_minutes(tod)
     gap = F.when(F.col("runs") == 1, period).otherwise(F.abs(F.col("start_sec") - F.col("_prev")) / 60)

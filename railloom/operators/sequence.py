@@ -21,9 +21,13 @@ _BK = "_bucket"
 
 @dataclass(frozen=True)
 class RunLayout:
-    """`rows` is None when every key is known to fit one task, else the bucket length."""
+    """`rows` is None when every key is known to fit one task, else the bucket length.
+
+    `total` is the number of rows of the measured table, where known.
+    """
 
     rows: int | None = None
+    total: int | None = None
 
     def bucket(self, position: str | Column) -> Column | None:
         if self.rows is None:
@@ -37,10 +41,11 @@ SHORT = RunLayout()
 
 def detect_layout(df: DataFrame, key: str, limit: int = ROWS_PER_TASK) -> RunLayout:
     """Measure the longest key once. A table of at most `limit` rows needs no look at the keys."""
-    if df.count() <= limit:
-        return SHORT
+    total = df.count()
+    if total <= limit:
+        return RunLayout(None, total)
     longest = df.groupBy(key).count().agg(F.max("count")).first()[0]
-    return SHORT if longest <= limit else RunLayout(limit)
+    return RunLayout(None if longest <= limit else limit, total)
 
 
 def scan(

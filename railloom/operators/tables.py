@@ -61,14 +61,15 @@ def require_same_schema(have: DataFrame, add: DataFrame) -> None:
 
 
 def cut_by_range(
-    df: DataFrame, by: Sequence[str], order: Sequence[str], limit: int = ROWS_PER_TASK
+    df: DataFrame, by: Sequence[str], order: Sequence[str], limit: int = ROWS_PER_TASK, at_most: int | None = None
 ) -> tuple[DataFrame, Column | None]:
     """Prepare a scan over few, possibly huge keys.
 
-    Up to `limit` rows any key fits one task. Beyond it the rows are range partitioned on key and order
-    and written out once, so that the partition number is a stable, order-preserving bucket.
+    Up to `limit` rows any key fits one task; `at_most` is a bound the caller knows, else the rows are
+    counted. Beyond it they are range partitioned on key and order and written out once, so that the
+    partition number is a stable, order-preserving bucket.
     """
-    if df.count() <= limit:
+    if (df.count() if at_most is None else at_most) <= limit:
         return df, None
     cut = durable(df.repartitionByRange(*by, *order).withColumn("_range", F.spark_partition_id()))
     return cut, F.col("_range")
