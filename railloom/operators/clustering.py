@@ -22,8 +22,6 @@ from ..session import durable
 from .sequence import ROWS_PER_TASK, scan
 from .tables import cut_by_range
 
-ROUNDS_PER_WRITE = 2
-
 
 def _profile(rows: DataFrame, key: list[str], threshold: int) -> DataFrame:
     """Per run: number of segments, fingerprint of the set, and the overlap it asks for as a leader."""
@@ -63,21 +61,20 @@ def _decide(runs: DataFrame, edges: DataFrame, key: list[str]) -> DataFrame:
     """(key.., run, is_leader): a run leads when every earlier run covering it is known not to lead."""
     covered = edges.select(*key, "run").distinct()
     known = runs.join(covered, [*key, "run"], "left_anti").select(*key, "run", F.lit(1).alias("is_leader"), F.lit(1).alias("fresh"))
-    while True:
-        for _ in range(ROUNDS_PER_WRITE):
-            leaders = known.select(*key, F.col("run").alias("leader"), "is_leader")
-            tested = edges.join(leaders, [*key, "leader"], "left").groupBy(*key, "run").agg(
-                F.max("is_leader").alias("_led"), F.max(F.col("is_leader").isNull().cast("int")).alias("_open")
-            )
-            settled = tested.filter((F.col("_led") == 1) | (F.col("_open") == 0)).select(
-                *key, "run", F.when(F.col("_led") == 1, 0).otherwise(1).alias("is_leader"), F.lit(1).alias("fresh")
-            )
-            # A settled run stays settled; only runs not seen before stay fresh.
-            both = known.withColumn("fresh", F.lit(0)).unionByName(settled)
-            known = both.groupBy(*key, "run").agg(F.max("is_leader").alias("is_leader"), F.min("fresh").alias("fresh"))
-        known = durable(known)
-        if known.filter(F.col("fresh") == 1).isEmpty():
-            return known.drop("fresh")
+    known = durable(known)
+    while not known.filter(F.col("fresh") == 1).isEmpty():
+        leaders = known.select(*key, F.col("run").alias("leader"), "is_leader")
+        tested = edges.join(leaders, [*key, "leader"], "left").groupBy(*key, "run").agg(
+            F.max("is_leader").alias("_led"), F.max(F.col("is_leader").isNull().cast("int")).alias("_open")
+        )
+        settled = tested.filter((F.col("_led") == 1) | (F.col("_open") == 0)).select(
+            *key, "run", F.when(F.col("_led") == 1, 0).otherwise(1).alias("is_leader"), F.lit(1).alias("fresh")
+        )
+        # A settled run stays settled; only runs not seen before stay fresh.
+        both = known.withColumn("fresh", F.lit(0)).unionByName(settled)
+        folded = both.groupBy(*key, "run").agg(F.max("is_leader").alias("is_leader"), F.min("fresh").alias("fresh"))
+        known = durable(folded)
+    return known.drop("fresh")
 
 
 def cover_pairs(
