@@ -216,7 +216,13 @@ SELECT CAST(n_nationkey * 2 + k.d + 1 AS INT) AS zone, ((n_nationkey * 2 + k.d)
 FROM nation CROSS JOIN (SELECT 0 AS d UNION ALL SELECT 1) k WHERE n_nationkey * 2 + k.d < 49""",
 }
 
-_NAME = re.compile(r"\b(" + "|".join([*VIEWS, *BASE]) + r")\b(?!\s*\()")
+# A row spread over a few constants: a cross join in the check, an explode in Spark.
+_SPREAD = re.compile(r"CROSS JOIN \(SELECT (-?\d+) AS (\w+)((?:\s+UNION ALL SELECT -?\d+)+)\) (\w+)")
+
+
+def _lateral(m: re.Match) -> str:
+    values = [m[1], *re.findall(r"SELECT (-?\d+)", m[3])]
+    return f"LATERAL VIEW explode(array({', '.join(values)})) {m[4]} AS {m[2]}"
 
 
 def _sources(sql: str) -> list[str]:
@@ -267,6 +273,8 @@ class Tables:
                 self._frames[name] = self.spark.read.schema(BASE[name]).parquet(f"{self.sf_dir}/{name}.parquet")
             elif name == "fx_itin":
                 self._frames[name] = self._itin()
+            elif name == "fx_net":
+                self._frames[name] = self._net()
             elif name == "fx_mitin":
                 self._frames[name] = self._measured_itin()
             elif name == "link_shape":
@@ -278,7 +286,7 @@ class Tables:
         return self._frames[name]
 
     def _view(self, name: str) -> DataFrame:
-        text = VIEWS[name]
+        text = _SPREAD.sub(_lateral, VIEWS[name])
         sources = _sources(text)
         for s in sources:
             text = re.sub(rf"\b(FROM|JOIN)\s+{s}\b", rf"\1 {{{s}}}", text)
@@ -307,6 +315,16 @@ class Tables:
             ((key * 7919) % 90000).cast("int").alias("dep_time"),
         )
 
+    def _net(self) -> DataFrame:
+        """Three links out of every supplier, ends by multiples of its number."""
+        n = self["supplier"].count()
+        steps = F.array(*[F.struct(F.lit(m).alias("m"), F.lit(c).alias("c")) for m, c in ((1, 1), (3, 1), (7, 2))])
+        rows = self["supplier"].select("s_suppkey", F.explode(steps).alias("k"))
+        a = (30001 + F.col("s_suppkey")).cast("int")
+        b = (30001 + (F.col("s_suppkey") * F.col("k.m") + F.col("k.c")) % n).cast("int")
+        links = rows.select(a.alias("a"), b.alias("b")).filter(F.col("a") != F.col("b")).distinct()
+        return links.withColumn("miles", (1 + (F.col("a") * 31 + F.col("b") * 17) % 97).cast("double") / 10)
+
     def _measured_itin(self) -> DataFrame:
         lengths = self["fx_link"].select(F.col("a").alias("itin_a"), F.col("b").alias("itin_b"), "miles")
         rows = self["fx_itin"].join(lengths, ["itin_a", "itin_b"], "left").na.fill(0.0, ["miles"])

@@ -230,18 +230,27 @@ def _extend_once(itin: DataFrame, coded: DataFrame, by, key, layout: RunLayout)
     rows = rows.withColumns({"_head": head, "_tail": tail})
     ends = F.when(F.col("_tail"), 1).otherwise(0)
     rows = scan(rows, key, ["it_order"], bucket=layout.bucket("it_order"), total={"_tails": ends})
-    new_cols = [c for c in itin.columns if c in coded.columns and c not in (*key, *attach)]
-    added = rows.filter("_head").select(*key, "ln").join(front.select(*attach, *new_cols), attach).withColumn("_part", F.lit(0))
-    behind = rows.filter("_tail").select(*key, "ln").join(back.select(*attach, *new_cols), attach).withColumn("_part", F.lit(2))
     over = (F.col("_tails") > 0) & (F.coalesce(F.col("layover").try_cast("double"), F.lit(0.0)) > 0)
-    kept = rows.withColumns({"_part": F.lit(1), "layover": F.when(over, "0").otherwise(F.col("layover"))})
-    kept = kept.drop("_front", "_back", "_first", "_last", "_head", "_tail", "_tails")
-    blank = F.coalesce(F.col("layover"), F.lit(""))
-    extra = added.unionByName(behind).withColumn("layover", F.when(blank == "", "0").otherwise(F.col("layover")))
-    both = kept.unionByName(extra, allowMissingColumns=True)
-    # One order for all three parts: front orders are negative, the back starts behind any run.
-    both = both.withColumn("_at", F.col("it_order").cast("long") + F.when(F.col("_part") == 2, 1 << 40).otherwise(0))
-    return _renumber(both, by, ["_at"], layout).select(*itin.columns)
+    rows = rows.withColumn("layover", F.when(over, "0").otherwise(F.col("layover")))
+    # An end row also stands for the coded rows to add there; those carry the line as join key, while
+    # the row itself carries its own name, so that a busy line does not gather all its segments.
+    parts = F.array_compact(F.array(F.when(F.col("_head"), 0), F.lit(1), F.when(F.col("_tail"), 2)))
+    rows = rows.withColumn("_part", F.explode(parts))
+    own = F.col("_part") == 1
+    rows = rows.withColumn("_at_line", F.when(own, F.concat(F.lit("~"), F.col("tr_line"))).otherwise(F.col("ln")))
+    new_cols = [c for c in itin.columns if c in coded.columns and c not in (*key, *attach)]
+    part = F.when(F.col("it_order") < 0, 0).otherwise(2)
+    extra = front.unionByName(back).withColumns({"_part": part, "_at_line": F.col("ln")})
+    extra = extra.select(*by, "_part", "_at_line", *[F.col(c).alias(f"_x_{c}") for c in new_cols])
+    rows = rows.join(extra, [*by, "_part", "_at_line"], "left")
+    blank = F.coalesce(F.col("_x_layover"), F.lit("")) == ""
+    rows = rows.withColumn("_x_layover", F.when(blank, "0").otherwise(F.col("_x_layover")))
+    values = {c: F.when(own, F.col(c)).otherwise(F.col(f"_x_{c}")) for c in new_cols}
+    values.update({c: F.when(own, F.col(c)) for c in itin.columns if c not in (*new_cols, *key, *attach)})
+    rows = rows.withColumns(values)
+    # One order for all parts: front orders are negative, the back starts behind any run.
+    rows = rows.withColumn("_at", F.col("it_order").cast("long") + F.when(F.col("_part") == 2, 1 << 40).otherwise(0))
+    return _renumber(rows, by, ["_at"], layout).select(*itin.columns)
 
 
 # --- all of them --------------------------------------------------------------------------------------

@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.core import is_junction, round_half_away
+from ..session import durable
 from . import itinerary as I
 from .sequence import SHORT, RunLayout, scan
 from .spatial import number_points
@@ -28,7 +29,8 @@ def split_pieces(ends: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFram
 
     Miles are shared by drawn length. A new point gets one temporary number for all pieces that meet there.
     """
-    marked = split_ends(ends, nodes)
+    # Read four times below, so it is written once.
+    marked = durable(split_ends(ends, nodes))
     temp = number_points(marked.filter("fresh"), FIRST_TEMPORARY)
     placed = marked.join(temp, ["point_x", "point_y"], "left")
     start = F.col("which") == "start"

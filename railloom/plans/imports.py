@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.core import MAX_ZONE
+from ..functions.core import MAX_ZONE, round_half_away
 from ..operators import coding as D
 from ..operators import feed as S
 from ..operators import itinerary as I
@@ -36,7 +36,8 @@ def import_feed(
     good, bad = S.usable_segments(segments)
     routes = durable(S.format_runs(runs, good, base))
     rows = good.join(routes.select("line", "tr_line", "mode"), "line")
-    rows = S.fold_zero_pairs(rows.withColumn("ltime", F.round("ltime", 1)), layout)
+    rows = durable(rows.withColumn("ltime", round_half_away("ltime", 1)))
+    rows = S.fold_zero_pairs(rows, layout)
     rows = durable(S.add_zone_fares(rows, fares))
     _, hold = S.split_matched(rows, lengths)
     filled = durable(S.fill_gaps(rows, lengths, layout, ranges))
