@@ -10,7 +10,7 @@ from railloom.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session("4", 4)
+    session = local_session("8", 4)
     yield session
     session.stop()
 
