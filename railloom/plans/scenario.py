@@ -19,6 +19,7 @@ from ..operators.links import both_directions
 from ..operators.sequence import SHORT, RunLayout
 from ..operators.spatial import node_zones
 from ..operators.summary import line_summary
+from ..operators.tables import first_per_key
 from ..session import durable
 from ..sinks import layouts as L
 from ..sinks.writers import with_header, write_csv, write_text
@@ -87,12 +88,13 @@ def build_scenarios(
     if zones is not None:
         table = table.join(node_zones(nodes, zones, zone_cell).select("node", "zone"), "node", "left")
     table = durable(table)
-    lengths = both_directions(base).select("scenario", "a", "b", "miles").dropDuplicates(["scenario", "a", "b"])
+    lengths = both_directions(base).select("scenario", "a", "b", "miles", "opposite")
+    lengths = first_per_key(lengths, ["scenario", "a", "b"], ["opposite", "miles"]).drop("opposite")
     summed = final.filter(F.col("tod").isin(2, 4))
     summary = scenario_summary(summed, lengths, kept.filter(F.col("tod").isin(2, 4)))
     found = Q.violations(
         Q.too_many_layovers(rows, F.coalesce(F.col("layover").try_cast("double"), F.lit(0.0)) > 0),
-        Q.junction_stops(final), Q.link_faults(net), Q.node_faults(table.dropDuplicates(["node", "scenario", "tod"]).select("node", "point_x", "point_y").distinct()),
+        Q.junction_stops(final), Q.link_faults(net), Q.node_faults(table.select("node", "point_x", "point_y").distinct()),
     )
     return Scenario(kept, final, net, table, summary, found)
 
@@ -116,7 +118,8 @@ def write_scenarios(built: Scenario, vertices: DataFrame, path: str, date: str,
     Text folders are partitioned by scenario and period; their part files follow each other in order.
     """
     spark = built.itinerary.sparkSession
-    keys = [tuple(r) for r in built.runs.select(*BY).distinct().orderBy(*BY).limit(400).collect()]
+    # One header per scenario asked for and period.
+    keys = [tuple(r) for r in built.runs.select(*BY).distinct().orderBy(*BY).collect()]
 
     def header(texts) -> DataFrame:
         data = [(s, p, i, line) for s, p in keys for i, line in enumerate(texts(s, p))]
