@@ -4,6 +4,7 @@ from .chat import OP2_SQL, op2_schema_fingerprints
 from .packing import op10_power_of_two
 from .resharding import op3_flow_resharding
 from .token_files import op4_bit_planes
+from .toxicity import op9_kneser_ney
 
-QUERIES = {f.__name__: f for f in (op2_schema_fingerprints, op3_flow_resharding, op4_bit_planes, op10_power_of_two)}
+QUERIES = {f.__name__: f for f in (op2_schema_fingerprints, op3_flow_resharding, op4_bit_planes, op9_kneser_ney, op10_power_of_two)}
 CHECKS: dict[str, str] = {"op2_schema_fingerprints": OP2_SQL}
