@@ -71,7 +71,7 @@ def letter_ratios(texts: DataFrame) -> DataFrame:
 
 
 _KNOWN: dict[str, float] = {}
-_OF: list[int] = []
+_OF: list[np.ndarray] = []
 
 
 def word_ratio(word: str, ratios: np.ndarray) -> float:
@@ -84,9 +84,9 @@ def features(text: str | None, ratios: np.ndarray) -> tuple[float, float]:
     words = _WORD.findall((text or "").lower())
     if not words:
         return 0.0, 0.0
-    if _OF != [id(ratios)] or len(_KNOWN) > KNOWN_WORDS:
+    if not _OF or _OF[0] is not ratios or len(_KNOWN) > KNOWN_WORDS:
         _KNOWN.clear()
-        _OF[:] = [id(ratios)]
+        _OF[:] = [ratios]
     for w in set(words).difference(_KNOWN):
         _KNOWN[w] = word_ratio(w, ratios)
     r = np.array(list(map(_KNOWN.__getitem__, words)))
