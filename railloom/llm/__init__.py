@@ -2,11 +2,12 @@
 
 from .chat import OP2_SQL, op2_schema_fingerprints
 from .decontamination import op8_pigeonhole
+from .near_vectors import op7_small_worlds
 from .packing import op10_power_of_two
 from .pii import op6_disclosure
 from .resharding import op3_flow_resharding
 from .token_files import op4_bit_planes
 from .toxicity import op9_kneser_ney
 
-QUERIES = {f.__name__: f for f in (op2_schema_fingerprints, op3_flow_resharding, op4_bit_planes, op6_disclosure, op8_pigeonhole, op9_kneser_ney, op10_power_of_two)}
+QUERIES = {f.__name__: f for f in (op2_schema_fingerprints, op3_flow_resharding, op4_bit_planes, op6_disclosure, op7_small_worlds, op8_pigeonhole, op9_kneser_ney, op10_power_of_two)}
 CHECKS: dict[str, str] = {"op2_schema_fingerprints": OP2_SQL}
