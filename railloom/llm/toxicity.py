@@ -138,7 +138,8 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     spark = docs.sparkSession
     known = labels.filter(F.col(toxic).isNotNull() & (fold(doc_id) != 0)).groupBy(F.col(doc_id).alias("doc_id")).agg(F.max(toxic).cast("int").alias("toxic"))
     texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).filter(fold(doc_id) != 0)
-    joined = texts.join(known, "doc_id").withColumn("fold", fold("doc_id"))
+    # Labels grow with the documents, so both sides are always shuffled.
+    joined = texts.join(known.hint("merge"), "doc_id").withColumn("fold", fold("doc_id"))
     table_ = np.zeros(CELLS, np.float32)
     for rows in letter_ratios(joined.filter(F.col("fold") < FOLDS - 1)).filter("abs(ratio) > 1e-4").toArrow().to_batches():  # CELLS rows at most
         table_[rows.column(0).to_numpy()] = rows.column(1).to_numpy()
