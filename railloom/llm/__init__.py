@@ -6,9 +6,10 @@ from .near_vectors import op7_small_worlds
 from .ngram_join import op1_prefix_tree
 from .packing import op10_power_of_two
 from .pii import op6_disclosure
+from .repeats import op5_merged_transforms
 from .resharding import op3_flow_resharding
 from .token_files import op4_bit_planes
 from .toxicity import op9_kneser_ney
 
-QUERIES = {f.__name__: f for f in (op1_prefix_tree, op2_schema_fingerprints, op3_flow_resharding, op4_bit_planes, op6_disclosure, op7_small_worlds, op8_pigeonhole, op9_kneser_ney, op10_power_of_two)}
+QUERIES = {f.__name__: f for f in (op1_prefix_tree, op2_schema_fingerprints, op3_flow_resharding, op4_bit_planes, op5_merged_transforms, op6_disclosure, op7_small_worlds, op8_pigeonhole, op9_kneser_ney, op10_power_of_two)}
 CHECKS: dict[str, str] = {"op2_schema_fingerprints": OP2_SQL}
