@@ -339,10 +339,13 @@ def header_rules(t):
 
 @query(
     "v11_too_many_layovers",
-    _v("too_many_layovers", "tr_line", "CAST(count(*) AS STRING)", "FROM fx_itin WHERE dw_code = '1' GROUP BY tr_line HAVING count(*) > 2"),
-)
+    _v("too_many_layovers", "s.scenario || '|' || tr_line", "CAST(count(*) AS STRING)",
+       "FROM fx_itin CROSS JOIN (SELECT '1' AS scenario UNION ALL SELECT '3') s WHERE dw_code = '1' GROUP BY s.scenario, tr_line HAVING count(*) > 2"),
+)
 def layovers(t):
-    return Q.too_many_layovers(t["fx_itin"], F.col("dw_code") == "1")
+    """Counted for each scenario on its own."""
+    rows = t["fx_itin"].withColumn("scenario", F.explode(F.array(F.lit(1), F.lit(3))))
+    return Q.too_many_layovers(rows, F.col("dw_code") == "1", by=("scenario",))
 
 
 _HOLED = "fx_itin WHERE (itin_a * 7 + itin_b + it_order) % 9 <> 0"

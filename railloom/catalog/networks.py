@@ -7,7 +7,7 @@ from ..operators import edits as E
 from ..operators import geometry as G
 from ..operators import itinerary as I
 from ..operators import spatial as X
-from ..operators.links import directed_rail_links, link_ends, two_way_vertices, xy_points
+from ..operators.links import directed_rail_links, drawn_first, link_ends, two_way_vertices, xy_points
 from .registry import query, rnd
 
 # --- split and deleted nodes --------------------------------------------------------------------------
@@ -161,17 +161,16 @@ def renumbered_itineraries(t):
 # --- geometry -----------------------------------------------------------------------------------------
 
 _DIRV = """dv AS MATERIALIZED (SELECT a, b, miles, ord, x, y FROM fx_vertex WHERE contains(modes1, 'C') OR contains(modes1, 'M')
-   UNION ALL SELECT b, a, miles, 4 - ord, x, y FROM fx_vertex WHERE (contains(modes1, 'C') OR contains(modes1, 'M')) AND directions = 2)"""
+   UNION ALL SELECT v.b, v.a, miles, 4 - ord, x, y FROM fx_vertex v WHERE (contains(modes1, 'C') OR contains(modes1, 'M')) AND directions = 2
+     AND NOT EXISTS (SELECT 1 FROM fx_link d WHERE d.a = v.b AND d.b = v.a AND (contains(d.modes1, 'C') OR contains(d.modes1, 'M'))))"""
 
 
 def directed(t):
-    """One direction only per drawn link; opposite links are drawn on their own in the test tables."""
-    shapes = t["link_shape"].withColumn("directions", F.lit(1))
-    return directed_rail_links(shapes)
+    """Both directions of every rail link; where both are drawn, each keeps its own drawing."""
+    return drawn_first(directed_rail_links(t["link_shape"]))
 
 
-_ONEV = "dv AS MATERIALIZED (SELECT a, b, miles, ord, x, y FROM fx_vertex WHERE contains(modes1, 'C') OR contains(modes1, 'M'))"
-ROUTE_SQL = f"""{_ONEV},
+ROUTE_SQL = f"""{_DIRV},
  v AS (SELECT i.tr_line, i.it_order, d.ord, d.x, d.y, d.miles, lag(d.x) OVER w AS vx, lag(d.y) OVER w AS vy FROM fx_itin i JOIN dv d ON d.a = i.itin_a AND d.b = i.itin_b
    WINDOW w AS (PARTITION BY i.tr_line, i.it_order ORDER BY d.ord)),
  sd AS (SELECT *, CASE WHEN vx IS NULL THEN 0 ELSE sqrt((x - vx) * (x - vx) + (y - vy) * (y - vy)) / 5280 END AS segdist FROM v),
@@ -180,7 +179,7 @@ ROUTE_SQL = f"""{_ONEV},
    lag(x) OVER (PARTITION BY tr_line ORDER BY it_order, ord) AS px, lag(y) OVER (PARTITION BY tr_line ORDER BY it_order, ord) AS py FROM lt)"""
 
 
-@query("w05_vertex_measures", f"WITH {_ONEV}, q AS (SELECT a, b, ord, x, y, miles, lag(x) OVER w AS vx, lag(y) OVER w AS vy FROM dv WINDOW w AS (PARTITION BY a, b ORDER BY ord)), "
+@query("w05_vertex_measures", f"WITH {_DIRV}, q AS (SELECT a, b, ord, x, y, miles, lag(x) OVER w AS vx, lag(y) OVER w AS vy FROM dv WINDOW w AS (PARTITION BY a, b ORDER BY ord)), "
        f"sd AS (SELECT *, CASE WHEN vx IS NULL THEN 0 ELSE sqrt((x - vx) * (x - vx) + (y - vy) * (y - vy)) / 5280 END AS segdist FROM q), "
        f"lt AS (SELECT *, sum(segdist) OVER (PARTITION BY a, b) AS tot FROM sd) "
        f"SELECT a, b, ord, {rnd('mm', 5)} AS mo FROM (SELECT a, b, ord, sum({rnd('segdist / tot * miles', 5)}) OVER (PARTITION BY a, b ORDER BY ord) AS mm FROM lt) z")
@@ -222,7 +221,7 @@ def reused_geometry(t):
       ch AS (SELECT tr_line, seq, lag(node) OVER (PARTITION BY tr_line ORDER BY seq) AS ia, node AS ib FROM nd),
       pz AS (SELECT tr_line, seq, coalesce(o, 0) AS o, coalesce(tempa, ia) AS ia, coalesce(tempb, ib) AS ib FROM ch LEFT JOIN op ON op.a = ia AND op.b = ib WHERE ia IS NOT NULL),
       nx AS (SELECT tr_line, row_number() OVER (PARTITION BY tr_line ORDER BY seq, o) AS it_order, ia, ib FROM pz),
-      {_ONEV},
+      {_DIRV},
       w AS (SELECT n.tr_line, n.it_order, d.ord, d.x, d.y, d.miles FROM nx n JOIN dv d ON d.a = n.ia AND d.b = n.ib)
       SELECT tr_line, CAST(it_order AS INT) AS it_order, count(*) AS n FROM (SELECT *, lag(x) OVER q AS px, lag(y) OVER q AS py FROM w
         WINDOW q AS (PARTITION BY tr_line ORDER BY it_order, ord)) z WHERE px IS NULL OR NOT (x = px AND y = py) GROUP BY tr_line, it_order""",

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from ..functions import core as C
 from ..operators import actions as A
+from .fixtures import _PREFIX as RUN_PREFIX
 from .registry import query, rnd
 
 _COLS = "tr_line, it_order, itin_a, itin_b, dw_code, layover, trv_time, dep_time"
@@ -114,7 +115,7 @@ def stop_allocation(t):
     on = ["ln", "itin_a", "itin_b"]
     rows = _base(t).withColumn("ln", C.line_group("tr_line")).join(t["fx_station"].withColumnRenamed("dw_code", "share"), on)
     rows = rows.withColumn("rate", A.stop_share("share", "4"))
-    out = A.allocate_stops(rows, [*on, "new"], ["dep_time", "tr_line", "it_order"], t.layout.total)
+    out = A.allocate_stops(rows, [*on, "new"], ["dep_time", "tr_line", "it_order"])
     return out.select("tr_line", "it_order", *on, "new", "stops")
 
 
@@ -150,17 +151,19 @@ def all_actions(t):
     )
 
 
+_CODED_LINE = RUN_PREFIX.format(k="id") + " || '901'"
+
+
 @query(
     "d28_revised_descriptions",
-    """WITH f AS (SELECT substr(tr_line, 1, 3) AS ln, arg_min(action, CASE action WHEN 5 THEN 1 WHEN 2 THEN 2 WHEN 3 THEN 3 WHEN 7 THEN 4 ELSE 5 END) AS act
-        FROM (SELECT tr_line, 1 + o_orderkey % 7 AS action FROM fx_run WHERE o_orderkey % 1000 < 2) q WHERE action IN (5, 2, 3, 7, 4) GROUP BY 1),
+    f"""WITH f AS (SELECT substr(tr_line, 1, 3) AS ln, arg_min(action, CASE action WHEN 5 THEN 1 WHEN 2 THEN 2 WHEN 3 THEN 3 WHEN 7 THEN 4 ELSE 5 END) AS act
+        FROM (SELECT {_CODED_LINE} AS tr_line, action FROM fx_future WHERE contains(scenario, '3')) q WHERE action IN (5, 2, 3, 7, 4) GROUP BY 1),
       d AS (SELECT r.tr_line, CAST(o_orderkey AS STRING) || ' RR -' || longname AS d, f.act FROM fx_run r LEFT JOIN f ON f.ln = substr(r.tr_line, 1, 3))
       SELECT tr_line, CASE WHEN act > 0 AND CAST(substr(tr_line, 4, 3) AS INT) < 900 THEN substr(d, 1, instr(d, ' -') + 1) || 's3a' || CAST(act AS STRING) ||
         substr(d, CAST(instr(d, ' -') + 2 AS BIGINT), greatest(CAST(15 - instr(d, ' -') AS BIGINT), 0)) ELSE d END AS description FROM d""",
 )
 def revised(t):
-    """Two of every thousand lines are coded projects of their line group."""
-    action = (1 + F.col("o_orderkey") % 7).cast("int")
-    coded = t["fx_run"].filter(F.col("o_orderkey") % 1000 < 2).select("tr_line", action.alias("action"))
+    """All coded projects of the scenario, each under the line group of its number."""
+    coded = t["fx_future"].filter(F.contains("scenario", F.lit("3"))).select(F.expr(_CODED_LINE).alias("tr_line"), "action")
     descr = F.concat(F.col("o_orderkey").cast("string"), F.lit(" RR -"), F.col("longname"))
     return A.revise_descriptions(t["fx_run"].select("tr_line", descr.alias("description")), coded, 3)

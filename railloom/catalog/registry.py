@@ -11,15 +11,11 @@ from .fixtures import Tables, with_views
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
-_TABLES: dict[tuple[str, str], Tables] = {}
 
 
 def tables(spark: SparkSession, sf_dir: str) -> Tables:
-    """Lazy frames of a data folder, analysed once per application."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _TABLES:
-        _TABLES[key] = Tables(tune(spark), sf_dir)
-    return _TABLES[key]
+    """Lazy frames of a data folder as it is now."""
+    return Tables(tune(spark), sf_dir)
 
 
 def query(name: str, sql: str | None = None):

@@ -94,15 +94,17 @@ def reconcile(t):
 
 @query(
     "j10_two_zone_join",
-    f"""SELECT line, it_order, tr_line, fa.cost AS cost_a, fb.cost AS cost_b FROM fx_feed_seg s
-        LEFT JOIN (SELECT * FROM {FARE_SQL}) fa ON fa.system = 'metra' AND fa.zone_id = s.zone_id_a
-        LEFT JOIN (SELECT * FROM {FARE_SQL}) fb ON fb.system = 'metra' AND fb.zone_id = s.zone_id_b WHERE line LIKE 'metra%'""",
+    f"""SELECT line, it_order, tr_line, fa.cost AS cost_a, fb.cost AS cost_b
+        FROM (SELECT *, CASE WHEN line LIKE 'metra%' THEN 'metra' ELSE 'shore' END AS sys FROM fx_feed_seg WHERE mode = 'M') s
+        LEFT JOIN (SELECT * FROM {FARE_SQL}) fa ON fa.system = s.sys AND fa.zone_id = s.zone_id_a
+        LEFT JOIN (SELECT * FROM {FARE_SQL}) fb ON fb.system = s.sys AND fb.zone_id = s.zone_id_b""",
 )
 def two_zones(t):
-    fares = fare_zones(t.spark).filter("system = 'metra'").select("zone_id", "cost")
-    a, b = F.broadcast(fares.toDF("zone_id_a", "cost_a")), F.broadcast(fares.toDF("zone_id_b", "cost_b"))
-    segs = t["fx_feed_seg"].filter(F.col("line").startswith("metra"))
-    out = segs.join(a, "zone_id_a", "left").join(b, "zone_id_b", "left")
+    fares = fare_zones(t.spark).select("system", "zone_id", "cost")
+    a, b = F.broadcast(fares.toDF("system", "zone_id_a", "cost_a")), F.broadcast(fares.toDF("system", "zone_id_b", "cost_b"))
+    system = F.when(F.col("line").startswith("metra"), "metra").otherwise("shore")
+    segs = t["fx_feed_seg"].filter("mode = 'M'").withColumn("system", system)
+    out = segs.join(a, ["system", "zone_id_a"], "left").join(b, ["system", "zone_id_b"], "left")
     return out.select("line", "it_order", "tr_line", "cost_a", "cost_b")
 
 

@@ -1,5 +1,7 @@
 """Scenario networks, output layouts, reports and sources (D19-D22, D31-D34, D42, K, S)."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions import core as C
@@ -9,13 +11,15 @@ from ..operators import report as M
 from ..operators import runs as R
 from ..operators import tables as T
 from ..operators.links import two_way_vertices
+from ..operators.summary import MEASURES
 from ..sinks import layouts as L
 from ..sources import readers
+from ..session import shared_folder
 from ..sources.dims import fare_zones
 from .networks import ROUTE_SQL, SPLIT_ITIN, directed, pieces_of
 from .registry import query, rnd
 from .scalars import FARE_SQL
-from .summaries import _ALL, line_summary
+from .summaries import _ALL, itin_of, runs_of
 
 SCENARIOS = (1, 3, 6)
 _SCEN = "(SELECT 1 AS scenario UNION ALL SELECT 3 UNION ALL SELECT 6)"
@@ -109,11 +113,7 @@ def metra_headway(t):
 
 
 _DIRECTED = """di AS MATERIALIZED (SELECT a, b, miles, modes1 FROM fx_link UNION ALL SELECT b, a, miles, modes2 FROM fx_link WHERE directions = 2)"""
-_SERVED = "sv AS MATERIALIZED (SELECT DISTINCT itin_a AS a, itin_b AS b FROM fx_itin WHERE dw_code = '1' AND it_order < 3)"
-
-
-def served(t):
-    return t["fx_itin"].filter("dw_code = '1' AND it_order < 3")
+_SERVED = "sv AS MATERIALIZED (SELECT DISTINCT itin_a AS a, itin_b AS b FROM fx_itin)"
 
 
 def directed_links(t):
@@ -124,7 +124,7 @@ def directed_links(t):
 
 @query("d32_used_links", f"WITH {_DIRECTED}, {_SERVED} SELECT a, b, miles, modes1 FROM di WHERE (a, b) IN (SELECT a, b FROM sv)")
 def used(t):
-    return N.used_links(directed_links(t), served(t)).select("a", "b", "miles", "modes1")
+    return N.used_links(directed_links(t), t["fx_itin"]).select("a", "b", "miles", "modes1")
 
 
 _AUX = f"""{_DIRECTED}, {_SERVED}, us AS MATERIALIZED (SELECT a, b, miles, modes1 FROM di WHERE (a, b) IN (SELECT a, b FROM sv)),
@@ -136,7 +136,7 @@ _AUX = f"""{_DIRECTED}, {_SERVED}, us AS MATERIALIZED (SELECT a, b, miles, modes
 @query("d33_auxiliary_links", f"WITH {_AUX.replace('n > 40', 'n > 3')} SELECT a, b, miles, modes1 FROM au")
 def auxiliary(t):
     links = directed_links(t)
-    return N.auxiliary_links(links, N.used_links(links, served(t)), (), 30020).select("a", "b", "miles", "modes1")
+    return N.auxiliary_links(links, N.used_links(links, t["fx_itin"]), (), 30020).select("a", "b", "miles", "modes1")
 
 
 @query(
@@ -146,7 +146,7 @@ def auxiliary(t):
         FROM fx_node n JOIN nn ON nn.node = n.node WHERE n.node > 30020""",
 )
 def network_nodes(t):
-    net = N.service_network(t["fx_link"], served(t), (), 30020)
+    net = N.service_network(t["fx_link"], t["fx_itin"], (), 30020)
     out = N.network_node_table(net, t["fx_node"], (), 3, 30020)
     return out.select("node", "pspace", "pcost", "point_x", "point_y")
 
@@ -200,7 +200,8 @@ def node_attributes(t):
 @query(
     "k08_network_file",
     f"""SELECT 1 AS section, node AS k1, 0 AS k2, 'a  ' || CAST(node AS STRING) || '  ' || printf('%.6f', point_x) || ' ' || printf('%.6f', point_y) || '   0  0  0 ' || label AS line FROM fx_node
-        UNION ALL SELECT 2, a, b, 'a   ' || CAST(a AS STRING) || '   ' || CAST(b AS STRING) || '   ' || {_num("miles")} || '   ' || modes1 || '   1  0  1' FROM fx_link""",
+        UNION ALL SELECT 2, 0, 0, '' UNION ALL SELECT 2, 0, 1, 't links'
+        UNION ALL SELECT 3, a, b, 'a   ' || CAST(a AS STRING) || '   ' || CAST(b AS STRING) || '   ' || {_num("miles")} || '   ' || modes1 || '   1  0  1' FROM fx_link""",
 )
 def network_file(t):
     return L.network_file(t["fx_node"], t["fx_link"])
@@ -208,12 +209,20 @@ def network_file(t):
 
 @query(
     "k09_distinct_links",
-    """SELECT DISTINCT itin_a AS a, itin_b AS b FROM fx_itin""",
+    f"""WITH {_DIRECTED}, tp AS (SELECT 1 AS tod UNION ALL SELECT 2 UNION ALL SELECT 3 UNION ALL SELECT 4), dt AS MATERIALIZED (SELECT tp.tod, di.* FROM di CROSS JOIN tp),
+       sv AS MATERIALIZED (SELECT DISTINCT CASE WHEN strthour IS NULL OR strthour >= 18 OR strthour < 6 THEN 1 WHEN strthour < 9 THEN 2 WHEN strthour < 16 THEN 3 ELSE 4 END AS tod,
+         itin_a AS a, itin_b AS b FROM fx_itin i JOIN fx_run r ON r.tr_line = i.tr_line),
+       us AS MATERIALIZED (SELECT * FROM dt WHERE (tod, a, b) IN (SELECT tod, a, b FROM sv)),
+       ax AS MATERIALIZED (SELECT * FROM dt WHERE NOT contains(modes1, 'C') AND NOT contains(modes1, 'M')),
+       en AS MATERIALIZED (SELECT tod, node FROM (SELECT tod, a AS node FROM us UNION ALL SELECT tod, b FROM us UNION ALL SELECT tod, a FROM ax UNION ALL SELECT tod, b FROM ax) q
+         GROUP BY tod, node HAVING count(*) > 3 OR node <= 30020)
+       SELECT a, b FROM us UNION SELECT a, b FROM ax WHERE (tod, a) IN (SELECT tod, node FROM en) AND (tod, b) IN (SELECT tod, node FROM en)""",
 )
 def distinct_links(t):
-    """Links over all periods: period itineraries share most of them."""
+    """Links of the networks of all periods."""
     rows = t["fx_itin"].join(t["fx_run"].select("tr_line", C.time_of_day("strthour").alias("tod")), "tr_line")
-    return rows.select("tod", F.col("itin_a").alias("a"), F.col("itin_b").alias("b")).distinct().select("a", "b").distinct()
+    tods = F.explode(F.array(*[F.lit(p) for p in N.ALL_TODS])).alias("tod")
+    return N.service_network(t["fx_link"].select("*", tods), rows, ("tod",), 30020).select("a", "b").distinct()
 
 
 @query(
@@ -221,10 +230,14 @@ def distinct_links(t):
     """WITH q AS (SELECT a, b, ord, x, y FROM fx_vertex UNION ALL SELECT b, a, 4 - ord, x, y FROM fx_vertex), n AS (SELECT a, b FROM fx_net)
        SELECT a, b, 0 AS ord, 'r ' || CAST(a AS STRING) || ' ' || CAST(b AS STRING) AS line FROM n
        UNION ALL SELECT q.a, q.b, ord, 'a ' || CAST(q.a AS STRING) || ' ' || CAST(q.b AS STRING) || ' ' || CAST(ord AS STRING) || ' ' || printf('%.6f', x) || ' ' || printf('%.6f', y)
-       FROM q JOIN n ON n.a = q.a AND n.b = q.b""",
+       FROM q JOIN n ON n.a = q.a AND n.b = q.b
+       UNION ALL SELECT 0, 0, no, line FROM (SELECT 0 AS no, 'c RAIL LINK SHAPE FILE FOR SCENARIO 3' AS line UNION ALL SELECT 1, 'c 01JAN24' UNION ALL SELECT 2, 't linkvertices') h""",
 )
 def link_shapes(t):
-    return L.link_shapes(t["fx_net"], two_way_vertices(t["link_shape"]))
+    """The whole file: its header has no link numbers and so comes first."""
+    head = list(enumerate(L.link_shape_header(3, "01JAN24")))
+    first = t.spark.createDataFrame(head, "ord INT, line STRING").select(F.lit(0).alias("a"), F.lit(0).alias("b"), "ord", "line")
+    return first.unionByName(L.link_shapes(t["fx_net"], two_way_vertices(t["link_shape"])))
 
 
 @query(
@@ -287,11 +300,14 @@ def future_route_table(t):
 
 @query(
     "k05_node_tables",
-    "SELECT 'piece' AS tab, CAST(tempa AS BIGINT) AS k, newmile AS v FROM fx_piece UNION ALL SELECT 'deleted', node, 0.0::DOUBLE FROM fx_deleted",
+    """SELECT 'piece' AS tab, CAST(tempa AS BIGINT) AS k, newmile AS v FROM fx_piece UNION ALL SELECT 'deleted', node, 0.0::DOUBLE FROM fx_deleted
+       UNION ALL SELECT DISTINCT 'new', CAST(tempb AS BIGINT), 0.0::DOUBLE FROM fx_piece WHERE tempb > 90000""",
 )
 def node_tables(t):
     pieces = pieces_of(t).select(F.lit("piece").alias("tab"), F.col("tempa").cast("long").alias("k"), F.col("newmile").alias("v"))
-    return pieces.unionByName(t["fx_deleted"].select(F.lit("deleted").alias("tab"), F.col("node").cast("long").alias("k"), F.lit(0.0).alias("v")))
+    new = pieces_of(t).filter("tempb > 90000").select(F.lit("new").alias("tab"), F.col("tempb").cast("long").alias("k"), F.lit(0.0).alias("v")).distinct()
+    gone = t["fx_deleted"].select(F.lit("deleted").alias("tab"), F.col("node").cast("long").alias("k"), F.lit(0.0).alias("v"))
+    return pieces.unionByName(gone).unionByName(new)
 
 
 @query(
@@ -329,9 +345,16 @@ def change_report(t):
     )
 
 
-@query("k10_summary_table", _ALL)
+@query("k10_summary_table", f"SELECT s.scenario, q.* FROM ({_ALL}) q CROSS JOIN {_SCEN} s")
 def summary_table(t):
-    return line_summary(t)
+    """The combined summary of every scenario and period, as the scenario job makes it."""
+    from ..plans.scenario import scenario_summary
+
+    lengths = t["fx_link"].select("a", "b", "miles")
+    parts = (N.per_scenario(df, SCENARIOS) for df in (itin_of(t), lengths, runs_of(t)))
+    out = scenario_summary(*parts)
+    nums = [c for c in MEASURES if c in out.columns and c != "stations"]
+    return out.withColumns({c: C.round_half_away(c, 6) for c in nums})
 
 
 @query(
@@ -368,9 +391,9 @@ def feed_segments(t):
     return out.select("line", "it_order", "tr_line", "itin_a", "itin_b", "ltime")
 
 
-@query("s04_keyed_tables", "SELECT node, pspace, point_x, point_y FROM fx_node")
+@query("s04_keyed_tables", "SELECT s_suppkey, s_name, s_nationkey FROM supplier")
 def keyed_tables(t):
-    return t["fx_node"].select("node", "pspace", "point_x", "point_y")
+    return readers.read_table(t.spark, f"{t.sf_dir}/supplier.parquet", "s_suppkey BIGINT, s_name STRING, s_nationkey INT")
 
 
 @query("s05_link_vertices", "SELECT a, b, ord, x, y FROM fx_vertex")
@@ -385,10 +408,15 @@ def link_vertices(t):
     f"WITH {ROUTE_SQL} SELECT tr_line, count(*) AS n, {rnd('max(m)', 4)} AS length FROM ms WHERE px IS NULL OR NOT (x = px AND y = py) GROUP BY tr_line",
 )
 def stored_route_vertices(t):
+    """Vertices written as text and read back from it."""
     from ..operators.geometry import route_vertices
+    from ..operators.ordering import sorted_positions
 
-    rows = route_vertices(t["fx_itin"], directed(t), t.layout)
-    return rows.groupBy("tr_line").agg(F.count(F.lit(1)).alias("n"), C.round_half_away(F.max("m"), 4).alias("length"))
+    lines = sorted_positions(t["fx_itin"].select("tr_line").distinct(), ["tr_line"], "rte")
+    text = L.route_vertex_text(route_vertices(t["fx_itin"], directed(t), t.layout).join(lines, "tr_line"))
+    read = text.select(F.from_csv("line", F.lit(readers.VERTEX_LINE), {"sep": ";"}).alias("v")).select("v.*")
+    sums = read.groupBy("rte").agg(F.count(F.lit(1)).alias("n"), C.round_half_away(F.max("m"), 4).alias("length"))
+    return sums.join(lines, "rte").select("tr_line", "n", "length")
 
 
 @query(
@@ -402,15 +430,20 @@ def fare_dimension(t):
 
 @query("s08_extract", "SELECT tr_line, it_order, itin_a, itin_b FROM fx_itin")
 def extract(t):
-    """Full extract; `readers.snapshot` writes it under a new path."""
-    return t["fx_itin"].select("tr_line", "it_order", "itin_a", "itin_b")
+    """A full copy under a new path, read back from there."""
+    path = f"{shared_folder(t.spark)}/extract-{uuid.uuid4().hex}"
+    return readers.snapshot(t["fx_itin"].select("tr_line", "it_order", "itin_a", "itin_b"), path)
 
 
 @query(
     "s09_all_systems",
-    """SELECT CASE WHEN substr(tr_line, 1, 1) = 'c' THEN 'cta' ELSE 'metra' END AS system, tr_line, count(*) AS segs FROM fx_itin GROUP BY 1, 2""",
+    f"""WITH {SPLIT_ITIN}, sy AS (SELECT 'north' AS system UNION ALL SELECT 'south')
+       SELECT sy.system, tr_line, it_order, itin_a, itin_b, CAST(dep_time AS DOUBLE) AS dep_time, {rnd("t_meas", 2)} AS t_meas FROM cut CROSS JOIN sy""",
 )
 def all_systems(t):
-    """Systems share one pass with the system as a key."""
-    system = F.when(F.startswith("tr_line", F.lit("c")), "cta").otherwise("metra")
-    return t["fx_itin"].groupBy(system.alias("system"), "tr_line").agg(F.count(F.lit(1)).alias("segs"))
+    """Two systems with equal line names go through one job, the system being a part of every key."""
+    from ..operators.edits import apply_splits
+
+    both = t["fx_mitin"].withColumn("system", F.explode(F.array(F.lit("north"), F.lit("south"))))
+    out = apply_splits(both, pieces_of(t), True, t.layout, ("system",))
+    return out.select("system", "tr_line", "it_order", "itin_a", "itin_b", F.col("dep_time").cast("double").alias("dep_time"), C.round_half_away("t_meas", 2).alias("t_meas"))

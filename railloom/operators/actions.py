@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.core import line_group, period_value, revised_description, round_half_away
 from ..session import durable
 from .geometry import chain_nodes
-from .sequence import SHORT, RunLayout, scan
+from .sequence import RUNS, RunLayout, scan
 from .tables import cut_by_range, first_per_key, rows_from
 
 # Order in which the actions are applied.
@@ -48,7 +48,7 @@ def shift_terminus(itin: DataFrame, coded: DataFrame, by: Sequence[str] = ()) ->
 # --- 2: shorter travel time ---------------------------------------------------------------------------
 
 
-def cut_pairs(vertices: DataFrame, nodes: DataFrame, rates: DataFrame, layout: RunLayout = SHORT) -> DataFrame:
+def cut_pairs(vertices: DataFrame, nodes: DataFrame, rates: DataFrame, layout: RunLayout = RUNS) -> DataFrame:
     """(ln, itin_a, itin_b, reduc): node pairs along the drawn features of the coded lines.
 
     `vertices` has tr_line, link (feature), seq, x, y; `rates` has tr_line, reduc.
@@ -81,14 +81,12 @@ def stop_share(dw_code: Column | str, tod: Column | str) -> Column:
     return period_value(dw_code, tod)
 
 
-def allocate_stops(
-    rows: DataFrame, group: Sequence[str], order: Sequence[str], at_most: int | None = None
-) -> DataFrame:
+def allocate_stops(rows: DataFrame, group: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Column `stops`: every `interval`-th row of its group stops until the share is used up.
 
     `rate` is the share, the same for all rows of a group; without a positive number of stops all pass.
     """
-    cut, bucket = cut_by_range(rows, group, order, at_most=at_most)
+    cut, bucket = cut_by_range(rows, group, order)
     seen = scan(cut, group, order, bucket=bucket, number="_k", size="_freq").drop("_range")
     stops = round_half_away(F.col("_freq") * F.col("rate"), 0)
     seen = seen.withColumn("_stops", stops)
@@ -99,7 +97,7 @@ def allocate_stops(
 
 
 def add_stations(
-    itin: DataFrame, coded: DataFrame, tod: str | Column, by: Sequence[str] = (), layout: RunLayout = SHORT
+    itin: DataFrame, coded: DataFrame, tod: str | Column, by: Sequence[str] = (), layout: RunLayout = RUNS
 ) -> DataFrame:
     """Cut segments at a new station: coded rows (ln, itin_a, itin_b, new, dw_code).
 
@@ -110,7 +108,7 @@ def add_stations(
     new = first_per_key(coded.select(*on, "new", F.col("dw_code").alias("share")), on, ["new"])
     all_rows = _with_group(itin).join(new, on, "left")
     cut = all_rows.filter(F.col("new") > 0).withColumn("rate", stop_share("share", tod))
-    cut = allocate_stops(cut, [*on, "new"], ["dep_time", "tr_line", "it_order"], layout.total)
+    cut = allocate_stops(cut, [*on, "new"], ["dep_time", "tr_line", "it_order"])
     half = round_half_away(F.col("trv_time") / 2 + 0.5, 1)
     first = {
         "half": F.lit(1), "itin_a": F.col("itin_a"), "itin_b": F.col("new"), "layover": F.lit("0"),
@@ -134,7 +132,7 @@ def add_stations(
 # --- 7: consolidated station --------------------------------------------------------------------------
 
 
-def mark_spans(itin: DataFrame, coded: DataFrame, by: Sequence[str] = (), layout: RunLayout = SHORT) -> DataFrame:
+def mark_spans(itin: DataFrame, coded: DataFrame, by: Sequence[str] = (), layout: RunLayout = RUNS) -> DataFrame:
     """Mark the first coded span each run passes.
 
     Adds `new` (null outside the span), `at_start`, `at_end` and `total`, the time of the span. Runs that
@@ -170,7 +168,7 @@ def mark_spans(itin: DataFrame, coded: DataFrame, by: Sequence[str] = (), layout
     return rows.select(*itin.columns, "new", "at_start", "at_end", "total")
 
 
-def consolidate_stations(itin: DataFrame, coded: DataFrame, by: Sequence[str] = (), layout: RunLayout = SHORT) -> DataFrame:
+def consolidate_stations(itin: DataFrame, coded: DataFrame, by: Sequence[str] = (), layout: RunLayout = RUNS) -> DataFrame:
     """A span of segments from a start to an end node becomes start - station - end.
 
     Coded rows (ln, start_node, end_node, new). Both new segments take half of the total less half a minute.
@@ -201,7 +199,7 @@ def consolidate_stations(itin: DataFrame, coded: DataFrame, by: Sequence[str] =
 # --- 4: line extension --------------------------------------------------------------------------------
 
 
-def extend_lines(itin: DataFrame, coded: DataFrame, by: Sequence[str] = (), layout: RunLayout = SHORT) -> DataFrame:
+def extend_lines(itin: DataFrame, coded: DataFrame, by: Sequence[str] = (), layout: RunLayout = RUNS) -> DataFrame:
     """Add coded segments before and behind the runs of a line.
 
     Coded rows (project, ln, it_order, itin_a, itin_b, layover, dw_code, trv_time): negative orders go in
@@ -210,8 +208,8 @@ def extend_lines(itin: DataFrame, coded: DataFrame, by: Sequence[str] = (), layo
     """
     key = [*by, "tr_line"]
     projects = coded.select(*by, "ln", "project").distinct()
-    rank = scan(projects, [*by, "ln"], ["project"], number="_turn")
-    coded = coded.join(rank, [*by, "ln", "project"])
+    rank = durable(scan(projects, [*by, "ln"], ["project"], number="_turn"))
+    coded = durable(coded.join(rank, [*by, "ln", "project"]))  # every turn reads it four times
     turns = rank.agg(F.max("_turn")).first()[0] or 0
     for turn in range(1, turns + 1):
         itin = _extend_once(itin if turn == 1 else durable(itin), coded.filter(F.col("_turn") == turn), by, key, layout)
@@ -283,7 +281,7 @@ def apply_actions(
     extensions: DataFrame | None = None,
     tod: str | Column = "1",
     by: Sequence[str] = (),
-    layout: RunLayout = SHORT,
+    layout: RunLayout = RUNS,
 ) -> DataFrame:
     """All actions in their fixed order; an absent table leaves its action out.
 

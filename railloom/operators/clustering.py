@@ -18,8 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..session import durable
-from .sequence import ROWS_PER_TASK, scan
+from ..session import durable, replace_state
+from .sequence import scan
 from .tables import cut_by_range
 
 
@@ -35,12 +35,8 @@ def _rare_first(rows: DataFrame, key: list[str]) -> DataFrame:
     """Mark the segments by which a leader is looked up."""
     seen = rows.groupBy(*key, "seg").agg(F.count(F.lit(1)).alias("_freq"))
     rows = rows.join(seen, [*key, "seg"])
-    usual = rows.filter(F.col("n") <= ROWS_PER_TASK)
     rank = F.row_number().over(W.partitionBy(*key, "run").orderBy("_freq", "seg"))
-    usual = usual.withColumn("probe", rank <= F.col("n") - F.greatest("need", F.lit(1)) + 1)
-    # A run too long to rank in one task is looked up by all its segments.
-    long = rows.filter(F.col("n") > ROWS_PER_TASK).withColumn("probe", F.lit(True))
-    return usual.unionByName(long).drop("_freq")
+    return rows.withColumn("probe", rank <= F.col("n") - F.greatest("need", F.lit(1)) + 1).drop("_freq")
 
 
 def _covers(leaders: DataFrame, runs: DataFrame, key: list[str], earlier_only: bool) -> DataFrame:
@@ -73,7 +69,7 @@ def _decide(runs: DataFrame, edges: DataFrame, key: list[str]) -> DataFrame:
         # A settled run stays settled; only runs not seen before stay fresh.
         both = known.withColumn("fresh", F.lit(0)).unionByName(settled)
         folded = both.groupBy(*key, "run").agg(F.max("is_leader").alias("is_leader"), F.min("fresh").alias("fresh"))
-        known = durable(folded)
+        known = replace_state(known, folded)
     return known.drop("fresh")
 
 

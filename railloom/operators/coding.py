@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import core as C
 from . import itinerary as I
 from .feed import NETWORKS, gap_pieces
-from .sequence import SHORT, RunLayout
+from .sequence import RUNS, RunLayout
 from .tables import first_per_key, upsert
 
 # Actions whose segments may lie off the network, and those stored in coded form.
@@ -66,7 +66,7 @@ def swap_terminus(segments: DataFrame) -> DataFrame:
     )
 
 
-def fill_paths(segments: DataFrame, links: DataFrame, layout: RunLayout = SHORT, ranges=NETWORKS) -> DataFrame:
+def fill_paths(segments: DataFrame, links: DataFrame, layout: RunLayout = RUNS, ranges=NETWORKS) -> DataFrame:
     """Segments of the path actions follow the shortest path; attributes are copied, orders counted anew.
 
     The coded ends are kept in orig_a, orig_b. A pair out of reach keeps its coded nodes.
@@ -80,7 +80,7 @@ def fill_paths(segments: DataFrame, links: DataFrame, layout: RunLayout = SHORT,
     return I.resequence(rows, layout, ("it_order", "i")).drop("newa", "newb", "i")
 
 
-def measured(segments: DataFrame, lengths: DataFrame, layout: RunLayout = SHORT) -> DataFrame:
+def measured(segments: DataFrame, lengths: DataFrame, layout: RunLayout = RUNS) -> DataFrame:
     """Segments with link miles (0 when off the network) and measures."""
     mi = lengths.select(F.col("a").alias("itin_a"), F.col("b").alias("itin_b"), "miles")
     return I.measure(segments.join(mi, ["itin_a", "itin_b"], "left").na.fill(0.0, ["miles"]), layout)

@@ -1,7 +1,12 @@
-"""Carry link and node edits through node tables and itineraries."""
+"""Carry link and node edits through node tables and itineraries.
+
+`by` names the columns that tell runs of one name apart, such as the route system.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -9,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.core import is_junction, round_half_away
 from ..session import durable
 from . import itinerary as I
-from .sequence import SHORT, RunLayout, scan
+from .sequence import RUNS, RunLayout, scan
 from .spatial import number_points
 from .tables import first_per_key, rows_from
 
@@ -75,7 +80,7 @@ def order_pieces(pieces: DataFrame) -> DataFrame:
     return both.withColumns({"x": F.coalesce(so_far, F.lit(0.0)), "totmile": F.sum("newmile").over(link)})
 
 
-def apply_splits(itin: DataFrame, pieces: DataFrame, base: bool = True, layout: RunLayout = SHORT) -> DataFrame:
+def apply_splits(itin: DataFrame, pieces: DataFrame, base: bool = True, layout: RunLayout = RUNS, by: Sequence[str] = ()) -> DataFrame:
     """Replace segments on split links by their pieces.
 
     Time is shared by length, the fare stays on the first piece, the layover on the last. Base runs
@@ -100,20 +105,20 @@ def apply_splits(itin: DataFrame, pieces: DataFrame, base: bool = True, layout:
     }
     if base:
         # The pieces of one segment are a handful of rows.
-        seg = W.partitionBy("tr_line", "it_order").orderBy("o")
+        seg = W.partitionBy(*by, "tr_line", "it_order").orderBy("o")
         step = round_half_away(F.col("_trv") * 60, 0)
         spent = F.sum(step).over(seg.rowsBetween(W.unboundedPreceding, W.currentRow))
         rows = rows.withColumns({"_step": step, "_spent": spent})
         new["dep_time"] = F.when(cut, F.col("dep_time") + F.col("_spent") - F.col("_step")).otherwise(F.col("dep_time"))
         new["arr_time"] = F.when(cut & ~last, F.col("dep_time") + F.col("_spent")).otherwise(F.col("arr_time"))
     rows = rows.withColumns(new)
-    rows = I.resequence(rows, layout, ("it_order", "o"))
+    rows = I.resequence(rows, layout, ("it_order", "o"), by)
     return rows.select(*itin.columns)
 
 
-def future_orders(itin: DataFrame, layout: RunLayout = SHORT) -> DataFrame:
+def future_orders(itin: DataFrame, layout: RunLayout = RUNS, by: Sequence[str] = ()) -> DataFrame:
     """Segment orders of future lines by action: 1 and 5 count up, 4 counts around its ends, others 0."""
-    seen = scan(itin, ["tr_line"], ["f_meas", "it_order"], bucket=layout.bucket("it_order"), number="_r", size="_n")
+    seen = scan(itin, [*by, "tr_line"], ["f_meas", "it_order"], bucket=layout.bucket("it_order"), number="_r", size="_n")
     half = F.floor(F.col("_n") / 2)
     ends = F.when(F.col("_r") <= half, F.col("_r") - 1 - half).otherwise(1000 + F.col("_r") - half)
     ends = F.when(F.col("_n") % 2 == 0, ends)
@@ -121,13 +126,14 @@ def future_orders(itin: DataFrame, layout: RunLayout = SHORT) -> DataFrame:
     return seen.withColumn("it_order", order.cast("int")).drop("_r", "_n")
 
 
-def delete_nodes(itin: DataFrame, deleted: DataFrame, layout: RunLayout = SHORT, future: bool = False) -> DataFrame:
+def delete_nodes(itin: DataFrame, deleted: DataFrame, layout: RunLayout = RUNS, future: bool = False, by: Sequence[str] = ()) -> DataFrame:
     """Take deleted nodes out of itineraries.
 
     Segments are joined across every stretch of deleted nodes; what dangles before the first or behind
     the last remaining node is dropped. Touched runs are measured and numbered again and end with
     layover 3 and a stop.
     """
+    key = [*by, "tr_line"]
     gone = deleted.select("node").distinct()
     rows = itin
     for end, flag in (("itin_a", "_sa"), ("itin_b", "_sb")):
@@ -135,7 +141,7 @@ def delete_nodes(itin: DataFrame, deleted: DataFrame, layout: RunLayout = SHORT,
         rows = rows.withColumn(flag, F.coalesce(flag, F.lit(False)))
     hit = F.when(F.col("_sa") | F.col("_sb"), 1).otherwise(0)
     opens = F.when(~F.col("_sa"), 1).otherwise(0)
-    rows = scan(rows, ["tr_line"], ["it_order"], bucket=layout.bucket("it_order"), running={"_g": opens}, total={"_hits": hit})
+    rows = scan(rows, key, ["it_order"], bucket=layout.bucket("it_order"), running={"_g": opens}, total={"_hits": hit})
     rows = rows.filter(F.col("_g") > 0)
 
     def head(c):
@@ -146,14 +152,14 @@ def delete_nodes(itin: DataFrame, deleted: DataFrame, layout: RunLayout = SHORT,
 
     heads = [c for c in ("itin_a", "f_meas", "dep_time") if c in itin.columns]
     sums = [c for c in ("zn_fare", "trv_time") if c in itin.columns]
-    tails = [c for c in itin.columns if c not in (*heads, *sums, "tr_line", "it_order")]
-    merged = rows.groupBy("tr_line", "_g").agg(
+    tails = [c for c in itin.columns if c not in (*heads, *sums, *key, "it_order")]
+    merged = rows.groupBy(*key, "_g").agg(
         F.max("it_order").alias("it_order"), F.max("_hits").alias("_hits"), F.max_by("_sb", "it_order").alias("_open"),
         *[head(c) for c in heads], *[F.sum(c).alias(c) for c in sums], *[tail(c) for c in tails],
     )
     merged = merged.filter(~F.col("_open")).withColumn("_m", F.col("t_meas") - F.col("f_meas"))
     out = scan(
-        merged, ["tr_line"], ["it_order"], bucket=layout.bucket("it_order"), number="_r", last="_last", running={"_t": F.col("_m")}
+        merged, key, ["it_order"], bucket=layout.bucket("it_order"), number="_r", last="_last", running={"_t": F.col("_m")}
     )
     touched = F.col("_hits") > 0
     ending = touched & F.col("_last") & (F.col("_r") > 1)

@@ -6,12 +6,14 @@ per link. A run then only needs one running sum over its segments, and vertices
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.core import round_half_away
 from .edits import order_pieces
-from .sequence import SHORT, RunLayout, scan
+from .sequence import RUNS, RunLayout, scan
 
 FEET_PER_MILE = 5280
 
@@ -53,36 +55,39 @@ def measured_links(directed: DataFrame) -> DataFrame:
     return rows.select("a", "b", "miles", pts.alias("pts"), F.element_at("_off", -1).alias("length"))
 
 
-def route_vertices(itin: DataFrame, directed: DataFrame, layout: RunLayout = SHORT) -> DataFrame:
-    """(tr_line, it_order, ord, x, y, m): vertices along each run, repeats between segments left out."""
+def route_vertices(itin: DataFrame, directed: DataFrame, layout: RunLayout = RUNS, by: Sequence[str] = ()) -> DataFrame:
+    """(by.., tr_line, it_order, ord, x, y, m): vertices along each run, repeats between segments left out."""
     shapes = measured_links(directed).withColumnsRenamed({"a": "itin_a", "b": "itin_b"}).drop("miles")
-    segs = itin.select("tr_line", "it_order", "itin_a", "itin_b").join(shapes, ["itin_a", "itin_b"])
+    segs = itin.select(*by, "tr_line", "it_order", "itin_a", "itin_b").join(shapes, ["itin_a", "itin_b"])
     end = F.element_at("pts", -1)
     segs = scan(
-        segs, ["tr_line"], ["it_order"], bucket=layout.bucket("it_order"),
+        segs, [*by, "tr_line"], ["it_order"], bucket=layout.bucket("it_order"),
         running={"_upto": F.col("length")}, lag={"_px": end["x"], "_py": end["y"]},
     )
     rows = segs.select(
-        "tr_line", "it_order", (F.col("_upto") - F.col("length")).alias("_base"), "_px", "_py", F.posexplode("pts").alias("_p", "_v")
+        *by, "tr_line", "it_order", (F.col("_upto") - F.col("length")).alias("_base"), "_px", "_py", F.posexplode("pts").alias("_p", "_v")
     )
     again = F.col("_v.dup") | (
         (F.col("_p") == 0) & F.coalesce((F.col("_v.x") == F.col("_px")) & (F.col("_v.y") == F.col("_py")), F.lit(False))
     )
     return rows.filter(~again).select(
-        "tr_line", "it_order", (F.col("_p") + 1).alias("ord"), F.col("_v.x").alias("x"), F.col("_v.y").alias("y"),
+        *by, "tr_line", "it_order", (F.col("_p") + 1).alias("ord"), F.col("_v.x").alias("x"), F.col("_v.y").alias("y"),
         (F.col("_base") + F.col("_v.mo")).alias("m"),
     )
 
 
-def reuse_stored(stored: DataFrame, itin: DataFrame, unchanged: DataFrame, directed: DataFrame, layout: RunLayout = SHORT) -> DataFrame:
-    """Stored vertices of unchanged lines, rebuilt ones of all others: (tr_line, x, y, m)."""
-    keys = unchanged.select("tr_line").distinct()
-    kept = stored.join(keys, "tr_line", "left_semi").select("tr_line", "x", "y", round_half_away("m", 5).alias("m"))
-    rest = itin.join(keys, "tr_line", "left_anti")
-    return kept.unionByName(route_vertices(rest, directed, layout).select("tr_line", "x", "y", "m"))
+def reuse_stored(
+    stored: DataFrame, itin: DataFrame, unchanged: DataFrame, directed: DataFrame, layout: RunLayout = RUNS, by: Sequence[str] = ()
+) -> DataFrame:
+    """Stored vertices of unchanged lines, rebuilt ones of all others: (by.., tr_line, x, y, m)."""
+    key = [*by, "tr_line"]
+    keys = unchanged.select(*key).distinct()
+    kept = stored.join(keys, key, "left_semi").select(*key, "x", "y", round_half_away("m", 5).alias("m"))
+    rest = itin.join(keys, key, "left_anti")
+    return kept.unionByName(route_vertices(rest, directed, layout, by).select(*key, "x", "y", "m"))
 
 
-def chain_nodes(vertices: DataFrame, nodes: DataFrame, by: list[str], seq: str, layout: RunLayout = SHORT) -> DataFrame:
+def chain_nodes(vertices: DataFrame, nodes: DataFrame, by: list[str], seq: str, layout: RunLayout = RUNS) -> DataFrame:
     """Consecutive nodes along a stored polyline: (by.., seq, itin_a, itin_b).
 
     Vertices meet nodes on rounded coordinates; what lies between two nodes is passed over.
@@ -94,18 +99,19 @@ def chain_nodes(vertices: DataFrame, nodes: DataFrame, by: list[str], seq: str,
 
 
 def rebuild_future_routes(
-    stored: DataFrame, old_nodes: DataFrame, pieces: DataFrame, directed: DataFrame, layout: RunLayout = SHORT
+    stored: DataFrame, old_nodes: DataFrame, pieces: DataFrame, directed: DataFrame, layout: RunLayout = RUNS, by: Sequence[str] = ()
 ) -> DataFrame:
     """Polylines of future lines after edits.
 
     Stored vertices give the node chain before the edit, split links put their pieces into it, and the
     vertices of the new links are measured along the result.
     """
-    chain = chain_nodes(stored, old_nodes, ["tr_line"], "seq", layout)
+    key = [*by, "tr_line"]
+    chain = chain_nodes(stored, old_nodes, key, "seq", layout)
     keyed = order_pieces(pieces).select(F.col("a").alias("itin_a"), F.col("b").alias("itin_b"), "o", "tempa", "tempb")
-    rows = chain.select("tr_line", "seq", "itin_a", "itin_b").join(keyed, ["itin_a", "itin_b"], "left")
+    rows = chain.select(*key, "seq", "itin_a", "itin_b").join(keyed, ["itin_a", "itin_b"], "left")
     rows = rows.withColumns(
         {"itin_a": F.coalesce("tempa", "itin_a"), "itin_b": F.coalesce("tempb", "itin_b"), "o": F.coalesce("o", F.lit(0))}
     )
-    rows = scan(rows, ["tr_line"], ["seq", "o"], bucket=layout.bucket("seq"), number="it_order")
-    return route_vertices(rows, directed, layout)
+    rows = scan(rows, key, ["seq", "o"], bucket=layout.bucket("seq"), number="it_order")
+    return route_vertices(rows, directed, layout, by)

@@ -34,6 +34,11 @@ def directed_rail_links(links: DataFrame) -> DataFrame:
     return both
 
 
+def drawn_first(directed: DataFrame) -> DataFrame:
+    """One link per directed pair; the drawn direction wins over a derived one."""
+    return first_per_key(directed, ["a", "b"], ["opposite", "miles"])
+
+
 def link_miles(directed: DataFrame) -> DataFrame:
     """One length per directed pair; the drawn direction wins over a derived one."""
     cols = directed.select("a", "b", "miles", "opposite")

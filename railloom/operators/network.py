@@ -53,6 +53,13 @@ def scenario_network(base: DataFrame, future: DataFrame) -> DataFrame:
     return first_per_key(both, ["scenario", "a", "b"], ["_src"]).drop("_src")
 
 
+def coded_by_period(coded: DataFrame, scenarios: Sequence[int]) -> DataFrame:
+    """Coded routes, one copy per scenario and period of their digit sets."""
+    rows = per_scenario(coded, scenarios, "scenario")
+    tods = F.filter(F.array(*[F.lit(p) for p in ALL_TODS]), lambda p: F.col("_t").contains(p.cast("string")))
+    return rows.withColumnRenamed("tod", "_t").withColumn("tod", F.explode(tods)).drop("_t")
+
+
 def tod_runs(base: DataFrame, coded: DataFrame, scenarios: Sequence[int]) -> DataFrame:
     """Runs per scenario and period: base runs by start hour, and action-1 routes by their coded sets.
 
@@ -62,9 +69,7 @@ def tod_runs(base: DataFrame, coded: DataFrame, scenarios: Sequence[int]) -> Dat
     own = base.withColumns({"tod": C.time_of_day("strthour"), "acthdwy": F.lit(None).cast("double")})
     own = own.withColumn("headway", F.col("headway").cast("double"))
     own = per_scenario(own, scenarios).withColumn("_src", F.lit(0))
-    new = per_scenario(coded.filter(F.col("action") == 1), scenarios, "scenario")
-    tods = F.filter(F.array(*[F.lit(p) for p in ALL_TODS]), lambda p: F.col("_t").contains(p.cast("string")))
-    new = new.withColumnRenamed("tod", "_t").withColumn("tod", F.explode(tods)).drop("_t", "action")
+    new = coded_by_period(coded.filter(F.col("action") == 1), scenarios).drop("action")
     value = C.period_value("headway", F.col("tod"))
     # Two steps: a lambda over `headway` must not sit beside its replacement in one projection.
     new = new.withColumn("acthdwy", value).withColumns({"headway": F.col("acthdwy"), "_src": F.lit(1)})

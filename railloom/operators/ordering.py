@@ -9,17 +9,14 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..session import durable
-from .sequence import ROWS_PER_TASK
 
 
-def sorted_positions(df: DataFrame, order: Sequence[str | Column], name: str, limit: int = ROWS_PER_TASK) -> DataFrame:
+def sorted_positions(df: DataFrame, order: Sequence[str | Column], name: str) -> DataFrame:
     """1..n position of every row in a global order.
 
     The sorted copy is written once; its partitions are then stable, each is numbered on its own and
-    shifted by the sizes of those before it. Up to `limit` rows one partition holds all.
+    shifted by the sizes of those before it.
     """
-    if df.count() <= limit:
-        return df.withColumn(name, F.row_number().over(W.orderBy(*order)).cast("long"))
     part = durable(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()))
     sizes = part.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)

@@ -1,4 +1,7 @@
-"""Data checks. Each returns rows (check, key, detail); an empty frame means clean."""
+"""Data checks. Each returns rows (check, key, detail); an empty frame means clean.
+
+`by` names columns, such as scenario and period, that rows are told apart by; they stand in front of the key.
+"""
 
 from __future__ import annotations
 
@@ -10,18 +13,22 @@ from pyspark.sql import functions as F
 
 from ..functions.core import MAX_ZONE, is_junction
 from . import itinerary as I
-from .sequence import SHORT, RunLayout
+from .sequence import RUNS, RunLayout
 
 COLUMNS = ("check", "key", "detail")
 
 
-def _rows(df: DataFrame, check: str, key: Column | str, *detail: Column | str) -> DataFrame:
-    key = F.col(key) if isinstance(key, str) else key
+def _rows(df: DataFrame, check: str, key: Column | str, *detail: Column | str, by: Sequence[str] = ()) -> DataFrame:
+    key = _key(F.col(key) if isinstance(key, str) else key, by)
     parts = [F.coalesce((F.col(d) if isinstance(d, str) else d).cast("string"), F.lit(".")) for d in detail]
     text = F.concat_ws(" ", *parts) if parts else F.lit("")
     return df.select(F.lit(check).alias("check"), key.cast("string").alias("key"), text.alias("detail"))
 
 
+def _key(key: Column, by: Sequence[str]) -> Column:
+    return F.concat_ws("|", *[F.col(c).cast("string") for c in by], key.cast("string")) if by else key
+
+
 def same_end_single(bad_segments: DataFrame) -> DataFrame:
     return _rows(bad_segments, "bad_itinerary", "line", "itin_a", "itin_b")
 
@@ -79,13 +86,13 @@ def header_rules(routes: DataFrame) -> DataFrame:
     return found.select("check", F.col("tr_line").alias("key"), F.lit("").alias("detail"))
 
 
-def too_many_layovers(itin: DataFrame, coded: Column, allowed: int = 2) -> DataFrame:
-    counts = itin.filter(coded).groupBy("tr_line").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > allowed)
-    return _rows(counts, "too_many_layovers", "tr_line", "n")
+def too_many_layovers(itin: DataFrame, coded: Column, allowed: int = 2, by: Sequence[str] = ()) -> DataFrame:
+    counts = itin.filter(coded).groupBy(*by, "tr_line").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > allowed)
+    return _rows(counts, "too_many_layovers", "tr_line", "n", by=by)
 
 
-def itinerary_gaps(itin: DataFrame, layout: RunLayout = SHORT) -> DataFrame:
-    return _rows(I.gaps(itin, layout), "itinerary_gap", "tr_line", "it_order", "itin_a", "z")
+def itinerary_gaps(itin: DataFrame, layout: RunLayout = RUNS, by: Sequence[str] = ()) -> DataFrame:
+    return _rows(I.gaps(itin, layout, by), "itinerary_gap", "tr_line", "it_order", "itin_a", "z", by=by)
 
 
 def bad_ends(itin: DataFrame, max_zone: int = MAX_ZONE) -> DataFrame:
@@ -94,19 +101,19 @@ def bad_ends(itin: DataFrame, max_zone: int = MAX_ZONE) -> DataFrame:
     return _rows(pairs, "bad_segment", F.concat_ws("-", F.col("itin_a"), F.col("itin_b")))
 
 
-def junction_stops(itin: DataFrame) -> DataFrame:
-    return _rows(itin.filter(is_junction("itin_b") & (F.col("dw_code") == "0")), "stop_at_junction", "tr_line", "itin_a", "itin_b")
+def junction_stops(itin: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    return _rows(itin.filter(is_junction("itin_b") & (F.col("dw_code") == "0")), "stop_at_junction", "tr_line", "itin_a", "itin_b", by=by)
 
 
-def link_faults(links: DataFrame) -> DataFrame:
+def link_faults(links: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     hits = F.array_compact(
         F.array(
             F.when(F.col("miles") == 0, F.lit("link_without_length")),
             F.when(F.coalesce(F.trim("modes1"), F.lit("")) == "", F.lit("link_without_mode")),
         )
     )
-    found = links.select("a", "b", F.explode(hits).alias("check"))
-    return found.select("check", F.concat_ws("-", F.col("a"), F.col("b")).alias("key"), F.lit("").alias("detail"))
+    found = links.select(*by, "a", "b", F.explode(hits).alias("check"))
+    return found.select("check", _key(F.concat_ws("-", F.col("a"), F.col("b")), by).alias("key"), F.lit("").alias("detail"))
 
 
 def node_faults(nodes: DataFrame) -> DataFrame:
@@ -122,24 +129,24 @@ def several_coordinates(ends: DataFrame, first_temporary: int = 90000) -> DataFr
     return _rows(places.filter(F.col("n") > 1), "several_coordinates", "node", "n")
 
 
-def extension_orders(segments: DataFrame) -> DataFrame:
+def extension_orders(segments: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     bad = segments.filter((F.col("it_order") > -1) & (F.col("it_order") < 1001))
-    return _rows(bad, "bad_extension_order", "tr_line", "it_order")
+    return _rows(bad, "bad_extension_order", "tr_line", "it_order", by=by)
 
 
-def generic_uses_deleted(itin: DataFrame, deleted: DataFrame) -> DataFrame:
+def generic_uses_deleted(itin: DataFrame, deleted: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     generic = itin.filter(F.col("tr_line").contains("*"))
     hits = None
     for end in ("itin_a", "itin_b"):
         part = generic.join(deleted.select(F.col("node").alias(end)).distinct(), end, "left_semi")
-        part = part.select("tr_line", "it_order", F.col(end).alias("node"))
+        part = part.select(*by, "tr_line", "it_order", F.col(end).alias("node"))
         hits = part if hits is None else hits.unionByName(part)
-    return _rows(hits.distinct(), "generic_line_uses_deleted_node", "tr_line", "it_order", "node")
+    return _rows(hits.distinct(), "generic_line_uses_deleted_node", "tr_line", "it_order", "node", by=by)
 
 
-def one_sided_routes(only: DataFrame) -> DataFrame:
+def one_sided_routes(only: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """From `reconcile`: lines found in one of the two tables only."""
-    return _rows(only, "dropped_route", "tr_line", "side")
+    return _rows(only, "dropped_route", "tr_line", "side", by=by)
 
 
 def violations(*checks: DataFrame) -> DataFrame:

@@ -1,8 +1,12 @@
 """Ordered scans inside a key: numbering, running sums, neighbours, group edges.
 
-A window partition is one task. Runs are short, so that is normally the best plan; a key that holds
-more rows than one task should sort is cut into order-preserving buckets instead. Each bucket is
-scanned on its own and then shifted by what the buckets before it hold, which is one row per bucket.
+A window partition is one task. A scheduled run has some hundred segments at most, so a run is one
+window unless the caller passes a bucket length; the plan never depends on how many rows there are.
+With a length, runs are cut into order-preserving buckets, each scanned on its own and then shifted by
+what the buckets before it hold, which is one row per bucket. Keys that can be huge (line prefixes,
+groups, stations) go through `cut_by_range` instead.
+
+Fractions are added up as whole numbers of 1e-8, so neither buckets nor the order of adding change a sum.
 """
 
 from __future__ import annotations
@@ -14,20 +18,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-ROWS_PER_TASK = 1_000_000
-
 _BK = "_bucket"
+_UNIT = 1e8
 
 
 @dataclass(frozen=True)
 class RunLayout:
-    """`rows` is None when every key is known to fit one task, else the bucket length.
-
-    `total` is the number of rows of the measured table, where known.
-    """
+    """`rows` is the bucket length of runs, None for one window per run."""
 
     rows: int | None = None
-    total: int | None = None
 
     def bucket(self, position: str | Column) -> Column | None:
         if self.rows is None:
@@ -36,16 +35,15 @@ class RunLayout:
         return F.floor(col / F.lit(self.rows))
 
 
-SHORT = RunLayout()
+RUNS = RunLayout()
 
 
-def detect_layout(df: DataFrame, key: str, limit: int = ROWS_PER_TASK) -> RunLayout:
-    """Measure the longest key once. A table of at most `limit` rows needs no look at the keys."""
-    total = df.count()
-    if total <= limit:
-        return RunLayout(None, total)
-    longest = df.groupBy(key).count().agg(F.max("count")).first()[0]
-    return RunLayout(None if longest <= limit else limit, total)
+def _fractions(df: DataFrame, sums: Mapping[str, Column]) -> set[str]:
+    """Names of the sums over fractional columns."""
+    if not sums:
+        return set()
+    kinds = df.select(*[c.alias(n) for n, c in sums.items()]).dtypes
+    return {n for n, kind in kinds if kind in ("double", "float")}
 
 
 def scan(
@@ -76,6 +74,16 @@ def scan(
     running, total = dict(running or {}), dict(total or {})
     lag, lead, carry = dict(lag or {}), dict(lead or {}), dict(carry or {})
     by, order = list(by), list(order)
+    whole_numbers = _fractions(df, {**running, **total})
+
+    def units(name: str, c: Column) -> Column:
+        return F.round(c * _UNIT).cast("long") if name in whole_numbers else c
+
+    def value(name: str, c: Column) -> Column:
+        return c / _UNIT if name in whole_numbers else c
+
+    running = {n: units(n, c) for n, c in running.items()}
+    total = {n: units(n, c) for n, c in total.items()}
 
     if bucket is None:
         w = W.partitionBy(*by).orderBy(*order)
@@ -90,8 +98,8 @@ def scan(
             out[last] = F.lead(F.lit(1)).over(w).isNull()
         if size:
             out[size] = F.count(F.lit(1)).over(whole)
-        out.update({n: F.sum(c).over(upto) for n, c in running.items()})
-        out.update({n: F.sum(c).over(whole) for n, c in total.items()})
+        out.update({n: value(n, F.sum(c).over(upto)) for n, c in running.items()})
+        out.update({n: value(n, F.sum(c).over(whole)) for n, c in total.items()})
         out.update({n: F.lag(c).over(w) for n, c in lag.items()})
         out.update({n: F.lead(c).over(w) for n, c in lead.items()})
         out.update({n: F.last(c, ignorenulls=True).over(upto) for n, c in carry.items()})
@@ -141,9 +149,9 @@ def scan(
         out[size] = F.col("_e_size")
     for n in running:
         both = F.coalesce(F.col(f"_l_rs_{n}"), F.col(f"_e_rs_{n}"))
-        out[n] = F.coalesce(F.col(f"_l_rs_{n}") + F.col(f"_e_rs_{n}"), both)
+        out[n] = value(n, F.coalesce(F.col(f"_l_rs_{n}") + F.col(f"_e_rs_{n}"), both))
     for n in total:
-        out[n] = F.col(f"_e_tt_{n}")
+        out[n] = value(n, F.col(f"_e_tt_{n}"))
     for n in lag:
         out[n] = F.when(F.col("_l_n") == 1, F.col(f"_e_lg_{n}")).otherwise(F.col(f"_l_lg_{n}"))
     for n in lead:

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import durable
-from .sequence import ROWS_PER_TASK
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -34,9 +33,10 @@ def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     return union_all(old.join(new.select(*keys).distinct(), list(keys), "left_anti"), new)
 
 
-def reconcile(left: DataFrame, right: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+def reconcile(left: DataFrame, right: DataFrame, key: str | Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """Rows of `left` whose key is on both sides, and the keys found on one side only."""
-    lk, rk = left.select(key).distinct(), right.select(key).distinct()
+    key = [key] if isinstance(key, str) else list(key)
+    lk, rk = left.select(*key).distinct(), right.select(*key).distinct()
     good = left.join(rk, key, "left_semi")
     only = lk.join(rk, key, "left_anti").withColumn("side", F.lit("left"))
     only = only.unionByName(rk.join(lk, key, "left_anti").withColumn("side", F.lit("right")))
@@ -60,16 +60,11 @@ def require_same_schema(have: DataFrame, add: DataFrame) -> None:
         raise ValueError(f"schemas differ: {diff}")
 
 
-def cut_by_range(
-    df: DataFrame, by: Sequence[str], order: Sequence[str], limit: int = ROWS_PER_TASK, at_most: int | None = None
-) -> tuple[DataFrame, Column | None]:
+def cut_by_range(df: DataFrame, by: Sequence[str], order: Sequence[str]) -> tuple[DataFrame, Column]:
     """Prepare a scan over few, possibly huge keys.
 
-    Up to `limit` rows any key fits one task; `at_most` is a bound the caller knows, else the rows are
-    counted. Beyond it they are range partitioned on key and order and written out once, so that the
-    partition number is a stable, order-preserving bucket.
+    Rows are range partitioned on key and order and written out once, so that the partition number is a
+    stable, order-preserving bucket and no task needs to hold a whole key.
     """
-    if (df.count() if at_most is None else at_most) <= limit:
-        return df, None
     cut = durable(df.repartitionByRange(*by, *order).withColumn("_range", F.spark_partition_id()))
     return cut, F.col("_range")

@@ -14,7 +14,7 @@ from ..operators import itinerary as I
 from ..operators import qc as Q
 from ..operators.links import directed_rail_links, link_miles
 from ..operators.runs import run_statistics
-from ..operators.sequence import RunLayout, detect_layout
+from ..operators.sequence import RUNS, RunLayout
 from ..session import durable
 
 
@@ -28,10 +28,12 @@ class Imported:
 
 def import_feed(
     runs: DataFrame, segments: DataFrame, links: DataFrame, fares: DataFrame, base: bool = True,
-    layout: RunLayout | None = None, ranges=S.NETWORKS, max_zone: int = MAX_ZONE,
+    layout: RunLayout = RUNS, ranges=S.NETWORKS, max_zone: int = MAX_ZONE, strict: bool = True,
 ) -> Imported:
-    """Feed runs and segments to route headers and gap-filled, timed and measured itineraries."""
-    layout = layout or detect_layout(segments, "line")
+    """Feed runs and segments to route headers and gap-filled, timed and measured itineraries.
+
+    With `strict`, the job ends when a check reports anything.
+    """
     lengths = durable(link_miles(directed_rail_links(links)))
     good, bad = S.usable_segments(segments)
     routes = durable(S.format_runs(runs, good, base))
@@ -47,15 +49,19 @@ def import_feed(
     itinerary = S.final_itinerary(filled, layout)
     measured = I.measure(itinerary.join(mi, ["itin_a", "itin_b"], "left").na.fill(0.0, ["miles"]), layout).drop("miles")
     found = Q.violations(Q.same_end_single(bad), Q.bad_ends(measured, max_zone), Q.not_on_link(measured, lengths))
+    if strict:
+        Q.assert_clean(found)
     return Imported(routes, measured, hold, found)
 
 
 def import_coding(
     header: DataFrame, itinerary: DataFrame, links: DataFrame, old_routes: DataFrame, old_itinerary: DataFrame,
-    layout: RunLayout | None = None, ranges=S.NETWORKS,
+    layout: RunLayout = RUNS, ranges=S.NETWORKS, strict: bool = True,
 ) -> Imported:
-    """Coded projects replace their lines in the future route and itinerary tables."""
-    layout = layout or detect_layout(itinerary, "tr_line")
+    """Coded projects replace their lines in the future route and itinerary tables.
+
+    With `strict`, the job ends when a check reports anything.
+    """
     lengths = durable(link_miles(directed_rail_links(links)))
     routes = durable(D.read_headers(header))
     segments = durable(D.read_segments(itinerary, routes))
@@ -77,4 +83,6 @@ def import_coding(
         Q.too_many_layovers(segments, (F.col("action") == 1) & (F.col("lo") != "")),
         Q.itinerary_gaps(on.filter(F.col("action") == 1), layout),
     )
+    if strict:
+        Q.assert_clean(found)
     return Imported(all_routes, all_itin, None, found)

@@ -16,7 +16,7 @@ from ..operators import qc as Q
 from ..operators import runs as R
 from ..operators.clustering import similar_runs
 from ..operators.links import both_directions
-from ..operators.sequence import SHORT, RunLayout
+from ..operators.sequence import RUNS, RunLayout
 from ..operators.spatial import node_zones
 from ..operators.summary import line_summary
 from ..operators.tables import first_per_key
@@ -35,6 +35,7 @@ class Scenario:
     nodes: DataFrame
     summary: DataFrame
     violations: DataFrame
+    scenarios: tuple[int, ...] = ()
 
 
 def collapse_cta(runs: DataFrame, itin: DataFrame) -> DataFrame:
@@ -58,11 +59,13 @@ def build_scenarios(
     runs: DataFrame, itin: DataFrame, links: DataFrame, nodes: DataFrame, coded_runs: DataFrame, coded_itin: DataFrame,
     movers: DataFrame, scenarios: Sequence[int], zones: DataFrame | None = None, zone_cell: float = 80_000.0,
     excluded: DataFrame | None = None, actions: dict[str, DataFrame] | None = None,
-    layout: RunLayout = SHORT, max_zone: int = C.MAX_ZONE,
+    layout: RunLayout = RUNS, max_zone: int = C.MAX_ZONE, strict: bool = True,
 ) -> Scenario:
     """Runs, itineraries, links, nodes and summary of every scenario and period.
 
-    `actions` holds the coded rows of the actions by scenario and period, named as in `apply_actions`.
+    Runs and coded runs carry description, veh_type and speed for the line file; lines that a project of
+    `coded_runs` changes are marked in their description. `actions` holds the coded rows of the actions by
+    scenario and period, named as in `apply_actions`. With `strict`, the job ends when a check reports anything.
     """
     spark = itin.sparkSession
     if excluded is None:
@@ -73,17 +76,16 @@ def build_scenarios(
     if actions:
         rows = A.apply_actions(rows, by=BY, tod=F.col("tod"), layout=layout, **actions)
     rows = durable(rows)
-    kept = durable(collapse_cta(periods, rows))
+    marked = collapse_cta(periods, rows)
+    coded = N.coded_by_period(coded_runs, scenarios).select(*BY, "tr_line", "action")
+    kept = durable(A.revise_descriptions(marked, coded, F.col("scenario"), BY))
     heads = kept.select(*BY, "tr_line", "mode", "longname")
-    # One key per run of a scenario and period, so that the ordered scans see separate runs.
-    run_key = F.concat_ws("|", "scenario", "tod", "tr_line")
-    final = rows.join(heads, [*BY, "tr_line"]).withColumns({"line": F.col("tr_line"), "tr_line": run_key})
-    final = I.finish_itinerary(final, excluded, layout)
-    final = durable(final.withColumn("tr_line", F.col("line")).drop("line"))
+    final = durable(I.finish_itinerary(rows.join(heads, [*BY, "tr_line"]), excluded, layout, by=BY))
     base = N.per_scenario(links, scenarios)
     base = N.without_closed_movers(base, N.closed_movers(movers, scenarios))
     tods = F.explode(F.array(*[F.lit(p) for p in N.ALL_TODS])).alias("tod")
-    net = durable(N.service_network(base.select("*", tods), final, BY, max_zone))
+    plain = base.select(*[c for c in base.columns if c != "vertices"], tods)  # drawings stay out of the copies per period
+    net = durable(N.service_network(plain, final, BY, max_zone))
     table = N.network_node_table(net, nodes, BY, F.col("scenario"), max_zone)
     if zones is not None:
         table = table.join(node_zones(nodes, zones, zone_cell).select("node", "zone"), "node", "left")
@@ -93,10 +95,15 @@ def build_scenarios(
     summed = final.filter(F.col("tod").isin(2, 4))
     summary = scenario_summary(summed, lengths, kept.filter(F.col("tod").isin(2, 4)))
     found = Q.violations(
-        Q.too_many_layovers(rows, F.coalesce(F.col("layover").try_cast("double"), F.lit(0.0)) > 0),
-        Q.junction_stops(final), Q.link_faults(net), Q.node_faults(table.select("node", "point_x", "point_y").distinct()),
+        Q.too_many_layovers(rows, F.coalesce(F.col("layover").try_cast("double"), F.lit(0.0)) > 0, by=BY),
+        Q.itinerary_gaps(final, layout, BY), Q.junction_stops(final, BY), Q.link_faults(net, BY),
+        Q.node_faults(table.select("node", "point_x", "point_y").distinct()),
     )
-    return Scenario(kept, final, net, table, summary, found)
+    if actions and actions.get("extensions") is not None:
+        found = Q.violations(found, Q.extension_orders(actions["extensions"].withColumn("tr_line", F.col("ln")), BY))
+    if strict:
+        Q.assert_clean(found)
+    return Scenario(kept, final, net, table, summary, found, tuple(scenarios))
 
 
 def scenario_summary(itin: DataFrame, lengths: DataFrame, runs: DataFrame) -> DataFrame:
@@ -112,14 +119,14 @@ def scenario_summary(itin: DataFrame, lengths: DataFrame, runs: DataFrame) -> Da
     return line_summary(rows, keyed(lengths, ["a", "b"]), runs, (*BY, "mode", "longname"))
 
 
-def write_scenarios(built: Scenario, vertices: DataFrame, path: str, date: str, layout: RunLayout = SHORT) -> None:
+def write_scenarios(built: Scenario, vertices: DataFrame, path: str, date: str, layout: RunLayout = RUNS) -> None:
     """The files of every scenario and period below `path`.
 
     Text folders are partitioned by scenario and period; their part files follow each other in order.
     """
     spark = built.itinerary.sparkSession
-    # One header per scenario asked for and period.
-    keys = [tuple(r) for r in built.runs.select(*BY).distinct().orderBy(*BY).collect()]
+    # One header per scenario asked for and period, with or without runs.
+    keys = [(s, p) for s in built.scenarios for p in N.ALL_TODS]
 
     def header(texts) -> DataFrame:
         data = [(s, p, i, line) for s, p in keys for i, line in enumerate(texts(s, p))]
@@ -129,17 +136,16 @@ def write_scenarios(built: Scenario, vertices: DataFrame, path: str, date: str,
         rows = with_header(body, header(texts), BY, order)
         write_text(rows, f"{path}/{name}", ["_sec", "_no", *order], BY)
 
-    heads = built.runs.select(*BY, "tr_line", "headway", F.col("longname").alias("description"))
-    heads = heads.withColumns({"veh_type": F.when(F.startswith("tr_line", F.lit("c")), 7).otherwise(8), "speed": F.lit(60.0)})
-    rows = built.itinerary.join(heads, [*BY, "tr_line"])
-    rows = rows.withColumns({"line": F.col("tr_line"), "tr_line": F.concat_ws("|", "scenario", "tod", "tr_line")})
-    rows = I.mark_ends(rows, layout).withColumn("tr_line", F.col("line")).drop("line")
+    heads = built.runs.select(*BY, "tr_line", "headway", "description", "veh_type", "speed")
+    rows = I.mark_ends(built.itinerary.join(heads, [*BY, "tr_line"]), layout, by=BY)
     text("lines", L.transit_lines(rows, BY), ["tr_line", "it_order", "part"], lambda s, p: L.transit_header(s, p, date))
     nodes = built.nodes if "zone" in built.nodes.columns else built.nodes.withColumn("zone", F.lit(None).cast("int"))
     text("node_attributes", L.node_attributes(nodes, BY), ["node"], lambda s, p: L.node_attributes_header(s, p, date))
     text("network", L.network_file(nodes, built.links, BY), ["section", "k1", "k2"], lambda s, p: L.network_header(s, p, date))
     pairs = built.links.select("scenario", "a", "b").distinct()
     shapes = L.link_shapes(pairs, vertices, ("scenario",))
-    write_text(shapes, f"{path}/link_shapes", ["a", "b", "ord"], ("scenario",))
+    first = [(s, i, line) for s in built.scenarios for i, line in enumerate(L.link_shape_header(s, date))]
+    shapes = with_header(shapes, spark.createDataFrame(first, "scenario INT, no INT, line STRING"), ("scenario",), ["a", "b", "ord"])
+    write_text(shapes, f"{path}/link_shapes", ["_sec", "_no", "a", "b", "ord"], ("scenario",))
     write_csv(pairs, f"{path}/links", False, ["scenario", "a", "b"])
     write_csv(built.summary, f"{path}/summary", True, [*BY, "mode", "longname"])

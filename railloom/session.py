@@ -25,32 +25,46 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession:
-    """Session for tests and the bench; a cluster brings its own."""
+    """Session for tests and the bench; a cluster brings its own. States of loops that nothing reads any more are deleted."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("railloom")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     spark = tune(builder.getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
 
-def _ensure_checkpoint_dir(spark: SparkSession) -> None:
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of `spark.checkpoint.dir`; only a session in one process may do without and gets its own."""
     sc = spark.sparkContext
-    if sc.getCheckpointDir() is not None:
-        return
-    shared = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    shared = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if shared is None:
-        if not sc.master.startswith("local"):
+        if sc.master.split("[")[0] != "local":
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         shared = tempfile.mkdtemp(prefix="railloom-checkpoint-")
-    sc.setCheckpointDir(shared)
+        spark.conf.set("spark.checkpoint.dir", shared)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(shared)
+    return shared.rstrip("/")
 
 
 def durable(df: DataFrame) -> DataFrame:
     """Materialise in the shared checkpoint folder, so that a lost executor costs no earlier round."""
-    _ensure_checkpoint_dir(df.sparkSession)
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def replace_state(old: DataFrame, new: DataFrame) -> DataFrame:
+    """The state of a loop's next round, written; the files of the round before are deleted, which nothing may read any more."""
+    new = durable(new)
+    path = old._jdf.queryExecution().logical().rdd().getCheckpointFile()
+    if path.isDefined():
+        jvm, conf = new.sparkSession._jvm, new.sparkSession._jsc.hadoopConfiguration()
+        place = jvm.org.apache.hadoop.fs.Path(path.get())
+        place.getFileSystem(conf).delete(place, True)
+    return new

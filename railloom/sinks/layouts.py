@@ -70,13 +70,16 @@ def node_attributes_header(scenario: int, tod: int, date: str) -> list[str]:
 
 
 def network_file(nodes: DataFrame, links: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """(by.., section, k1, k2, line): nodes are section 1, links 2."""
+    """(by.., section, k1, k2, line): nodes are section 1, the blank line and the record in front of the links 2, links 3."""
     xy = [F.format_string("%.6f", F.col(c)) for c in ("point_x", "point_y")]
     node = _join("a  ", _str("node"), "  ", xy[0], " ", xy[1], "   0  0  0 ", F.coalesce("label", F.lit("")))
     link = _join("a   ", _str("a"), "   ", _str("b"), "   ", number_text("miles"), "   ", F.coalesce("modes1", F.lit("")), "   1  0  1")
     n = nodes.select(*by, F.lit(1).alias("section"), F.col("node").alias("k1"), F.lit(0).alias("k2"), node.alias("line"))
-    m = links.select(*by, F.lit(2).alias("section"), F.col("a").alias("k1"), F.col("b").alias("k2"), link.alias("line"))
-    return n.unionByName(m)
+    m = links.select(*by, F.lit(3).alias("section"), F.col("a").alias("k1"), F.col("b").alias("k2"), link.alias("line"))
+    parts = n.select(*by).unionByName(m.select(*by)).distinct() if by else nodes.sparkSession.range(1)
+    records = F.posexplode(F.array(F.lit(""), F.lit("t links"))).alias("k2", "line")
+    between = parts.select(*by, F.lit(2).alias("section"), F.lit(0).alias("k1"), records)
+    return n.unionByName(between).unionByName(m)
 
 
 def network_header(scenario: int, tod: int, date: str) -> list[str]:

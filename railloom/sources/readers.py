@@ -23,6 +23,7 @@ ITINERARY_SHEET = (
     "tr_line STRING, ord DOUBLE, itin_a INT, itin_b INT, layover INT, dw_code STRING, trv_time DOUBLE, zn_fare DOUBLE"
 )
 LINK_VERTEX = "a INT, b INT, directions INT, miles DOUBLE, modes1 STRING, modes2 STRING, id INT, x DOUBLE, y DOUBLE"
+VERTEX_LINE = "rte INT, x DOUBLE, y DOUBLE, m DOUBLE"
 ROUTE_VERTEX = "rte INT, tr_line STRING, x DOUBLE, y DOUBLE, m DOUBLE"
 ACTION_VERTEX = "link INT, tr_line STRING, action INT, x DOUBLE, y DOUBLE"
 

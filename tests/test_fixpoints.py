@@ -102,3 +102,29 @@ def test_no_pairs(spark):
     net = spark.createDataFrame([(1, 2, 3)], "a INT, b INT, weight INT")
     ask = spark.createDataFrame([], "src INT, dst INT")
     assert shortest_paths(ask, net).collect() == []
+
+
+def test_a_goal_out_of_reach_is_not_searched(spark):
+    from railloom.operators.paths import distances, in_reach
+
+    links = [(i, i + 1, 1) for i in range(60)] + [(i + 1, i, 1) for i in range(60)] + [(100, 101, 1)]
+    net = spark.createDataFrame(links, "a INT, b INT, weight INT")
+    pairs = spark.createDataFrame([(0, 2), (0, 101), (7, 5000)], "src INT, dst INT")
+    assert [tuple(r) for r in in_reach(pairs, net).collect()] == [(0, 2)]
+    assert distances(in_reach(pairs, net), net).count() <= 4
+    got = {(r["src"], r["dst"]): r["path"] for r in shortest_paths(pairs, net).collect()}
+    assert got == {(0, 2): [0, 1, 2], (0, 101): None, (7, 5000): None}
+
+
+def test_a_long_search_leaves_few_states(spark, tmp_path):
+    import os
+
+    from railloom.session import durable, replace_state
+
+    folder = spark.sparkContext.getCheckpointDir() or durable(spark.range(1)) and spark.sparkContext.getCheckpointDir()
+    place = folder.removeprefix("file:")
+    before = len(os.listdir(place))
+    state = durable(spark.range(10))
+    for _ in range(20):
+        state = replace_state(state, state.selectExpr("id + 1 AS id"))
+    assert len(os.listdir(place)) - before <= 3 and sorted(r[0] for r in state.collect()) == list(range(20, 30))

@@ -17,7 +17,7 @@ NAMES = (
 @pytest.fixture(scope="module")
 def cut(spark, sf_dir):
     tables_ = Tables(spark, sf_dir)
-    tables_._layout = RunLayout(2)
+    tables_.layout = RunLayout(2)
     return tables_
 
 

@@ -200,7 +200,7 @@ def test_period_runs_keep_base(spark):
 
 def test_positions_across_partitions(spark):
     df = spark.createDataFrame([(i * 7919 % 101, i) for i in range(101)], "v INT, i INT")
-    got = sorted_positions(df, ["v", "i"], "pos", limit=10).collect()
+    got = sorted_positions(df, ["v", "i"], "pos").collect()
     assert sorted((r["v"], r["pos"]) for r in got) == [(i, i + 1) for i in range(101)]
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from railloom.catalog.registry import tables
 from railloom.operators import tables as T
 from railloom.operators.links import two_way_vertices
-from railloom.plans.edits import propagate_edits, renumber
+from railloom.plans.edits import propagate_edits, propagate_future, renumber
 from railloom.plans.imports import import_coding, import_feed
 from railloom.plans.scenario import build_scenarios, write_scenarios
 from railloom.sinks import writers
@@ -17,6 +17,10 @@ from railloom.sources.dims import fare_zones
 RANGES = {"C": (30000, 39999), "M": (30000, 49999)}
 
 
+def extra():
+    return F.lit("downtown -local").alias("description"), F.lit(7).alias("veh_type"), F.lit(55.5).alias("speed")
+
+
 @pytest.fixture(scope="module")
 def t(spark, sf_dir):
     return tables(spark, sf_dir)
@@ -25,7 +29,7 @@ def t(spark, sf_dir):
 def test_feed_import(spark, t):
     segs = t["fx_feed_seg"].drop("tr_line", "mode")
     links = t["link_shape"].select("a", "b", "miles", "directions", "modes1", "modes2")
-    got = import_feed(t["fx_feed_run"], segs, links, fare_zones(spark), ranges=RANGES)
+    got = import_feed(t["fx_feed_run"], segs, links, fare_zones(spark), ranges=RANGES, strict=False)
     itin = got.itinerary
     first, last = F.min("it_order"), F.max("it_order")
     sizes = itin.groupBy("tr_line").agg(first.alias("lo"), last.alias("hi"), F.count("*").alias("n"))
@@ -42,7 +46,7 @@ def test_coding_import(t):
     links = t["link_shape"].select("a", "b", "miles", "directions", "modes1", "modes2")
     old_routes = t["fx_run"].select("tr_line", "mode")
     old_itin = t["fx_itin"].select("tr_line", "itin_a", "itin_b", "it_order")
-    got = import_coding(t["fx_fhead"], t["fx_fitin"], links, old_routes, old_itin, ranges=RANGES)
+    got = import_coding(t["fx_fhead"], t["fx_fitin"], links, old_routes, old_itin, ranges=RANGES, strict=False)
     assert got.routes.groupBy("tr_line").count().filter("count > 1").isEmpty()
     assert {"no_scenario", "junction_stop"} & {r[0] for r in got.violations.select("check").distinct().collect()}
     assert got.itinerary.count() > 0
@@ -51,7 +55,7 @@ def test_coding_import(t):
 def test_edit_propagation(t):
     shapes = t["link_shape"].withColumns({"orig_fid": F.col("a") * 10000 + F.col("b") % 10000, "shape_leng": F.lit(1.0)})
     itin = t["fx_mitin"]
-    out = propagate_edits(shapes, t["fx_node"], t["fx_run"], itin)
+    out = propagate_edits(shapes, t["fx_node"], t["fx_run"], itin, strict=False)
     assert out.pieces.isEmpty()
     assert out.itinerary.count() <= itin.count()
     links, again = renumber(t["link_shape"], t["fx_node"], itin)
@@ -61,8 +65,8 @@ def test_edit_propagation(t):
 
 def test_scenarios_to_files(spark, t, tmp_path):
     links = t["fx_link"]
-    coded = t["fx_future"].select("tr_line", "mode", "longname", "headway", "scenario", "tod", "action")
-    runs = t["fx_run"].select("tr_line", "mode", "longname", "headway", "strthour", "start_sec", "route_id")
+    coded = t["fx_future"].select("tr_line", "mode", "longname", "headway", "scenario", "tod", "action", *extra())
+    runs = t["fx_run"].select("tr_line", "mode", "longname", "headway", "strthour", "start_sec", "route_id", *extra())
     itin = t["fx_itin"].withColumn("zn_fare", F.lit(0.0))
     built = build_scenarios(
         runs, itin, links, t["fx_node"], coded, None, t["fx_mover"], (1, 3), t["zone_ring"],
@@ -70,7 +74,7 @@ def test_scenarios_to_files(spark, t, tmp_path):
             "stations": t["fx_station"].withColumns({"scenario": F.lit(3), "tod": F.lit(2)}),
             "spans": t["fx_span"].withColumns({"scenario": F.lit(3), "tod": F.lit(4)}),
         },
-        max_zone=100,
+        max_zone=100, strict=False,
     )
     assert built.violations.filter("check = 'duplicate_node'").isEmpty()
     write_scenarios(built, two_way_vertices(t["link_shape"]), str(tmp_path / "out"), "01JAN24")
@@ -79,6 +83,14 @@ def test_scenarios_to_files(spark, t, tmp_path):
     assert text[0] == "c RAIL TRANSIT BATCHIN FILE FOR SCENARIO 100 TOD 2"
     assert text[3] == "t lines init" and text[4].startswith("a  '")
     assert text[5] == "    path=no" and text[6] == "    dwt=0.01"
+    assert all("   7   " in x and "   55.5   'downtown -" in x for x in text if x.startswith("a  '"))
+    network = tmp_path / "out" / "network" / "scenario=3" / "tod=4"
+    body = "".join(f.read_text() for f in sorted(network.glob("part-*"))).splitlines()
+    at = body.index("t links")
+    assert body[3] == "t nodes" and body[at - 1] == "" and body[4].startswith("a  ") and len(body) > at + 1
+    shape = "".join(f.read_text() for f in sorted((tmp_path / "out" / "link_shapes" / "scenario=1").glob("part-*"))).splitlines()
+    assert shape[:3] == ["c RAIL LINK SHAPE FILE FOR SCENARIO 1", "c 01JAN24", "t linkvertices"] and shape[3].startswith("r ")
+    assert built.violations.filter("check = 'too_many_layovers'").filter("key NOT LIKE '%|%|%'").isEmpty()
     names = [x.split("'")[1] for x in text if x.startswith("a  '")]
     assert names == sorted(names)
     assert spark.read.csv(str(tmp_path / "out" / "summary"), header=True).count() == built.summary.count()
@@ -121,3 +133,48 @@ def test_systems_share_a_table(spark, tmp_path):
         spark.createDataFrame([(name, 1)], "tr_line STRING, v INT").write.parquet(str(tmp_path / name))
     got = readers.read_systems(spark, {n: str(tmp_path / n) for n in ("north", "south")}, "tr_line STRING, v INT")
     assert rows(got.select("system", "tr_line")) == [("north", "north"), ("south", "south")]
+
+
+def test_systems_with_equal_lines_stay_apart(spark):
+    """One link drawn in two pieces, one node gone, and the same line name in two systems."""
+    point = lambda x: (float(x), 0.0)
+    drawn = [(1, 1, 2, 2.0, 5.0, [point(0), point(10)]), (2, 1, 2, 2.0, 5.0, [point(10), point(20)]), (3, 2, 4, 3.0, 9.0, [point(20), point(40)])]
+    links = spark.createDataFrame(drawn, "orig_fid INT, a INT, b INT, miles DOUBLE, shape_leng DOUBLE, vertices ARRAY<STRUCT<x:DOUBLE,y:DOUBLE>>")
+    links = links.withColumns({"directions": F.lit(1), "modes1": F.lit("M"), "modes2": F.lit("M")})
+    nodes = spark.createDataFrame([(1, 0.0), (2, 20.0), (3, 30.0), (4, 40.0)], "node INT, point_x DOUBLE")
+    nodes = nodes.select("node", "point_x", F.lit(0.0).alias("point_y"), F.lit(0).alias("pspace"), F.lit(0).alias("pcost"), F.lit("").alias("label"))
+    cols = "system STRING, tr_line STRING, it_order INT, itin_a INT, itin_b INT, dw_code STRING, layover STRING, trv_time DOUBLE, dep_time INT, arr_time INT, zn_fare DOUBLE, f_meas DOUBLE, t_meas DOUBLE"
+    run = [(1, 1, 2, "0", "0", 10.0, 0, 600, 1.0, 0.0, 2.0), (2, 2, 3, "0", "0", 4.0, 700, 940, 0.0, 2.0, 3.0), (3, 3, 4, "0", "3", 6.0, 1000, 1360, 0.0, 3.0, 5.0)]
+    data = [("north", "m1", *r) for r in run] + [("south", "m1", *r) for r in run[:1]]
+    itin = spark.createDataFrame(data, cols)
+    routes = itin.select("system", "tr_line").distinct()
+    out = propagate_edits(links, nodes, routes, itin, strict=False)
+    got = rows(out.itinerary.select("system", "it_order", "itin_a", "itin_b", "trv_time", "dep_time", "arr_time"), "system", "it_order")
+    assert got == [
+        ("north", 1, 1, 90001, 5.0, 0, 300), ("north", 2, 90001, 2, 5.0, 300, 600), ("north", 3, 2, 4, 10.0, 700, 1360),
+        ("south", 1, 1, 90001, 5.0, 0, 300), ("south", 2, 90001, 2, 5.0, 300, 600),
+    ]
+    assert out.violations.filter("check = 'itinerary_gap'").isEmpty()
+    with pytest.raises(ValueError):
+        propagate_edits(links, nodes, routes.filter("system = 'north'"), itin)
+
+
+def test_future_lines_follow_the_edits(spark):
+    point = lambda x: (float(x), 0.0)
+    drawn = [(1, 1, 2, 2.0, 5.0, [point(0), point(10)]), (2, 1, 2, 2.0, 5.0, [point(10), point(20)]), (3, 2, 3, 1.0, 9.0, [point(20), point(30)])]
+    links = spark.createDataFrame(drawn, "orig_fid INT, a INT, b INT, miles DOUBLE, shape_leng DOUBLE, vertices ARRAY<STRUCT<x:DOUBLE,y:DOUBLE>>")
+    links = links.withColumns({"directions": F.lit(1), "modes1": F.lit("M"), "modes2": F.lit("M")})
+    nodes = spark.createDataFrame([(1, 0.0), (2, 20.0), (3, 30.0)], "node INT, point_x DOUBLE")
+    nodes = nodes.select("node", "point_x", F.lit(0.0).alias("point_y"), F.lit(0).alias("pspace"), F.lit(0).alias("pcost"), F.lit("").alias("label"))
+    cols = "tr_line STRING, action INT, it_order INT, itin_a INT, itin_b INT, dw_code STRING, dw_time DOUBLE, layover STRING, trv_time DOUBLE, zn_fare DOUBLE, f_meas DOUBLE, t_meas DOUBLE"
+    data = [(f"m{k}", k, 1, 1, 2, "0", 0.01, "", 10.0, 0.0, 0.0, 2.0) for k in (1, 3, 4, 5)]
+    itin = spark.createDataFrame(data, cols)
+    edited = propagate_edits(links, nodes, itin.select("tr_line").limit(0), itin.limit(0).withColumns({"dep_time": F.lit(0), "arr_time": F.lit(0)}), strict=False)
+    stored = spark.createDataFrame([(f"m{k}", s, x, 0.0) for k in (1, 3, 4, 5) for s, x in ((1, 0.0), (2, 10.0), (3, 20.0))], "tr_line STRING, seq INT, x DOUBLE, y DOUBLE")
+    orders, shapes = propagate_future(links, nodes, itin, stored, edited)
+    got = rows(orders.select("tr_line", "it_order", "itin_a", "itin_b", "trv_time"))
+    assert got == [
+        ("m1", 1, 1, 90001, 5.0), ("m1", 2, 90001, 2, 5.0), ("m3", 0, 1, 90001, 5.0), ("m3", 0, 90001, 2, 5.0),
+        ("m4", -1, 1, 90001, 5.0), ("m4", 1001, 90001, 2, 5.0), ("m5", 1, 1, 90001, 5.0), ("m5", 2, 90001, 2, 5.0),
+    ]
+    assert rows(shapes.filter("tr_line = 'm1'").select("x", "m")) == [(0.0, 0.0), (10.0, 1.0), (20.0, 2.0)]

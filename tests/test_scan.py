@@ -6,7 +6,7 @@ import pytest
 from helpers import rows
 from pyspark.sql import functions as F
 
-from railloom.operators.sequence import RunLayout, detect_layout, scan
+from railloom.operators.sequence import RunLayout, scan
 from railloom.operators.tables import cut_by_range
 
 
@@ -33,7 +33,7 @@ def outputs():
 
 
 def rounded(df):
-    return rows(df.withColumn("t", F.round("t", 6)).select("k", "o", "v", "x", *"nflsrtpqc"))
+    return rows(df.select("k", "o", "v", "x", *"nflsrtpqc"))  # sums too are equal to the last bit
 
 
 @pytest.mark.parametrize("size", [1, 7, 1000])
@@ -48,13 +48,11 @@ def test_buckets_equal_plain(spark, size, seed):
 def test_range_cut_equals_plain(spark):
     df = frame(spark, 3)
     plain = scan(df, ["k"], ["o"], **outputs())
-    ranged, bucket = cut_by_range(df, ["k"], ["o"], limit=10)
-    assert bucket is not None
+    ranged, bucket = cut_by_range(df.repartition(7), ["k"], ["o"])
     assert rounded(plain) == rounded(scan(ranged, ["k"], ["o"], bucket=bucket, **outputs()))
 
 
-def test_layout_is_measured(spark):
-    df = frame(spark, 4)
-    assert detect_layout(df, "k", limit=10_000).rows is None
-    assert detect_layout(df, "k", limit=100).rows == 100
-    assert detect_layout(df.filter("k <> 'a'"), "k", limit=10).rows is None
+def test_sums_do_not_depend_on_order(spark):
+    df = spark.createDataFrame([("a", i, 0.1 * (i % 7)) for i in range(500)], "k STRING, o INT, x DOUBLE")
+    plans = [scan(df.repartition(p), ["k"], ["o"], bucket=b, running={"r": F.col("x")}) for p, b in ((1, None), (5, None), (3, RunLayout(11).bucket("o")))]
+    assert rows(plans[0]) == rows(plans[1]) == rows(plans[2])
