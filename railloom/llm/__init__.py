@@ -2,8 +2,8 @@
 
 from .chat import OP2_SQL, op2_schema_fingerprints
 from .decontamination import op8_pigeonhole
-from .near_vectors import op7_small_worlds
-from .ngram_join import op1_prefix_tree
+from .near_vectors import OP7_SQL, op7_small_worlds
+from .ngram_join import OP1_SQL, op1_prefix_tree
 from .packing import op10_power_of_two
 from .pii import op6_disclosure
 from .repeats import op5_merged_transforms
@@ -12,4 +12,4 @@ from .token_files import op4_bit_planes
 from .toxicity import op9_kneser_ney
 
 QUERIES = {f.__name__: f for f in (op1_prefix_tree, op2_schema_fingerprints, op3_flow_resharding, op4_bit_planes, op5_merged_transforms, op6_disclosure, op7_small_worlds, op8_pigeonhole, op9_kneser_ney, op10_power_of_two)}
-CHECKS: dict[str, str] = {"op2_schema_fingerprints": OP2_SQL}
+CHECKS: dict[str, str] = {"op1_prefix_tree": OP1_SQL, "op2_schema_fingerprints": OP2_SQL, "op7_small_worlds": OP7_SQL}

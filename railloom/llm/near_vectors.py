@@ -161,3 +161,16 @@ def near_vectors(rows: DataFrame, vec_id: str = "vec_id", embedding: str = "embe
 
 def op7_small_worlds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+OP7_SQL = """
+WITH RECURSIVE v AS MATERIALIZED (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+  l AS MATERIALIZED (SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
+    WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+  n AS MATERIALIZED (SELECT x, count(*) AS n FROM l GROUP BY x),
+  part(vec_id, least) USING KEY (vec_id) AS (SELECT vec_id, vec_id FROM embeddings
+    UNION SELECT l.y, min(q.least) FROM part q JOIN l ON l.x = q.vec_id LEFT JOIN recurring.part r ON r.vec_id = l.y WHERE q.least < r.least GROUP BY l.y)
+SELECT d.vec_id, coalesce(n.n, 0) AS n_links, part.least AS component_id, d.vec_id = part.least AS kept
+FROM embeddings d LEFT JOIN n ON n.x = d.vec_id JOIN part ON part.vec_id = d.vec_id
+"""

@@ -245,3 +245,16 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wor
 
 def op1_prefix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_texts(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+OP1_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+  s AS MATERIALIZED (SELECT DISTINCT doc_id, CASE WHEN len(ws) < 4 THEN ws ELSE ws[i : i + 3] END AS g
+    FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 2, 2))) AS i FROM w WHERE len(ws) > 0) q),
+  n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+  p AS MATERIALIZED (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+  l AS MATERIALIZED (SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * c >= 85 * (nx.n + ny.n - c)),
+  part(doc_id, least) USING KEY (doc_id) AS (SELECT doc_id, doc_id FROM documents
+    UNION SELECT l.y, min(q.least) FROM part q JOIN l ON l.x = q.doc_id LEFT JOIN recurring.part r ON r.doc_id = l.y WHERE q.least < r.least GROUP BY l.y)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, part.least AS component_id FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id JOIN part ON part.doc_id = d.doc_id
+"""

@@ -155,10 +155,11 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
-def test_chat_query_equals_its_sql(spark, sf_dir):
-    (name,) = CHECKS
+@pytest.mark.parametrize("name", sorted(CHECKS))
+def test_query_equals_its_sql(spark, sf_dir, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{sf_dir}/conversations.parquet'")
+    for view in ("conversations", "documents", "embeddings"):
+        con.execute(f"CREATE VIEW {view} AS SELECT * FROM '{sf_dir}/{view}.parquet'")
     got = QUERIES[name](spark, sf_dir)
     want = con.execute(CHECKS[name]).df()
     assert sorted(map(tuple, got.select(*want.columns).collect())) == sorted(want.itertuples(index=False, name=None))
