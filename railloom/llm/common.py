@@ -39,7 +39,17 @@ def stash(df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.set(CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    stored.stash_path = path
+    return stored
+
+
+def discard(*stored: DataFrame) -> None:
+    """Delete stashed tables that nothing reads any more."""
+    for df in stored:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.stash_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -20,12 +20,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest, xxh3_128_digest
 
-from .common import keyed, stash, table
+from .common import discard, keyed, stash, table
 
 LENGTH = 100  # bytes of a string
 GRAM = 32  # bytes of a k-gram
 BIN = 32  # strings of a piece
-STEP = 10  # bytes of a symbol
+STEP = 20  # bytes of a symbol
 SPAN = 1 << 20  # bytes worked on at once
 SHARD = 1 << 17  # bytes of a shard
 BATCH = 1 << 20  # bytes of pieces merged at once
@@ -103,15 +103,22 @@ def _bytes(column: pa.Array) -> list[bytes]:
 
 
 def _file(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, rid) of each stretch."""
+    """(key, rid, n): how many stretches of a text have a key."""
     for batch in batches:
         rids = batch.column(0).to_numpy()
         for text, _, _, key, _ in stretches(_bytes(batch.column(1))):
-            yield pa.record_batch([pa.array(key), pa.array(rids[text])], names=["key", "rid"])
+            o = np.lexsort((key, text))
+            first = np.ones(len(o), bool)
+            first[1:] = (key[o][1:] != key[o][:-1]) | (text[o][1:] != text[o][:-1])
+            n = np.diff(np.append(np.flatnonzero(first), len(o))).astype(np.int32)
+            yield pa.record_batch([pa.array(key[o][first]), pa.array(rids[text[o][first]]), pa.array(n)], names=["key", "rid", "n"])
 
 
 def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Stretches of rows (rid, doc_id, text, keys) whose key is among the row's repeated ones."""
+    """Stretches of rows (rid, doc_id, text, keys) whose key is among the row's repeated ones.
+
+    A stretch that came before in the same text, as in a long run of one sign, has no body.
+    """
     names = ["rid", "doc_id", "key", "mark", "start", "size", "anchor", "body"]
     for batch in batches:
         rids, doc_ids, texts = batch.column(0).to_numpy(), batch.column(1), _bytes(batch.column(2))
@@ -124,8 +131,14 @@ def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             text, start, strings, key, anchor = (x[keep] for x in (text, start, strings, key, anchor))
             size = strings + LENGTH - 1
             bodies = [texts[t][a : a + z] for t, a, z in zip(text.tolist(), start.tolist(), size.tolist(), strict=True)]
+            marks = [xxh3_128_digest(x) for x in bodies]
+            met: set[tuple[int, bytes]] = set()
+            for k, place in enumerate(zip(text.tolist(), marks, strict=True)):
+                if place in met:
+                    bodies[k] = None  # stands earlier in the same text
+                met.add(place)
             yield pa.record_batch(
-                [pa.array(rids[text]), doc_ids.take(pa.array(text)), pa.array(key), pa.array([xxh3_128_digest(x) for x in bodies], pa.binary()), pa.array(start), pa.array(size, pa.int32()), pa.array(anchor, pa.int32()), pa.array(bodies, pa.binary())],
+                [pa.array(rids[text]), doc_ids.take(pa.array(text)), pa.array(key), pa.array(marks, pa.binary()), pa.array(start), pa.array(size, pa.int32()), pa.array(anchor, pa.int32()), pa.array(bodies, pa.binary())],
                 names=names,
             )
 
@@ -171,34 +184,37 @@ class Suffixes:
         self.string = np.repeat(np.arange(len(bodies)), sizes + 1)
         self.begin = np.cumsum(sizes + 1) - sizes - 1
         self.place = np.arange(len(self.string)) - self.begin[self.string]
-        b = np.frombuffer(b"\0".join(bodies) + b"\0" * (STEP + 1), np.uint8).astype(np.uint64)
-        n = len(self.string)
-        half = np.zeros(n + STEP // 2, np.uint64)
-        for k in range(STEP // 2):
-            half[:] = half << np.uint64(8) | b[k : k + len(half)]
-        codes = _ranked(half).astype(np.uint64)
-        whole = codes[:n] << np.uint64(32) | codes[STEP // 2 : STEP // 2 + n]
+        n, k = len(self.string), STEP // 4
+        b = np.frombuffer(b"\0".join(bodies) + b"\0" * (STEP + 1), np.uint8).astype(np.int64)
+        codes = np.zeros(n + STEP - k, np.int64)
+        for i in range(k):
+            codes = codes << 8 | b[i : i + len(codes)]
+        while k < STEP:  # numbers of the different stretches of k bytes, then of twice as many
+            codes = _ranked(codes)
+            codes = codes[:-k] << 32 | codes[k:]
+            k *= 2
         self.ends = self.place + STEP > sizes[self.string]
-        self.symbol = np.where(self.ends, 0, _ranked(whole) + 1)
+        self.symbol = np.where(self.ends, 0, _ranked(codes[:n]) + 1)
 
     def shard_order(self, low: int, high: int) -> np.ndarray:
-        """Suffixes low..high, those of one shard, in order: by doubling the number of symbols that are compared."""
-        rank, size = self.symbol[low:high].copy(), STEP
-        ends = self.ends[low:high]
-        while size < 2 * LENGTH:
-            ahead = np.zeros(high - low, np.int64)
-            if size < high - low:
-                ahead[:-size] = rank[size:] + 1
-            ahead[self._short(low, high, size)] = 0
-            rank = _ranked(np.where(ends, 0, rank * (int(rank.max()) + 2) + ahead)) if len(rank) else rank
-            size *= 2
+        """Suffixes low..high, those of one shard, in order: two or three stretches that are ranked already make a longer one.
+
+        LENGTH bytes are compared at least; suffixes that agree in them may stand in any order.
+        """
+        rank, size = _ranked(self.symbol[low:high]), STEP
+        ends, string = self.ends[low:high], self.string[low:high]
+        while size < LENGTH:
+            times = 3 if 3 * size >= LENGTH else 2
+            base = int(rank.max(initial=0)) + 2
+            joint = rank
+            for k in range(1, times):
+                ahead = np.zeros(high - low, np.int64)
+                there = string[k * size :] == string[: -k * size]
+                ahead[: -k * size][there] = rank[k * size :][there] + 1
+                joint = joint * base + ahead
+            rank, size = _ranked(np.where(ends, 0, joint)), size * times
         return np.argsort(rank, kind="stable") + low
 
-    def _short(self, low: int, high: int, size: int) -> np.ndarray:
-        """Whether a suffix has no suffix `size` bytes on."""
-        ahead = np.arange(low, high) + size
-        return (ahead >= len(self.string)) | (self.string[np.minimum(ahead, len(self.string) - 1)] != self.string[low:high])
-
 
 def repeated_intervals(bodies: list[bytes]) -> tuple[Suffixes, np.ndarray, np.ndarray]:
     """Suffixes, their merged order and the number of the interval each place of it lies in.
@@ -319,23 +335,30 @@ def repeats_of(pieces: DataFrame) -> DataFrame:
 
 def repeated_spans(rows: DataFrame) -> DataFrame:
     """rid and an array of (start, end), in bytes, that cover what is to go, from rows (rid, doc_id, text)."""
-    filed = rows.select("rid", "text").mapInArrow(_file, "key long, rid long")
-    twice = filed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
+    filed = rows.select("rid", "text").mapInArrow(_file, "key long, rid long, n int")
+    twice = filed.groupBy("key").agg(F.sum("n").alias("n")).filter("n > 1").select("key")
     wanted = stash(filed.join(twice.hint("merge"), "key", "left_semi").groupBy("rid").agg(F.collect_set("key").alias("keys")), "keys")
     found = stash(rows.join(wanted.hint("merge"), "rid").select("rid", "doc_id", "text", "keys").mapInArrow(_cut_out, STRETCH), "stretches")
+    discard(wanted)
 
     start = F.struct("doc_id", "rid", "start")
-    different = stash(found.groupBy("key", "mark").agg(F.min(start).alias("first"), F.first("anchor").alias("anchor"), F.first("body").alias("body")), "different")
+    bodies = found.filter("body IS NOT NULL").groupBy("key", "mark")
+    different = stash(bodies.agg(F.min(start).alias("first"), F.first("anchor").alias("anchor"), F.first("body").alias("body")), "different")
+    places = stash(found.select("key", "mark", "rid", "doc_id", "start", "size"), "places")
+    discard(found)
     several = different.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
     split = different.join(several.hint("merge"), "key", "left_semi").select("key", "mark", "anchor", "body", "first.*")
     pieces = stash(split.mapInArrow(_pieces, PIECE), "pieces")
     repeats = stash(repeats_of(pieces), "repeats")
+    discard(pieces)
 
     firsts = different.select("key", "mark", "first")
-    copies = found.select("key", "mark", "rid", "start", "size", start.alias("here")).join(firsts.hint("merge"), ["key", "mark"]).filter(~F.col("here").eqNullSafe(F.col("first")))
+    copies = places.select("key", "mark", "rid", "start", "size", start.alias("here")).join(firsts.hint("merge"), ["key", "mark"]).filter(~F.col("here").eqNullSafe(F.col("first")))
     parts = repeats.join(firsts, ["key", "mark"]).select(F.col("first.rid").alias("rid"), (F.col("first.start") + F.col("low")).alias("start"), (F.col("first.start") + F.col("high") + LENGTH).alias("end"))
     spans = copies.select("rid", "start", (F.col("start") + F.col("size")).alias("end")).unionByName(parts)
-    return spans.groupBy("rid").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    merged = stash(spans.groupBy("rid").agg(F.collect_list(F.struct("start", "end")).alias("spans")), "removed")
+    discard(different, places, repeats)
+    return merged
 
 
 def joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -371,7 +394,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     out. Texts of any length are searched whole.
     """
     rows = keyed(docs, doc_id=F.col(f"`{doc_id}`").cast("long"), text=text)
-    spans = stash(repeated_spans(rows), "removed")
+    spans = repeated_spans(rows)
     return rows.join(spans.hint("merge"), "rid", "left").select("doc_id", "text", "spans").mapInArrow(_remove, "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
 
 
