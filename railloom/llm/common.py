@@ -4,21 +4,32 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+# What a Python worker gets at once; texts may be long, so rows alone are no bound.
+BATCH = {"spark.sql.execution.arrow.maxBytesPerBatch": "8m", "spark.sql.execution.arrow.maxRecordsPerBatch": "2000"}
+
+
+def settle(spark: SparkSession) -> SparkSession:
+    """Session settings that every operator here relies on."""
+    for key, value in BATCH.items():
+        spark.conf.set(key, value)
+    return spark
 
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder of `spark.checkpoint.dir`; a folder of our own only for a local session that names none."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    shared = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if shared is None:
-        if spark.sparkContext.master.split("[")[0] != "local":
+        if sc.master.split("[")[0] != "local":
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        shared = tempfile.mkdtemp(prefix="railloom-shared-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="railloom-shared-"))
+        shared = sc.getCheckpointDir()
     return shared.rstrip("/")
 
 
@@ -31,7 +42,7 @@ def stash(df: DataFrame, name: str) -> DataFrame:
 
     The shuffle files behind it are dropped as soon as the table is written.
     """
-    spark = df.sparkSession
+    spark = settle(df.sparkSession)
     path = new_folder(spark, name)
     before = spark.conf.get(CLEANUP, "false")
     spark.conf.set(CLEANUP, "true")
@@ -53,7 +64,7 @@ def discard(*stored: DataFrame) -> None:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return settle(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def keyed(df: DataFrame, **columns: str | Column) -> DataFrame:
@@ -72,3 +83,14 @@ def fresh(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name = f"_{name}"
     return name
+
+
+_HOLDER: list = []
+
+
+def remembers(name: str, forget: Callable[[], None]) -> None:
+    """Called by a worker's operator that keeps words between batches: what another one kept is forgotten first."""
+    if not _HOLDER or _HOLDER[0] != name:
+        if _HOLDER:
+            _HOLDER[1]()
+        _HOLDER[:] = [name, forget]

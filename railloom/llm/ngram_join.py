@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest, xxh3_128_digest
 
-from .common import keyed, stash, table
+from .common import keyed, remembers, stash, table
 from .components import components
 from .dense import SCHEMA, blocks_of, combined
 
@@ -26,8 +26,8 @@ WORDS = 4
 SHARE = 85  # hundredths
 CELLS = 1 << 22  # of the counter that ranks n-grams
 RANK_BITS = 6
-KNOWN_WORDS = 400_000  # words whose hash a worker remembers
-CHUNK = 256  # candidates that walk one tree
+KNOWN_WORDS = 300_000  # words whose hash a worker remembers
+CHUNK = 128  # candidates that walk one tree
 SIGNED = "rid long, n int, mark binary, prefix array<long>"
 SET = "rid long, keys array<long>"
 # A-Z to a-z; bytes.split() cuts at space and \x09-\x0D.
@@ -40,6 +40,7 @@ def ngrams(text: str | None, words: int) -> np.ndarray:
     own = (text or "").encode("utf-8", "surrogatepass").translate(_LOWER).split()
     if not own:
         return np.empty(0, np.uint64)
+    remembers("ngrams", _HASHES.clear)
     if len(_HASHES) > KNOWN_WORDS:
         _HASHES.clear()
     for w in set(own).difference(_HASHES):

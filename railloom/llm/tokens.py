@@ -12,11 +12,14 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
+from .common import remembers
+
 LETTER, NUMBER, OTHER, SPACE, UNKNOWN = 0, 1, 2, 3, 255
 # The word endings that the splitting rule of the byte-level tokenizer takes off behind an apostrophe.
 ENDINGS = ("s", "t", "re", "ve", "m", "ll", "d")
 SEGMENT = 1 << 20  # characters worked on at once
-CACHE = 1_000_000  # words kept by a worker
+CACHE = 600_000  # words kept by a worker
+TEXTS_AT_ONCE = 512
 _ODD = 0x9E3779B97F4A7C15
 _POWERS: list[np.ndarray] = []
 
@@ -151,6 +154,7 @@ class WordEncoder:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and the number of ids of each."""
+        remembers("tokens", self.forget)
         counts = np.zeros(len(texts), np.int64)
         found: list[np.ndarray] = []
         held: list[str] = []
@@ -211,12 +215,15 @@ def default_vocabulary() -> str:
 
 def ids_column(text, path: str, end_id: int):
     """Column of little-endian unsigned 32-bit ids of `text` (null: empty), the end id behind them."""
+    last = np.array([end_id], "<u4").tobytes()
+
     @F.arrow_udf(BinaryType())
     def encode(texts: pa.Array) -> pa.Array:
-        values = [t or "" for t in texts.to_pylist()]
-        ids, counts = encoder(path).encode(values)
-        cuts = np.append(0, np.cumsum(counts))
-        last = np.array([end_id], "<u4").tobytes()
-        return pa.array([ids[a:b].astype("<u4", copy=False).tobytes() + last for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary())
+        done = [pa.array([], pa.binary())]
+        for at in range(0, len(texts), TEXTS_AT_ONCE):
+            ids, counts = encoder(path).encode([t or "" for t in texts.slice(at, TEXTS_AT_ONCE).to_pylist()])
+            cuts = np.append(0, np.cumsum(counts))
+            done.append(pa.array([ids[a:b].astype("<u4", copy=False).tobytes() + last for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary()))
+        return pa.concat_arrays(done)
 
     return encode(text)

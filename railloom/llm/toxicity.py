@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 from xxhash import xxh64_intdigest
 
-from .common import stash, table
+from .common import remembers, stash, table
 
 LETTERS = 8  # of a word's beginning that the models spell
 CELLS = 1 << 20
@@ -31,7 +31,7 @@ SHARED = 30.0  # weight of the shared counts besides what the discount gives the
 TAIL = 50  # one word in so many makes the toxic tail
 FOLDS = 5  # fold 0 is held out, the last one sets the logistic function, the others make the models
 FIT_ROWS = 20_000  # rows at most that set the logistic function: a bounded sample, those of least hash
-KNOWN_WORDS = 500_000  # words whose ratio a worker remembers
+KNOWN_WORDS = 400_000  # words whose ratio a worker remembers
 END = "$"  # stands behind words of up to LETTERS letters
 _WORD = regex.compile(r"[\p{L}\p{N}]+")
 
@@ -84,6 +84,7 @@ def features(text: str | None, ratios: np.ndarray) -> tuple[float, float]:
     words = _WORD.findall((text or "").lower())
     if not words:
         return 0.0, 0.0
+    remembers("toxicity", _KNOWN.clear)
     if not _OF or _OF[0] is not ratios or len(_KNOWN) > KNOWN_WORDS:
         _KNOWN.clear()
         _OF[:] = [ratios]
