@@ -48,14 +48,16 @@ def shift_terminus(itin: DataFrame, coded: DataFrame, by: Sequence[str] = ()) ->
 # --- 2: shorter travel time ---------------------------------------------------------------------------
 
 
-def cut_pairs(vertices: DataFrame, nodes: DataFrame, rates: DataFrame, layout: RunLayout = RUNS) -> DataFrame:
-    """(ln, itin_a, itin_b, reduc): node pairs along the drawn features of the coded lines.
+def cut_pairs(
+    vertices: DataFrame, nodes: DataFrame, rates: DataFrame, layout: RunLayout = RUNS, by: Sequence[str] = ()
+) -> DataFrame:
+    """(by.., ln, itin_a, itin_b, reduc): node pairs along the drawn features of the coded lines.
 
-    `vertices` has tr_line, link (feature), seq, x, y; `rates` has tr_line, reduc.
+    `vertices` has tr_line, link (feature), seq, x, y; `rates` has by.., tr_line, reduc.
     """
     pairs = chain_nodes(vertices, nodes, ["tr_line", "link"], "seq", layout).join(rates, "tr_line")
-    pairs = pairs.select(line_group("tr_line").alias("ln"), "itin_a", "itin_b", "reduc", "tr_line", "link", "seq")
-    on = ["ln", "itin_a", "itin_b"]
+    pairs = pairs.select(*by, line_group("tr_line").alias("ln"), "itin_a", "itin_b", "reduc", "tr_line", "link", "seq")
+    on = [*by, "ln", "itin_a", "itin_b"]
     return first_per_key(pairs, on, ["tr_line", "link", "seq"]).select(*on, "reduc")
 
 

@@ -13,6 +13,7 @@ from ..operators import actions as A
 from ..operators import itinerary as I
 from ..operators import network as N
 from ..operators import qc as Q
+from ..operators import report as M
 from ..operators import runs as R
 from ..operators.clustering import similar_runs
 from ..operators.links import both_directions
@@ -55,17 +56,66 @@ def collapse_cta(runs: DataFrame, itin: DataFrame) -> DataFrame:
     return kept.unionByName(R.metra_headway(runs.filter(F.col("mode") == "M")))
 
 
+def _coded_rows(routes: DataFrame, itin: DataFrame, scenarios: Sequence[int]) -> DataFrame:
+    """Segments of the coded projects, for each scenario and period they belong to."""
+    lines = N.coded_by_period(routes, scenarios)
+    keep = [c for c in (*BY, "tr_line", "action", "descr") if c in lines.columns]
+    rows = itin.drop(*[c for c in keep if c != "tr_line" and c in itin.columns]).join(lines.select(*keep), "tr_line")
+    return rows.withColumns({"ln": C.line_group("tr_line"), "new": F.col("layover").try_cast("int")})
+
+
+def coded_actions(
+    routes: DataFrame, itin: DataFrame, scenarios: Sequence[int], vertices: DataFrame | None = None,
+    nodes: DataFrame | None = None, layout: RunLayout = RUNS,
+) -> dict[str, DataFrame]:
+    """The rows of the five actions by scenario and period, named as in `apply_actions`.
+
+    Coded segments hold in `layover` the other terminus (5), the new station (3, 7) or 99 for a whole line (2),
+    in `it_order` which node changes (5) or the place of an extension (4), in `dw_code` the share of runs that
+    stop (3) and in `trv_time` the reduction (2), which acts along the drawn `vertices` of the line.
+    """
+    rows = durable(_coded_rows(routes, itin, scenarios))
+    of = lambda action: rows.filter(F.col("action") == action)
+    lay = F.when(F.coalesce(F.trim("layover"), F.lit("")) == "", "0").otherwise(F.col("layover"))
+    out = {
+        "shifts": of(5).select(*BY, "ln", "itin_a", "itin_b", "new", F.col("it_order").alias("nd")),
+        "stations": of(3).select(*BY, "ln", "itin_a", "itin_b", "new", "dw_code"),
+        "spans": of(7).select(*BY, "ln", F.col("itin_a").alias("start_node"), F.col("itin_b").alias("end_node"), "new"),
+        "extensions": of(4).select(*BY, "ln", F.col("tr_line").alias("project"), "it_order", "itin_a", "itin_b", lay.alias("layover"), "dw_code", "trv_time"),
+        "whole_lines": of(2).filter("layover = '99'").select(*BY, "ln").distinct(),
+    }
+    if vertices is not None and nodes is not None:
+        rates = of(2).groupBy(*BY, "tr_line").agg(F.max("trv_time").alias("reduc"))
+        out["cuts"] = A.cut_pairs(vertices, nodes, rates, layout, BY)
+    else:
+        out["cuts"] = of(2).filter("coalesce(layover, '') <> '99'").select(*BY, "ln", "itin_a", "itin_b", F.col("trv_time").alias("reduc"))
+    return out
+
+
+def scenario_report(routes: DataFrame, itin: DataFrame, movers: DataFrame, scenarios: Sequence[int]) -> DataFrame:
+    """One sentence per edit of each scenario and period; `routes` carry their description in `descr`."""
+    lines = N.coded_by_period(routes, scenarios)
+    rows = _coded_rows(routes, itin, scenarios)
+    of = lambda df, action: df.filter(F.col("action") == action)
+    spans = of(rows, 7).withColumnsRenamed({"itin_a": "start_node", "itin_b": "end_node"})
+    return M.change_report(
+        M.mover_report(N.closed_movers(movers, scenarios)), M.new_route_report(of(lines, 1)), M.shift_report(of(lines, 5)),
+        M.extension_report(of(lines, 4)), M.station_report(of(rows, 3)), M.consolidation_report(spans), M.time_report(of(rows, 2)),
+    )
+
+
 def build_scenarios(
     runs: DataFrame, itin: DataFrame, links: DataFrame, nodes: DataFrame, coded_runs: DataFrame, coded_itin: DataFrame,
     movers: DataFrame, scenarios: Sequence[int], zones: DataFrame | None = None, zone_cell: float = 80_000.0,
-    excluded: DataFrame | None = None, actions: dict[str, DataFrame] | None = None,
+    excluded: DataFrame | None = None, actions: dict[str, DataFrame] | None = None, action_vertices: DataFrame | None = None,
     layout: RunLayout = RUNS, max_zone: int = C.MAX_ZONE, strict: bool = True,
 ) -> Scenario:
     """Runs, itineraries, links, nodes and summary of every scenario and period.
 
     Runs and coded runs carry description, veh_type and speed for the line file; lines that a project of
     `coded_runs` changes are marked in their description. `actions` holds the coded rows of the actions by
-    scenario and period, named as in `apply_actions`. With `strict`, the job ends when a check reports anything.
+    scenario and period, named as in `apply_actions`; without them they are made from `coded_runs` and
+    `coded_itin`. With `strict`, the job ends when a check reports anything.
     """
     spark = itin.sparkSession
     if excluded is None:
@@ -73,6 +123,8 @@ def build_scenarios(
     periods = durable(N.tod_runs(runs, coded_runs, scenarios))
     every = itin.unionByName(coded_itin, allowMissingColumns=True) if coded_itin is not None else itin
     rows = N.tod_itineraries(every, periods)
+    if actions is None and coded_itin is not None:
+        actions = coded_actions(coded_runs, coded_itin, scenarios, action_vertices, nodes, layout)
     if actions:
         rows = A.apply_actions(rows, by=BY, tod=F.col("tod"), layout=layout, **actions)
     rows = durable(rows)

@@ -9,7 +9,7 @@ from railloom.operators import tables as T
 from railloom.operators.links import two_way_vertices
 from railloom.plans.edits import propagate_edits, propagate_future, renumber
 from railloom.plans.imports import import_coding, import_feed
-from railloom.plans.scenario import build_scenarios, write_scenarios
+from railloom.plans.scenario import build_scenarios, coded_actions, scenario_report, write_scenarios
 from railloom.sinks import writers
 from railloom.sources import readers
 from railloom.sources.dims import fare_zones
@@ -178,3 +178,30 @@ def test_future_lines_follow_the_edits(spark):
         ("m4", -1, 1, 90001, 5.0), ("m4", 1001, 90001, 2, 5.0), ("m5", 1, 1, 90001, 5.0), ("m5", 2, 90001, 2, 5.0),
     ]
     assert rows(shapes.filter("tr_line = 'm1'").select("x", "m")) == [(0.0, 0.0), (10.0, 1.0), (20.0, 2.0)]
+
+
+def test_coded_projects_become_action_rows(spark):
+    routes = spark.createDataFrame(
+        [("cbl901", 5, "23", "2", "loop"), ("cbl902", 2, "3", "24", "fast"), ("cbl903", 3, "3", "2", "stop"), ("mun904", 7, "3", "4", "hub"),
+         ("mun905", 4, "23", "2", "far"), ("mun906", 1, "2", "1", "new"), ("mun907", 2, "2", "2", "all")],
+        "tr_line STRING, action INT, scenario STRING, tod STRING, descr STRING",
+    )
+    itin = spark.createDataFrame(
+        [("cbl901", 2, 11, 12, "77", "0", 0.0), ("cbl902", 1, 12, 13, "", "0", 0.25), ("cbl903", 1, 13, 14, "88", "0.5", 0.0),
+         ("mun904", 1, 21, 24, "99", "0", 0.0), ("mun905", -1, 40, 41, "", "0", 3.0), ("mun906", 1, 50, 51, "0", "0", 1.0), ("mun907", 1, 60, 61, "99", "0", 0.1)],
+        "tr_line STRING, it_order INT, itin_a INT, itin_b INT, layover STRING, dw_code STRING, trv_time DOUBLE",
+    )
+    got = {k: rows(v) for k, v in coded_actions(routes, itin, (2, 3)).items()}
+    assert got == {
+        "shifts": [(2, 2, "cbl", 11, 12, 77, 2), (3, 2, "cbl", 11, 12, 77, 2)],
+        "cuts": [(3, 2, "cbl", 12, 13, 0.25), (3, 4, "cbl", 12, 13, 0.25)],
+        "stations": [(3, 2, "cbl", 13, 14, 88, "0.5")],
+        "spans": [(3, 4, "mun", 21, 24, 99)],
+        "extensions": [(2, 2, "mun", "mun905", -1, 40, 41, "0", "0", 3.0), (3, 2, "mun", "mun905", -1, 40, 41, "0", "0", 3.0)],
+        "whole_lines": [(2, 2, "mun")],
+    }
+    movers = spark.createDataFrame([(1, 2, "3", "m")], "anode INT, bnode INT, scenario STRING, notes STRING")
+    said = [r["message"] for r in scenario_report(routes, itin, movers, (2, 3)).collect()]
+    assert "--> new : added route mun906" in said and "--> stop : added new cbl station at 88 between itin_a = 13 and itin_b = 14" in said
+    assert "--> all : reduced mun travel time along entire line by 10 percent" in said
+    assert "--> removed scenario = 3 people mover link anode = 1 bnode = 2 from network" in said
