@@ -47,7 +47,6 @@ def shared_folder(spark: SparkSession) -> str:
         if sc.master.split("[")[0] != "local":
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         shared = tempfile.mkdtemp(prefix="railloom-checkpoint-")
-        spark.conf.set("spark.checkpoint.dir", shared)
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(shared)
     return shared.rstrip("/")
