@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from railloom.llm.common import fresh, stash, table
+from railloom.llm.common import fresh, keyed, stash, table
 from railloom.llm.decontamination import clean
 from railloom.llm.ngram_join import one_of_each
 from railloom.llm.packing import pack
@@ -27,8 +27,9 @@ TOXIC = 0.5  # documents with this score or more go
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Score every text by models fitted on the labelled documents (9); toxic ones go."""
     model = train(docs, table(spark, sf_dir, "labels"))
-    score = fresh(docs, "score")
-    return docs.withColumn(score, model.score(F.col("text"))).filter(F.col(score) < TOXIC).drop(score)
+    rid = fresh(docs, "rid")
+    toxic = model.scored(keyed(docs, text="text")).filter(F.col("score") >= TOXIC).select(F.col("rid").alias(rid))
+    return docs.withColumn(rid, F.monotonically_increasing_id()).join(toxic, rid, "left_anti").drop(rid)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

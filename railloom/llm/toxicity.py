@@ -1,39 +1,45 @@
 """Toxicity by class-conditional Kneser-Ney models with shared backoff counts.
 
-Two models, of toxic and of ordinary text, spell words letter by letter: the context of a letter is the word up to it, so that an
-inflected form shares the counts of its stem. Both take off the same discount and back off to one distribution, the counts of both
-classes together, which in turn backs off to the number of different words in which a letter follows a context. A rare expression
-therefore falls back to the same probability in both and says nothing.
-
-A text's score is a logistic function of two length-normalised log-likelihood ratios: of all its words, and of the same share of
-them that is most toxic. Counting and smoothing are DataFrame operations over all labelled rows. What reaches the workers is one
-ratio per hashed context and letter, in a table of fixed size.
+Two models, of toxic and of ordinary text, predict each word from the word before it. A pair of words backs off to the pair's
+counts in both classes and to the word alone, which is spelt letter by letter behind all of the word up to there, so that an inflected form shares the counts of its stem. Both
+models take off the same discount. Letters back off to the counts of both classes together and from there to ever shorter contexts
+of letters with continuation counts, which the classes share. An expression that neither class has met therefore falls back to the
+same probability in both and says nothing.
+
+A text's score is a logistic function of two length-normalised log-likelihood ratios: of all its words and pairs, and of the same
+share of them that is most toxic. Counts are keyed by the contexts themselves and kept as stored tables that grow with the corpus;
+texts are scored by joining their distinct words and pairs with them. What reaches the workers besides is a fixed number of the
+commonest, which only spares them the join.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections import Counter
+from collections.abc import Iterator
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType
+from pyspark.sql.types import DoubleType
 from xxhash import xxh64_intdigest
 
-from .common import remembers, stash, table
+from .common import discard, keyed, stash, table
 
-LETTERS = 8  # of a word's beginning that the models spell
 CELLS = 1 << 20
+LONGEST = 64  # letters of a token; longer runs are several tokens, one after the other
+LOWER = 4  # letters of the longest shared context below a whole prefix
 DISCOUNT = 0.75
 SHARED = 30.0  # weight of the shared counts besides what the discount gives them
 TAIL = 50  # one word in so many makes the toxic tail
 FOLDS = 5  # fold 0 is held out, the last one sets the logistic function, the others make the models
 FIT_ROWS = 20_000  # rows at most that set the logistic function: a bounded sample, those of least hash
-KNOWN_WORDS = 400_000  # words whose ratio a worker remembers
-END = "$"  # stands behind words of up to LETTERS letters
-_WORD = regex.compile(r"[\p{L}\p{N}]+")
+COMMON = 1 << 16  # words and pairs that workers score without the join
+SMALL = 1 << 20  # rows of a model at most that Model.score takes to the workers
+END = "$"  # stands behind words
+_WORD = regex.compile(r"[\p{L}\p{N}]{1,%d}" % LONGEST)
 
 
 def cell(prefix: Column) -> Column:
@@ -45,69 +51,227 @@ def cell_of(prefix: str) -> int:
     return xxh64_intdigest(prefix.encode("utf-8", "surrogatepass"), 42) & (CELLS - 1)
 
 
-def letter_ratios(texts: DataFrame) -> DataFrame:
-    """cell, ratio: log p(letter | context, toxic) - log p(letter | context, ordinary) from rows (toxic 0/1, text)."""
-    said = texts.select("toxic", F.explode(F.split(F.lower("text"), r"[^\p{L}\p{N}]+")).alias("word")).filter("word <> ''")
-    words = said.groupBy("word").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("o"))
-    spelt = F.concat(F.substring("word", 1, LETTERS), F.when(F.length("word") <= LETTERS, END).otherwise(""))
-    steps = F.transform(F.sequence(F.lit(1), F.length("spelt")), lambda k: F.struct(cell(F.substring(F.col("spelt"), F.lit(1), k - 1)).alias("parent"), cell(F.substring(F.col("spelt"), F.lit(1), k)).alias("cell")))
-    letters = words.select(spelt.alias("spelt"), "t", "o").select(F.explode(steps).alias("s"), "t", "o")
-    edges = stash(letters.groupBy("s.parent", "s.cell").agg(F.sum("t").alias("t"), F.sum("o").alias("o"), F.count("*").alias("words")), "letters")
-    parents = edges.groupBy("parent").agg(
-        F.sum("words").alias("all_words"),
+def tokens_of(text: str | None) -> list[str]:
+    return _WORD.findall((text or "").lower())
+
+
+def grams_of(text: str | None) -> tuple[Counter, int]:
+    """Counts of the text's words and of its pairs `before word`, and the number of words."""
+    words = tokens_of(text)
+    found = Counter(words)
+    if words:
+        found.update(map("{} {}".format, words, words[1:]))
+    return found, len(words)
+
+
+def counted(texts: DataFrame) -> DataFrame:
+    """gram, t, o: how often toxic and ordinary texts hold each word and pair, from rows (toxic 0/1, text)."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sums = (Counter(), Counter())
+            for toxic, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                sums[toxic].update(grams_of(text)[0])
+            for toxic, own in enumerate(sums):
+                n = pa.array(own.values(), pa.int64())
+                none = pa.array(np.zeros(len(own), np.int64))
+                yield pa.record_batch([pa.array(own.keys(), pa.string()), n if toxic else none, none if toxic else n], ["gram", "t", "o"])
+
+    return texts.select("toxic", "text").mapInArrow(count, "gram string, t long, o long").groupBy("gram").agg(F.sum("t").alias("t"), F.sum("o").alias("o"))
+
+
+def steps_of(words: DataFrame, *others: str) -> DataFrame:
+    """One row per letter of each `word` and its end: parent (the word up to there), letter."""
+    spelt = F.concat("word", F.lit(END))
+    steps = F.transform(F.sequence(F.lit(1), F.length(spelt)), lambda k: F.struct(F.substring(spelt, F.lit(1), k - 1).alias("parent"), F.substring(spelt, k, F.lit(1)).alias("letter")))
+    return words.select(F.explode(steps).alias("s"), *others).select("s.*", *others)
+
+
+def shorter(edges: DataFrame) -> DataFrame:
+    """context, letter, p: the shared probability of a letter behind the last LOWER letters, by continuation counts of ever shorter contexts."""
+    levels = [edges.select(F.concat(F.lit("^"), "parent").alias("context"), "letter")]
+    for size in range(LOWER, -1, -1):
+        context = F.substring("context", -size, size) if size else F.lit("")
+        levels.append(levels[-1].select(context.alias("context"), "letter").groupBy("context", "letter").agg(F.count("*").alias("n")))
+    p = None
+    for size, level in enumerate(reversed(levels[1:])):
+        sums = level.groupBy("context").agg(F.sum("n").alias("all"), F.count("*").alias("kinds"))
+        rows = level.join(sums, "context")
+        if p is None:
+            p = rows.select("context", "letter", (F.col("n") / F.col("all")).alias("p"))
+            continue
+        below = p.select(F.col("context").alias("below"), "letter", F.col("p").alias("q"))
+        short = F.substring("context", -(size - 1), size - 1) if size > 1 else F.lit("")
+        p = rows.withColumn("below", short).join(below, ["below", "letter"]).select("context", "letter", ((F.col("n") - DISCOUNT + DISCOUNT * F.col("kinds") * F.col("q")) / F.col("all")).alias("p"))
+    return p
+
+
+def _class_sums(rows: DataFrame, key: str) -> DataFrame:
+    return rows.groupBy(key).agg(
         F.count("*").alias("kinds"),
         *(F.sum(c).alias(f"all_{c}") for c in "to"),
         *(F.sum((F.col(c) > 0).cast("int")).alias(f"kinds_{c}") for c in "to"),
     )
-    kinds = F.col("words") / F.col("all_words")
-    both, all_both = F.col("t") + F.col("o"), F.col("all_t") + F.col("all_o")
-    shared = (both - DISCOUNT + DISCOUNT * F.col("kinds") * kinds) / all_both
 
-    def log_p(c: str) -> Column:
-        taken = DISCOUNT * F.col(f"kinds_{c}") + SHARED
-        return F.log((F.greatest(F.col(c) - DISCOUNT, F.lit(0.0)) + taken * shared) / (F.col(f"all_{c}") + SHARED))
 
-    return edges.join(parents, "parent").groupBy("cell").agg(F.max_by(log_p("t") - log_p("o"), F.struct(F.col("t") + F.col("o"), "parent")).alias("ratio"))
+def _taken(c: str) -> Column:
+    return DISCOUNT * F.col(f"kinds_{c}") + SHARED
+
+
+def _log_p(c: str, below: Column) -> Column:
+    return F.log((F.greatest(F.col(c) - DISCOUNT, F.lit(0.0)) + _taken(c) * below) / (F.col(f"all_{c}") + SHARED))
 
 
-_KNOWN: dict[str, float] = {}
-_OF: list[np.ndarray] = []
+def spelling(words: DataFrame) -> DataFrame:
+    """parent, letters: behind each prefix of the words (word, t, o), the (t, o) log p of each letter met there."""
+    edges = stash(steps_of(words, "t", "o").groupBy("parent", "letter").agg(F.sum("t").alias("t"), F.sum("o").alias("o")), "letters")
+    sums = _class_sums(edges, "parent")
+    lower = shorter(edges)
+    last = F.concat(F.lit("^"), "parent")
+    rows = edges.withColumn("context", F.substring(last, -LOWER, LOWER)).join(lower, ["context", "letter"]).join(sums, "parent")
+    shared = (F.col("t") + F.col("o") - DISCOUNT + DISCOUNT * F.col("kinds") * F.col("p")) / (F.col("all_t") + F.col("all_o"))
+    entry = F.struct("letter", F.struct(_log_p("t", shared).alias("t"), _log_p("o", shared).alias("o")))
+    return stash(rows.groupBy("parent").agg(F.map_from_entries(F.collect_list(entry)).alias("letters")), "spelling")
 
 
-def word_ratio(word: str, ratios: np.ndarray) -> float:
-    spelt = word[:LETTERS] + (END if len(word) <= LETTERS else "")
-    return float(sum(ratios[cell_of(spelt[:k])] for k in range(1, len(spelt) + 1)))
+def spelt(words: DataFrame, spelling_: DataFrame) -> DataFrame:
+    """word, p_t, p_o: log p of the distinct words of `words`, as far as the spelling has met their letters; the rest is the same in both."""
+    hit = steps_of(words.withColumn("w", F.col("word")), "w").join(spelling_, "parent", "left")
+    own = F.col("letters")[F.col("letter")]
+    return hit.groupBy(F.col("w").alias("word")).agg(F.sum(F.coalesce(own["t"], F.lit(0.0))).alias("p_t"), F.sum(F.coalesce(own["o"], F.lit(0.0))).alias("p_o"))
 
 
-def features(text: str | None, ratios: np.ndarray) -> tuple[float, float]:
-    """Mean ratio of the text's words, and of the fiftieth of them with the highest (one at least); zeros without words."""
-    words = _WORD.findall((text or "").lower())
-    if not words:
+def learn(texts: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The stored model from (toxic, text): spelling, words (gram, ratio, n), pairs (gram, ratio, n).
+
+    A word's ratio is that of its spelling, a pair's is what it says beyond its word: the shared probability of the pair, with the
+    word's own ratio, is what its class counts are smoothed with.
+    """
+    grams = stash(counted(texts), "grams")
+    met = grams.filter(~F.contains("gram", F.lit(" "))).withColumnRenamed("gram", "word")
+    spelling_ = spelling(met)
+    words = stash(met.join(spelt(met.select("word"), spelling_), "word"), "words")
+    pairs = grams.filter(F.contains("gram", F.lit(" "))).withColumn("h", F.substring_index("gram", " ", 1)).withColumn("word", F.substring_index("gram", " ", -1))
+    rows = pairs.join(words.select("word", "p_t", "p_o"), "word").join(_class_sums(pairs, "h"), "h")
+    p = {c: F.greatest(F.exp(f"p_{c}"), F.lit(1e-300)) for c in "to"}
+    both = (p["t"] + p["o"]) / 2
+    shared = (F.col("t") + F.col("o") - DISCOUNT + DISCOUNT * F.col("kinds") * both) / (F.col("all_t") + F.col("all_o"))
+    ratio = _log_p("t", shared * p["t"] / both) - _log_p("o", shared * p["o"] / both) - F.log(p["t"]) + F.log(p["o"])
+    stored = stash(rows.select("gram", ratio.alias("ratio"), (F.col("t") + F.col("o")).alias("n")), "pairs")
+    discard(grams)
+    return spelling_, words.select(F.col("word").alias("gram"), (F.col("p_t") - F.col("p_o")).alias("ratio"), (F.col("t") + F.col("o")).alias("n")), stored
+
+
+def _logistic_of(x: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x @ weights, -40, 40)))
+
+
+def features(text: str | None, ratio) -> tuple[float, float]:
+    """What `measured` gives, for one text: the sum a word, and the mean of the fiftieth with the highest ratios, none below zero."""
+    grams, n = grams_of(text)
+    if not n:
         return 0.0, 0.0
-    remembers("toxicity", _KNOWN.clear)
-    if not _OF or _OF[0] is not ratios or len(_KNOWN) > KNOWN_WORDS:
-        _KNOWN.clear()
-        _OF[:] = [ratios]
-    for w in set(words).difference(_KNOWN):
-        _KNOWN[w] = word_ratio(w, ratios)
-    r = np.array(list(map(_KNOWN.__getitem__, words)))
-    n = max(1, len(r) // TAIL)
-    return float(r.mean()), float(np.partition(r, -n)[-n:].mean())
+    said = sorted(((ratio(g), k) for g, k in grams.items()), reverse=True)
+    top, room = 0.0, max(1, n // TAIL)
+    for r, k in said:
+        took = min(room, k)
+        top += max(r, 0.0) * took
+        room -= took
+    return sum(r * k for r, k in said) / n, top / max(1, n // TAIL)
 
 
 @dataclass(frozen=True)
 class Model:
-    ratios: object  # broadcast array of CELLS ratios
-    weights: tuple[float, ...]
+    spelling: DataFrame
+    words: DataFrame
+    pairs: DataFrame
+    common: object  # broadcast ratios of the commonest words and pairs
+    weights: tuple[float, ...] = (-5.0, 0.0, 0.0)
+
+    def ratios(self, vocabulary: DataFrame) -> DataFrame:
+        """gram, ratio of all words and pairs met, and of the other words of `vocabulary` (word, distinct)."""
+        new = vocabulary.join(self.words.select(F.col("gram").alias("word")), "word", "left_anti")
+        own = spelt(new, self.spelling).select(F.col("word").alias("gram"), (F.col("p_t") - F.col("p_o")).alias("ratio"))
+        return own.unionByName(self.words.select("gram", "ratio")).unionByName(self.pairs.select("gram", "ratio"))
+
+    def measured(self, rows: DataFrame) -> DataFrame:
+        """rid, mean, tail of rows (rid, text): the features of each text."""
+        common = self.common
+
+        def vocabulary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                found: set[str] = set()
+                for text in b.column(0).to_pylist():
+                    found.update(tokens_of(text))
+                yield pa.record_batch([pa.array(found.difference(common.value), pa.string())], ["word"])
+
+        said = "array<struct<r:double,n:long>>"
+
+        def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            known = common.value
+            kind = pa.list_(pa.struct([("r", pa.float64()), ("n", pa.int64())]))
+            for b in batches:
+                for at in range(0, len(b), 64):
+                    out: list[list] = [[], [], [], [], [], []]
+                    for rid, text in zip(*(c.to_pylist() for c in b.slice(at, 64).columns), strict=True):
+                        grams, total = grams_of(text)
+                        near = sorted(((known[g], n) for g, n in grams.items() if g in known), reverse=True)
+                        far = [(g, n) for g, n in grams.items() if g not in known]
+                        tops, room = [], max(1, total // TAIL)
+                        for r, n in near:
+                            if room <= 0 or r <= 0:
+                                break
+                            tops.append({"r": r, "n": n})
+                            room -= n
+                        # A text's own row meets no gram: its key holds what is in none.
+                        out[0] += [rid] * (len(far) + 1)
+                        out[1] += [f"\n{rid}", *(g for g, _ in far)]
+                        out[2] += [0, *(n for _, n in far)]
+                        out[3] += [total] + [None] * len(far)
+                        out[4] += [float(sum(r * n for r, n in near))] + [None] * len(far)
+                        out[5] += [tops] + [None] * len(far)
+                    yield pa.record_batch([pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.float64(), kind), strict=True)], ["rid", "gram", "n", "total", "near", "tops"])
+
+        words = rows.select("text").mapInArrow(vocabulary, "word string").distinct()
+        ratios = self.ratios(words).hint("merge")
+        grams = rows.select("rid", "text").mapInArrow(split, f"rid long, gram string, n long, total long, near double, tops {said}")
+        met = grams.join(ratios, "gram", "left").filter(F.col("total").isNotNull() | F.col("ratio").isNotNull())
+        own = F.when(F.col("ratio") > 0, F.array(F.struct(F.col("ratio").alias("r"), "n"))).otherwise(F.array().cast(said))
+        sums = met.groupBy("rid").agg(F.max("total").alias("total"), F.sum(F.coalesce("near", F.col("ratio") * F.col("n"))).alias("all"), F.flatten(F.collect_list(F.coalesce("tops", own))).alias("tops"))
+        room = F.greatest(F.lit(1).cast("long"), F.floor(F.col("total") / TAIL))
+
+        def add(acc, x):
+            took = F.least(acc["room"], x["n"])
+            return F.struct((acc["top"] + x["r"] * took).alias("top"), (acc["room"] - took).alias("room"))
+
+        top = F.aggregate(F.sort_array("tops", False), F.struct(F.lit(0.0).alias("top"), room.alias("room")), add, lambda acc: acc["top"] / room)
+        return sums.select("rid", F.when(F.col("total") > 0, F.col("all") / F.col("total")).otherwise(0.0).alias("mean"), top.alias("tail"))
+
+    def scored(self, rows: DataFrame) -> DataFrame:
+        """rid, score from 0 to 1 of rows (rid, text); null and empty texts get the score of no evidence."""
+        a, b, c = self.weights
+        z = F.greatest(F.lit(-40.0), F.least(F.lit(40.0), a + b * F.col("mean") + c * F.col("tail")))
+        return self.measured(rows).select("rid", (1 / (1 + F.exp(-z))).alias("score"))
 
     def score(self, text: Column) -> Column:
-        """Column of scores from 0 to 1 for a column of texts; null and empty texts get the score of no evidence."""
-        ratios, weights = self.ratios, np.array(self.weights)
+        """The same as a column, for models of SMALL rows at most: these go to the workers whole."""
+        if self.spelling.count() + self.pairs.count() > SMALL:
+            raise ValueError("this model is too large for a column; use scored()")
+        parents = {r.parent: {k: v.t - v.o for k, v in r.letters.items()} for r in self.spelling.collect()}
+        pairs = {r.gram: r.ratio for r in self.pairs.collect()}
+        shared, weights = self.pairs.sparkSession.sparkContext.broadcast((parents, pairs)), np.array(self.weights)
 
         @F.arrow_udf(DoubleType())
         def run(texts: pa.Array) -> pa.Array:
-            x = np.array([(1.0, *features(t.as_py(), ratios.value)) for t in texts]).reshape(-1, 3)
-            return pa.array(1 / (1 + np.exp(-np.clip(x @ weights, -40, 40))))
+            parents, pairs = shared.value
+
+            def ratio(gram: str) -> float:
+                if " " in gram:
+                    return pairs.get(gram, 0.0)
+                return sum(parents.get(gram[:k], {}).get(letter, 0.0) for k, letter in enumerate(gram + END))
+
+            x = np.array([(1.0, *features(t.as_py(), ratio)) for t in texts]).reshape(-1, 3)
+            return pa.array(_logistic_of(x, weights))
 
         return run(text)
 
@@ -130,6 +294,7 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return w
 
 
+
 def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", toxic: str = "toxic") -> Model:
     """Fit on the labelled rows outside fold 0.
 
@@ -141,25 +306,22 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).filter(fold(doc_id) != 0)
     # Labels grow with the documents, so both sides are always shuffled.
     joined = texts.join(known.hint("merge"), "doc_id").withColumn("fold", fold("doc_id"))
-    table_ = np.zeros(CELLS, np.float32)
-    for rows in letter_ratios(joined.filter(F.col("fold") < FOLDS - 1)).filter("abs(ratio) > 1e-4").toArrow().to_batches():  # CELLS rows at most
-        table_[rows.column(0).to_numpy()] = rows.column(1).to_numpy()
-    ratios = spark.sparkContext.broadcast(table_)
-
-    @F.arrow_udf(ArrayType(DoubleType()))
-    def measured(column: pa.Array) -> pa.Array:
-        return pa.array([features(t.as_py(), ratios.value) for t in column], pa.list_(pa.float64()))
-
+    spelling_, words, pairs = learn(joined.filter(F.col("fold") < FOLDS - 1))
+    model = Model(spelling_, words, pairs, spark.sparkContext.broadcast({}))
+    common = {r.gram: r.ratio for rows in (words, pairs) for r in rows.orderBy(F.col("n").desc(), "gram").select("gram", "ratio").limit(COMMON).collect()}
+    model = replace(model, common=spark.sparkContext.broadcast(common))
     chosen = known.filter(fold("doc_id") == FOLDS - 1).orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_ROWS)
-    rows = texts.join(F.broadcast(chosen), "doc_id").select("toxic", measured("text").alias("x")).collect()
+    fit = keyed(stash(texts.join(F.broadcast(chosen), "doc_id").select("toxic", "text"), "fit"), toxic="toxic", text="text")
+    rows = model.measured(fit.select("rid", "text")).join(fit.select("rid", "toxic"), "rid").select("toxic", "mean", "tail").collect()
     y = np.array([r["toxic"] for r in rows], np.float64)
     if len(set(y.tolist())) < 2:
-        return Model(ratios, (-5.0, 0.0, 0.0))
-    return Model(ratios, tuple(_logistic(np.array([r["x"] for r in rows]), y).tolist()))
+        return model
+    return replace(model, weights=tuple(_logistic(np.array([(r["mean"], r["tail"]) for r in rows]), y).tolist()))
 
 
 def op9_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    model = train(docs, table(spark, sf_dir, "labels"))
-    scored = docs.select("doc_id", (fold("doc_id") == 0).alias("held_out"), model.score(F.col("text")).alias("score"))
-    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    scored = train(docs, table(spark, sf_dir, "labels")).scored(keyed(docs, text="text"))
+    ids = keyed(docs, doc_id="doc_id")
+    out = ids.join(scored, "rid").select("doc_id", (fold("doc_id") == 0).alias("held_out"), "score")
+    return out.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
