@@ -49,7 +49,7 @@ def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of power-of-two length with their ids (10)."""
-    return pack(docs)
+    return pack(docs, added=True)
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]

@@ -24,16 +24,16 @@ def decompose(n, longest: int):
     return F.concat(blocks, F.filter(F.array(*rest), lambda x: x.isNotNull())) if rest else blocks
 
 
-def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", vocabulary: str | None = None, longest: int = SEQUENCE, end_id: int = END_ID) -> DataFrame:
+def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", vocabulary: str | None = None, longest: int = SEQUENCE, end_id: int = END_ID, added: bool = False) -> DataFrame:
     """One row per piece, which is a sequence of its own: doc_id, start, length, ids, doc_tokens, sequence_id, offset.
 
     Null and empty texts hold the end id alone. Rows with null or repeated ids are packed one by one; equal texts give equal
     pieces under their own sequence ids. An empty table gives no rows; other columns are left out. `length` is the bucket: all
-    sequences of a length can be read together (see `write_buckets`). Nothing is shuffled.
+    sequences of a length can be read together (see `write_buckets`). Nothing is shuffled. `added`: see `WordEncoder`.
     """
     if longest < 1 or longest & (longest - 1):
         raise ValueError("the longest sequence must be a power of two")
-    ids = ids_column(F.col(f"`{text}`"), vocabulary or default_vocabulary(), end_id)
+    ids = ids_column(F.col(f"`{text}`"), vocabulary or default_vocabulary(), end_id, added)
     encoded = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), ids.alias("ids"))
     counted = encoded.select("doc_id", "ids", (F.octet_length("ids") / 4).cast("long").alias("doc_tokens"))
     cut = F.transform(
@@ -53,5 +53,5 @@ def write_buckets(packed: DataFrame, path: str) -> None:
 
 
 def op10_power_of_two(spark: SparkSession, sf_dir: str) -> DataFrame:
-    packed = pack(table(spark, sf_dir, "documents"))
+    packed = pack(table(spark, sf_dir, "documents"), added=True)
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")

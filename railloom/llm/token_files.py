@@ -55,12 +55,12 @@ def from_planes(planes: list[bytes], n: int, bits: bool) -> np.ndarray:
     return ids
 
 
-def _writer(path: str, end_id: int, block_ids: int, bits: bool):
+def _writer(path: str, end_id: int, block_ids: int, bits: bool, added: bool = False):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         schema = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("n_ids", pa.int32()), ("width", pa.int32()), ("planes", pa.list_(pa.binary())), ("docs", pa.list_(pa.struct([("row", pa.int64()), ("doc_id", pa.int64()), ("at", pa.int64()), ("n", pa.int32()), ("first", pa.bool_()), ("last", pa.bool_())])))])
-        part, encode = TaskContext.get().partitionId(), encoder(path).encode
+        part, encode = TaskContext.get().partitionId(), encoder(path, added).encode
         held, docs, filled, block, row, place = [], [], 0, 0, 0, 0
 
         def flush() -> pa.RecordBatch:
@@ -94,15 +94,16 @@ def _writer(path: str, end_id: int, block_ids: int, bits: bool):
     return run
 
 
-def write_tokens(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", vocabulary: str | None = None, end_id: int = END_ID, block_ids: int = BLOCK, bits: bool = False) -> None:
+def write_tokens(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", vocabulary: str | None = None, end_id: int = END_ID, block_ids: int = BLOCK, bits: bool = False, added: bool = False) -> None:
     """Encode texts (null: empty) with an end id behind each and write them in ascending order of the id.
 
     Ids that are null come first; rows with the same id follow each other in order of their text and stay apart. Other columns
-    are left out. An empty table writes a folder without chunks. A text of any length flows through blocks of fixed size.
+    are left out. An empty table writes a folder without chunks. A text of any length flows through blocks of fixed size. `added`: see
+    `WordEncoder`.
     """
     rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     ordered = rows.repartitionByRange(F.col("doc_id"), F.xxhash64("text")).sortWithinPartitions(F.col("doc_id"), F.xxhash64("text"), "text")
-    chunks = ordered.mapInArrow(_writer(vocabulary or default_vocabulary(), end_id, block_ids, bits), CHUNKS)
+    chunks = ordered.mapInArrow(_writer(vocabulary or default_vocabulary(), end_id, block_ids, bits, added), CHUNKS)
     chunks.write.option("compression", "none").parquet(path)
 
 
@@ -159,5 +160,5 @@ def read_digests(spark: SparkSession, path: str, bits: bool = False) -> DataFram
 
 def op4_bit_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "tokens")
-    write_tokens(table(spark, sf_dir, "documents"), path)
+    write_tokens(table(spark, sf_dir, "documents"), path, added=True)
     return read_digests(spark, path)

@@ -6,6 +6,8 @@ apart by a 64-bit hash of their characters and length, and only words that the w
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -37,13 +39,23 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 class WordEncoder:
-    """Byte-level BPE of a tokenizer file; ids equal `encode(text, add_special_tokens=False)` on ordinary text."""
+    """Byte-level BPE of a tokenizer file; ids equal `encode(text, add_special_tokens=False)`.
+
+    With `added` the tokenizer's added tokens are cut out of texts and get their own ids, as the library does; without, they are
+    text like any other, as with its switch encode_special_tokens.
+    """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added: bool = False):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        own = self.tokenizer.get_added_tokens_decoder() if added else {}
+        if any(t.lstrip or t.rstrip or t.single_word or t.normalized for t in own.values()):
+            raise ValueError(f"{path} has added tokens that take in their surroundings")
+        self.added = {t.content: i for i, t in own.items()}
+        longest = sorted(self.added, key=len, reverse=True)
+        self.cuts = re.compile("(" + "|".join(map(re.escape, longest)) + ")") if longest else None
         self.model, self.splitter = self.tokenizer.model, self.tokenizer.pre_tokenizer
         if "ByteLevel" not in repr(self.splitter) or self.tokenizer.normalizer is not None:
             raise ValueError(f"{path} is no plain byte-level tokenizer")
@@ -173,12 +185,18 @@ class WordEncoder:
                 length = 0
 
         for i, text in enumerate(texts):
-            for piece in _pieces(text):
-                if length + len(piece) > SEGMENT:
+            for k, part in enumerate(self.cuts.split(text) if self.cuts else [text]):
+                if k % 2:  # an added token
                     flush()
-                held.append(piece)
-                owner.append(i)
-                length += len(piece)
+                    found.append(np.array([self.added[part]], np.uint32))
+                    counts[i] += 1
+                    continue
+                for piece in _pieces(part):
+                    if length + len(piece) > SEGMENT:
+                        flush()
+                    held.append(piece)
+                    owner.append(i)
+                    length += len(piece)
         flush()
         return np.concatenate(found) if found else np.empty(0, np.uint32), counts
 
@@ -197,14 +215,14 @@ def _pieces(text: str):
         yield text[at:]
 
 
-_ENCODERS: dict[str, WordEncoder] = {}
+_ENCODERS: dict[tuple[str, bool], WordEncoder] = {}
 
 
-def encoder(path: str) -> WordEncoder:
+def encoder(path: str, added: bool = False) -> WordEncoder:
     """The encoder of this Python worker."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
-    return _ENCODERS[path]
+    if (path, added) not in _ENCODERS:
+        _ENCODERS[path, added] = WordEncoder(path, added)
+    return _ENCODERS[path, added]
 
 
 def default_vocabulary() -> str:
@@ -213,7 +231,7 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-def ids_column(text, path: str, end_id: int):
+def ids_column(text, path: str, end_id: int, added: bool = False):
     """Column of little-endian unsigned 32-bit ids of `text` (null: empty), the end id behind them."""
     last = np.array([end_id], "<u4").tobytes()
 
@@ -221,7 +239,7 @@ def ids_column(text, path: str, end_id: int):
     def encode(texts: pa.Array) -> pa.Array:
         done = [pa.array([], pa.binary())]
         for at in range(0, len(texts), TEXTS_AT_ONCE):
-            ids, counts = encoder(path).encode([t or "" for t in texts.slice(at, TEXTS_AT_ONCE).to_pylist()])
+            ids, counts = encoder(path, added).encode([t or "" for t in texts.slice(at, TEXTS_AT_ONCE).to_pylist()])
             cuts = np.append(0, np.cumsum(counts))
             done.append(pa.array([ids[a:b].astype("<u4", copy=False).tobytes() + last for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary()))
         return pa.concat_arrays(done)
