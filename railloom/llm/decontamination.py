@@ -116,7 +116,7 @@ class Items:
                     best = (d, a + end - start if back <= k else a, a + end)
             if best[0] <= k:
                 found.append({"item_id": item_id, "distance": best[0], "start": best[1], "end": best[2]})
-        return sorted(found, key=lambda x: x["item_id"])
+        return sorted(found, key=lambda x: (x["item_id"] is not None, x["item_id"] or 0))
 
 
 def _joined(windows: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
@@ -152,9 +152,15 @@ def matches(text: Column, items: object, errors: float) -> Column:
 
 
 def item_blocks(benchmark: DataFrame, item_id: str = "item_id", text: str = "text") -> Iterator[list[tuple[int, str]]]:
-    """Items in blocks of a bounded number of characters, read one after the other."""
+    """Items in blocks of a bounded number of characters, read one after the other.
+
+    Items without an id stay, but for those whose text an item with an id has, too.
+    """
     block, size = [], 0
-    for r in benchmark.select(F.col(item_id).cast("long").alias("i"), F.col(text).alias("t")).filter("t IS NOT NULL AND i IS NOT NULL").orderBy("i", "t").toLocalIterator():
+    items = benchmark.select(F.col(item_id).cast("long").alias("i"), F.col(text).alias("t")).filter("t IS NOT NULL")
+    named = items.filter("i IS NOT NULL")
+    nameless = items.filter("i IS NULL").dropDuplicates(["t"]).join(named.select("t"), "t", "left_anti").select("i", "t")
+    for r in named.unionByName(nameless).orderBy("i", "t").toLocalIterator():
         if block and size + len(r["t"]) > BLOCK_CHARS:
             yield block
             block, size = [], 0
@@ -167,7 +173,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
     """doc_id, item_id, distance, start, end: each row's matches, places counted in the folded text. Nothing is shuffled.
 
     Null and empty texts and items match nothing; repeated rows give repeated matches, repeated items one match each; ties between
-    places go to the first end. Rows with a null id keep it. An empty table on either side gives no rows; other columns are left out.
+    places go to the first end. Rows and items with a null id keep it. An empty table on either side gives no rows; other columns are left out.
     """
     spark = docs.sparkSession
     out = None
