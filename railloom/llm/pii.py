@@ -1,14 +1,14 @@
 """Personal data and information-theoretic sanitisation.
 
-Emails, addresses of machines, card and phone numbers are found by pattern. Corpus co-occurrence then says how far words beside
-such an entity give it away: a term t leaves -log2 p(c | t) bits of doubt about entity c, which is IC(c) - PMI(t; c), with p from
-the counts of t beside c and of t in the whole corpus. Terms that leave little doubt are generalised, those that leave next to none
-are removed. All of it is DataFrame operations.
+Emails, addresses of machines, card and phone numbers are found by pattern. Corpus co-occurrence then says how far the words
+of texts that hold such an entity give it away: a term t leaves -log2 p(c | t) bits of doubt about entity c, which is
+IC(c) - PMI(t; c), with p from the numbers of texts that hold t and c and that hold t. Terms that leave little doubt are generalised,
+those that leave next to none are removed, wherever they stand in the corpus. All of it is DataFrame operations.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import keyed, stash, table
@@ -23,13 +23,11 @@ PATTERNS = {
 }
 KINDS = (*PATTERNS, "term")
 NEEDS = {"email": "@", "ip": ".", "card": "", "phone": "+"}
-AROUND = 48  # characters on each side of an entity whose words are its terms
-TERM_LETTERS = 3  # shorter words are no terms
-SUPPORT = 3  # different surroundings in which a term must stand beside an entity
+SUPPORT = 3  # different texts in which a term must stand together with an entity
+SALTS = 16
 DOUBT_BITS = 1.0  # a term that leaves no more doubt than this is generalised
 GONE_BITS = 0.2  # and one that leaves no more than this is removed
 _SPAN = "array<struct<start:long,rank:int,end:long,kind:string,value:string>>"
-_TERM = "array<struct<entity:string,term:string,start:long,end:long,around:long>>"
 _WORD = r"[\p{L}\p{N}]+"
 
 
@@ -90,69 +88,63 @@ def base_spans(df: DataFrame, text: str) -> DataFrame:
     return df.withColumn("base", F.array_sort(F.concat(*own))).drop(*(f"_{x}_{k}" for k in PATTERNS for x in "mg"))
 
 
-def _sides(text: str) -> Column:
-    """The text on both sides of each base span, beside the entity's name."""
+def _entities() -> Column:
+    """The names of the base spans."""
+    name = lambda s: F.concat_ws(":", s["kind"], F.when(s["kind"].isin("card", "phone"), _digits(s["value"])).otherwise(F.lower(s["value"])))
+    return F.array_distinct(F.transform("base", name))
 
-    def side(s):
-        left_at = F.greatest(s["start"] - AROUND, F.lit(0))
-        return F.struct(
-            F.concat_ws(":", s["kind"], F.when(s["kind"].isin("card", "phone"), _digits(s["value"])).otherwise(F.lower(s["value"]))).alias("entity"),
-            left_at.alias("left_at"),
-            s["end"].alias("right_at"),
-            F.substring(F.col(text), (left_at + 1).cast("int"), (s["start"] - left_at).cast("int")).alias("left"),
-            F.substring(F.col(text), (s["end"] + 1).cast("int"), F.lit(AROUND)).alias("right"),
-        )
 
-    return F.transform("base", side)
+def _outside(text: str) -> Column:
+    """The text with blanks over its base spans, so that places stay what they are."""
 
+    def add(acc, s):
+        # Spans may overlap; what is blank stays so.
+        start = F.greatest(s["start"], acc["at"])
+        kept = F.substring(F.col(text), (acc["at"] + 1).cast("int"), (start - acc["at"]).cast("int"))
+        blank = F.repeat(F.lit(" "), F.greatest(s["end"] - start, F.lit(0)).cast("int"))
+        return F.struct(F.greatest(s["end"], acc["at"]).alias("at"), F.concat(acc["out"], kept, blank).alias("out"))
 
-def _terms(found: DataFrame) -> DataFrame:
-    """rid and one row per word beside a base span: entity, term, its place, and a hash of the span's surroundings."""
-    side = found.select("rid", F.explode("sides").alias("s")).select("rid", "s.*")
-    around = F.xxhash64("left", "right")
-    out = []
-    for name in ("left", "right"):
-        found, gaps = F.regexp_extract_all(name, F.lit(_WORD), F.lit(0)), F.transform(F.split(name, _WORD, -1), F.length)
-        at = F.col(f"{name}_at")
-        one = side.select("rid", "entity", at.alias("at"), around.alias("around"), name, found.alias("found"), gaps.alias("gaps"))
-
-        def make(start, end, value):
-            return F.struct(start.cast("long").alias("start"), F.lit(0).alias("rank"), end.cast("long").alias("end"), F.lit("").alias("kind"), value.alias("value"))
-
-        words = one.select("rid", "entity", "at", "around", F.length(name).alias("n"), F.explode(_located(F.col("found"), F.col("gaps"), lambda v: F.length(v) >= TERM_LETTERS, make, _SPAN)).alias("w"))
-        # A word at the outer edge may be cut there, unless the edge is the text's.
-        whole = (F.col("w.start") > 0) | (F.col("at") == 0) if name == "left" else (F.col("w.end") < F.col("n")) | (F.col("n") < AROUND)
-        out.append(words.filter(whole).select("rid", "entity", F.lower("w.value").alias("term"), (F.col("at") + F.col("w.start")).alias("start"), (F.col("at") + F.col("w.end")).alias("end"), "around"))
-    return out[0].unionByName(out[1])
+    rest = lambda acc: F.concat(acc["out"], F.substring(F.col(text), (acc["at"] + 1).cast("int"), F.length(text)))
+    whole = F.aggregate("base", F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out")), add, rest)
+    return F.when(F.size("base") > 0, whole).otherwise(F.coalesce(F.col(text), F.lit("")))
 
 
-def disclosures(beside: DataFrame, words: DataFrame) -> DataFrame:
-    """entity, term, doubt (bits) of the terms that give an entity away, from terms beside entities and the corpus's words (`term`).
+def disclosures(found: DataFrame) -> DataFrame:
+    """term, doubt (bits) of the terms that give an entity away, from one row per text: `entities`, `terms` (distinct), `body` (a hash of the text).
 
-    Copies of one passage count as one surrounding, so that a repeated document discloses nothing by itself.
+    Copies of one text count as one support, so that a repeated document discloses nothing by itself.
     """
-    here = beside.groupBy("entity", "term", "around").agg(F.count("*").alias("n"))
+    with_ = found.filter(F.size("entities") > 0).select("body", F.explode("entities").alias("entity"), "terms")
+    here = with_.select("body", "entity", F.explode("terms").alias("term")).groupBy("entity", "term", "body").agg(F.count("*").alias("n"))
     pairs = here.groupBy("entity", "term").agg(F.sum("n").alias("together"), F.count("*").alias("support")).filter(F.col("support") >= SUPPORT)
-    all_ = words.groupBy("term").agg(F.count("*").alias("alone"))
+    all_ = found.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("alone"))
     doubt = -F.log2(F.least(F.col("together") / F.col("alone"), F.lit(1.0)))
-    return pairs.join(all_, "term").select("entity", "term", doubt.alias("doubt")).filter(F.col("doubt") <= DOUBT_BITS)
+    close = pairs.join(all_, "term").select("term", doubt.alias("doubt")).filter(F.col("doubt") <= DOUBT_BITS)
+    return close.groupBy("term").agg(F.min("doubt").alias("doubt"))
 
 
 def find_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """rid, doc_id, base, added (spans of disclosing terms with their doubt in bits) for each row of a stored table.
 
-    rid tells rows apart that share an id or have none. Null and empty texts have no spans; repeated rows get the same spans; an
-    empty table gives no rows; other columns are left out. Added spans never overlap base spans.
+    Entities and terms are counted together over whole texts, and a term that gives an entity away is found wherever it stands, also
+    in texts without the entity. rid tells rows apart that share an id or have none. Null and empty texts have no spans; repeated
+    rows get the same spans; an empty table gives no rows; other columns are left out. Added spans never overlap base spans.
     """
     rows = keyed(docs, doc_id=doc_id, text=text)
-    found = stash(base_spans(rows, "text").select("rid", "doc_id", "base", _sides("text").alias("sides")), "spans")
-    beside = stash(_terms(found), "terms")
-    words = rows.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(_WORD), F.lit(0))).alias("term")).filter(F.length("term") >= TERM_LETTERS)
-    telling = disclosures(beside, words)
-    hit = beside.join(telling, ["entity", "term"]).groupBy("rid", "start", "end").agg(F.min("doubt").alias("doubt"))
-    per_row = hit.groupBy("rid").agg(F.array_sort(F.collect_list(F.struct("start", "end", "doubt"))).alias("added"))
-    free = F.filter(F.coalesce("added", F.array()), lambda a: ~F.exists("base", lambda b: (b["start"] < a["end"]) & (a["start"] < b["end"])))
-    return found.join(per_row, "rid", "left").select("rid", "doc_id", "base", free.alias("added"))
+    terms = F.array_distinct(F.transform(F.regexp_extract_all(_outside("text"), F.lit(_WORD), F.lit(0)), F.lower))
+    found = stash(base_spans(rows, "text").select("rid", "doc_id", "base", _entities().alias("entities"), terms.alias("terms"), F.xxhash64("text").alias("body")), "spans")
+    telling = stash(disclosures(found), "terms")
+    # Salted, as a term may stand in a great part of the texts.
+    salted = telling.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    met = stash(found.select("rid", F.explode("terms").alias("term")).withColumn("salt", F.pmod("rid", F.lit(SALTS)).cast("int")).join(salted, ["term", "salt"]).select("rid", "term", "doubt"), "met")
+    hit = rows.select("rid", "text").join(met.select("rid").distinct(), "rid").join(found.select("rid", "base"), "rid").select("rid", _outside("text").alias("outside"))
+    # Places are running sums over a text's words, and words meet their terms by a join: both in proportion to the text.
+    words = F.arrays_zip(F.regexp_extract_all("outside", F.lit(_WORD), F.lit(0)).alias("word"), F.transform(F.split("outside", _WORD, -1), F.length).alias("gap"))
+    each = hit.select("rid", F.posexplode(words).alias("k", "w")).filter("w.word IS NOT NULL").select("rid", "k", F.lower("w.word").alias("term"), F.length("w.word").cast("long").alias("n"), "w.gap")
+    ends = each.withColumn("end", F.sum(F.col("gap") + F.col("n")).over(Window.partitionBy("rid").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)))
+    added = F.struct((F.col("end") - F.col("n")).alias("start"), "end", "doubt")
+    per_row = ends.join(met, ["rid", "term"]).groupBy("rid").agg(F.array_sort(F.collect_list(added)).alias("added"))
+    return found.select("rid", "doc_id", "base").join(per_row, "rid", "left").select("rid", "doc_id", "base", F.coalesce("added", F.array()).alias("added"))
 
 
 def sanitise(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
