@@ -151,9 +151,12 @@ class WordEncoder:
         words = np.searchsorted(begin, np.append(heads, len(cps)))
         return ids, np.diff(np.append(0, upto)[words])
 
-    def _learn(self, key: int, word: str) -> int:
+    def _ids(self, word: str) -> list[int]:
         letters = word.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.letters)
-        ids = [t.id for t in self.model.tokenize(letters)]
+        return [t.id for t in self.model.tokenize(letters)]
+
+    def _learn(self, key: int, word: str) -> int:
+        ids = self._ids(word)
         if self.n_ids + len(ids) > len(self.ids):
             self.ids = np.append(self.ids, np.empty(len(self.ids) + len(ids), np.uint32))
         at = len(self.known)
