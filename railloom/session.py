@@ -13,6 +13,10 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # A hot key is worth one more shuffle: split it even when that costs an exchange.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Rounds of a loop share their compiled code, wherever in a plan they stand.
+    "spark.sql.codegen.useIdInClassName": "false",
+    # Tables bucketed and sorted by a key with one file a bucket are not sorted again.
+    "spark.sql.legacy.bucketedTableScan.outputOrdering": "true",
 }
 
 
