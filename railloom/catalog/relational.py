@@ -146,19 +146,37 @@ def join_field(t):
     return joined.select("a", "b", "newmile", F.coalesce("newmile", "miles").alias("miles"))
 
 
+# Straight pieces of links, and of routes drawn over every seventh link with other vertices: cut at a quarter and at three fifths of
+# the first piece, from the middle of the second one on drawn back over it, every other one in the opposite direction.
+SHARED_SQL = """s AS (SELECT a, b, x AS x1, y AS y1, lead(x) OVER w AS x2, lead(y) OVER w AS y2, ord FROM fx_vertex WINDOW w AS (PARTITION BY a, b ORDER BY ord)),
+  l AS (SELECT *, sqrt((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1)) AS n FROM s WHERE x2 IS NOT NULL AND (x1 <> x2 OR y1 <> y2)),
+  r AS (SELECT CASE WHEN a % 2 = 0 THEN '34567' ELSE '67' END AS codes, x1 + (x2 - x1) * k.f AS p1, y1 + (y2 - y1) * k.f AS q1, x1 + (x2 - x1) * k.t AS p2, y1 + (y2 - y1) * k.t AS q2
+    FROM l JOIN (SELECT 1 AS o, 0.25e0 AS f, 0.6e0 AS t UNION ALL SELECT 1, 0.6e0, 1.0e0 UNION ALL SELECT 2, 0.0e0, 0.5e0) k ON k.o = l.ord WHERE (a + b) % 7 = 0),
+  m AS (SELECT codes, a, b, n, ((p1 - x1) * (x2 - x1) + (q1 - y1) * (y2 - y1)) / n AS s1, ((p2 - x1) * (x2 - x1) + (q2 - y1) * (y2 - y1)) / n AS s2,
+      ((q1 - y1) * (x2 - x1) - (p1 - x1) * (y2 - y1)) / n AS c1, ((q2 - y1) * (x2 - x1) - (p2 - x1) * (y2 - y1)) / n AS c2
+    FROM l JOIN r ON least(p1, p2) <= greatest(x1, x2) + 1 AND greatest(p1, p2) >= least(x1, x2) - 1 AND least(q1, q2) <= greatest(y1, y2) + 1
+      AND greatest(q1, q2) >= least(y1, y2) - 1 AND abs((x2 - x1) * (q2 - q1) - (y2 - y1) * (p2 - p1)) <= 0.03 * n * sqrt((p2 - p1) * (p2 - p1) + (q2 - q1) * (q2 - q1))),
+  o AS (SELECT *, greatest(0, least(s1, s2)) AS lo, least(n, greatest(s1, s2)) AS hi FROM m WHERE s1 <> s2),
+  shared AS (SELECT DISTINCT codes, a, b FROM o WHERE hi - lo >= 1 AND abs(c1 + (c2 - c1) * (lo - s1) / (s2 - s1)) <= 0.01 AND abs(c1 + (c2 - c1) * (hi - s1) / (s2 - s1)) <= 0.01)"""
+
+
+def cut_routes(shapes):
+    """Routes over every seventh link, drawn with other vertices."""
+    at = lambda p, q, t: F.struct((p["x"] + (q["x"] - p["x"]) * t).alias("x"), (p["y"] + (q["y"] - p["y"]) * t).alias("y"))
+    v = [F.col("vertices")[k] for k in range(3)]
+    drawn = F.array(at(v[0], v[1], 0.25), at(v[0], v[1], 0.6), at(v[1], v[2], 0.0), at(v[1], v[2], 0.5))
+    drawn = F.when(F.col("a") % 2 == 0, F.reverse(drawn)).otherwise(drawn)
+    return shapes.filter((F.col("a") + F.col("b")) % 7 == 0).withColumn("vertices", drawn)
+
+
 @query(
     "j16_links_along_routes",
-    """WITH s AS (SELECT a, b, ord, x, y, lead(x) OVER w AS x2, lead(y) OVER w AS y2 FROM fx_vertex WINDOW w AS (PARTITION BY a, b ORDER BY ord)),
-       k AS (SELECT a, b, round(least(x, x2), 3) AS k1, round(greatest(x, x2), 3) AS k2,
-               CASE WHEN x < x2 OR (x = x2 AND y <= y2) THEN round(y, 3) ELSE round(y2, 3) END AS k3,
-               CASE WHEN x < x2 OR (x = x2 AND y <= y2) THEN round(y2, 3) ELSE round(y, 3) END AS k4 FROM s WHERE x2 IS NOT NULL)
-       SELECT DISTINCT a, b FROM k WHERE (k1, k2, k3, k4) IN (SELECT k1, k2, k3, k4 FROM k WHERE (a + b) % 7 = 0)""",
+    f"WITH {SHARED_SQL} SELECT DISTINCT a, b FROM shared",
 )
 def along_routes(t):
-    """Routes are every seventh link; links drawn over the same stretch in either direction count."""
+    """Links drawn over the same stretch count, in either direction and whatever vertices the route has."""
     shapes = t["link_shape"]
-    routes = shapes.filter((F.col("a") + F.col("b")) % 7 == 0).select("vertices")
-    return X.sharing_segment(shapes, routes).select("a", "b")
+    return X.sharing_segment(shapes, cut_routes(shapes).select("vertices")).select("a", "b")
 
 
 @query(
@@ -167,7 +185,7 @@ def along_routes(t):
        ON abs(n.point_x - z.cx) + abs(n.point_y - z.cy) < z.r GROUP BY n.node""",
 )
 def node_zones(t):
-    return X.node_zones(t["fx_node"].select("node", "point_x", "point_y"), t["zone_ring"], 80000.0).select("node", "zone")
+    return X.node_zones(t["fx_node"].select("node", "point_x", "point_y"), t["zone_ring"]).select("node", "zone")
 
 
 @query(

@@ -106,7 +106,7 @@ def scenario_report(routes: DataFrame, itin: DataFrame, movers: DataFrame, scena
 
 def build_scenarios(
     runs: DataFrame, itin: DataFrame, links: DataFrame, nodes: DataFrame, coded_runs: DataFrame, coded_itin: DataFrame,
-    movers: DataFrame, scenarios: Sequence[int], zones: DataFrame | None = None, zone_cell: float = 80_000.0,
+    movers: DataFrame, scenarios: Sequence[int], zones: DataFrame | None = None,
     excluded: DataFrame | None = None, actions: dict[str, DataFrame] | None = None, action_vertices: DataFrame | None = None,
     layout: RunLayout = RUNS, max_zone: int = C.MAX_ZONE, strict: bool = True,
 ) -> Scenario:
@@ -140,7 +140,7 @@ def build_scenarios(
     net = durable(N.service_network(plain, final, BY, max_zone))
     table = N.network_node_table(net, nodes, BY, F.col("scenario"), max_zone)
     if zones is not None:
-        table = table.join(node_zones(nodes, zones, zone_cell).select("node", "zone"), "node", "left")
+        table = table.join(node_zones(nodes, zones).select("node", "zone"), "node", "left")
     table = durable(table)
     lengths = both_directions(base).select("scenario", "a", "b", "miles", "opposite")
     lengths = first_per_key(lengths, ["scenario", "a", "b"], ["opposite", "miles"]).drop("opposite")
