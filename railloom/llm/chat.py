@@ -32,14 +32,15 @@ class Layout:
     turns: Callable[[], Column]
 
 
-def _said(items: str, role: str, text: str) -> Callable[[], Column]:
-    return lambda: F.transform(F.col(items), lambda m: _turn(m[role], m[text]))
+def _said(items: str, role: str, text: str, named: bool = True) -> Callable[[], Column]:
+    """One turn per item; `named`: roles get the names used here."""
+    return lambda: F.transform(F.col(items), lambda m: _turn(m[role], m[text], named))
 
 
-def _turn(role: Column, text: Column) -> Column:
+def _turn(role: Column, text: Column, named: bool = True) -> Column:
     name = F.coalesce(role.cast("string"), F.lit(""))
     known = F.lit(None).cast("string")
-    for alias, own in ROLES.items():
+    for alias, own in ROLES.items() if named else ():
         known = F.when(name == alias, own).otherwise(known)
     return F.struct(F.coalesce(known, name).alias("role"), F.coalesce(text.cast("string"), F.lit("")).alias("text"))
 
@@ -54,7 +55,7 @@ def _asked(first: str, more: str, answer: str) -> Callable[[], Column]:
 
 
 LAYOUTS = (
-    Layout("messages", ("messages[].role", "messages[].content"), _said("messages", "role", "content")),
+    Layout("messages", ("messages[].role", "messages[].content"), _said("messages", "role", "content", named=False)),
     Layout("sharegpt", ("conversations[].from", "conversations[].value"), _said("conversations", "from", "value")),
     Layout("completion", ("prompt", "completion"), _fields(user="prompt", assistant="completion")),
     Layout("response", ("prompt", "response"), _fields(user="prompt", assistant="response")),

@@ -6,7 +6,8 @@ import tempfile
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -67,14 +68,38 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return settle(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def keyed(df: DataFrame, **columns: str | Column) -> DataFrame:
-    """The named columns behind `rid`, a number for each row.
+def settled(df: DataFrame) -> DataFrame:
+    """`df` when its rows still know their files, else a stored copy: what `numbered` can number."""
+    try:
+        df.select(df.metadataColumn("_metadata").getField("row_index"))
+        return df
+    except AnalysisException:
+        return stash(df, "rows")
+
+
+def numbered(df: DataFrame, name: str) -> DataFrame:
+    """`df` with a number for each row in column `name`: the place of its file among all and its place in the file.
 
-    The same stored table gives the same numbers each time it is read, so that rows stay apart even when their ids are null or
+    The same stored table gives the same numbers each time it is read, however Spark splits the files, which depends on the cores at
+    hand. Frames that are not read from files are stored first; an operator that numbers one twice calls `settled` before.
+    """
+    df = settled(df)
+    own = [F.col(f"`{c}`") for c in df.columns]
+    file, at, base = fresh(df, "_file"), fresh(df, "_at"), fresh(df, "_base")
+    place = df.metadataColumn("_metadata")
+    rows = df.select(*own, place.getField("file_path").alias(file), place.getField("row_index").alias(at))
+    # As many rows as files, which the driver lists anyway.
+    files = df.select(place.getField("file_path").alias(file)).distinct().withColumn(base, F.row_number().over(Window.orderBy(file)).cast("long"))
+    return rows.join(F.broadcast(files), file).select(*own, (F.shiftleft(base, 40) + F.col(at)).alias(name))
+
+
+def keyed(df: DataFrame, **columns: str | Column) -> DataFrame:
+    """The named columns behind `rid`, a number for each row (see `numbered`), so that rows stay apart even when their ids are null or
     repeated. Other columns of `df` are left out, whatever their names.
     """
     picked = [(F.col(f"`{c}`") if isinstance(c, str) else c).alias(n) for n, c in columns.items()]
-    return df.select(F.monotonically_increasing_id().alias("rid"), *picked)
+    rid = fresh(df, "rid")
+    return numbered(df, rid).select(F.col(rid).alias("rid"), *picked)
 
 
 def fresh(df: DataFrame, name: str) -> str:

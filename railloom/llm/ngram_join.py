@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest, xxh3_128_digest
 
-from .common import keyed, remembers, stash, table
+from .common import fresh, keyed, numbered, remembers, settled, stash, table
 from .components import components
 from .dense import SCHEMA, blocks_of, combined
 
@@ -239,9 +239,9 @@ def near_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", word
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 5, share: int = 80) -> DataFrame:
     """The rows of a stored table but those linked with a row of lesser id (ties: an earlier row); all columns kept."""
-    rid = "_rid_of_row"
+    docs, rid = settled(docs), fresh(docs, "_rid")
     gone = near_texts(docs, doc_id, text, words, share).filter("NOT first").select(F.col("rid").alias(rid))
-    return docs.withColumn(rid, F.monotonically_increasing_id()).join(gone, rid, "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
+    return numbered(docs, rid).join(gone, rid, "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def op1_prefix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import keyed, stash, table
+from .common import fresh, keyed, numbered, settled, stash, table
 
 # The patterns of the four kinds. A match of the first two can only begin where its run of characters does or the
 # last match ended, which the lookbehind says, so that long runs are not tried at every place; ++ keeps long matches off the stack.
@@ -152,13 +152,14 @@ def sanitise(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
 
     All columns and rows are kept; null texts stay null. Of spans that overlap the first holds.
     """
+    docs = settled(docs)
     spans = find_spans(docs, doc_id, text)
-    rid, cut = "_rid_of_row", "_spans_of_row"
+    rid, cut = fresh(docs, "_rid"), fresh(docs, "_spans")
     body = F.col(f"`{text}`")
     base = F.transform("base", lambda b: F.struct(b["start"].alias("start"), b["end"].alias("end"), F.concat(F.lit("<"), F.upper(b["kind"]), F.lit(">")).alias("label"), F.lit(False).alias("term")))
     added = F.transform("added", lambda a: F.struct(a["start"].alias("start"), a["end"].alias("end"), F.when(a["doubt"] <= GONE_BITS, "").alias("label"), F.lit(True).alias("term")))
     chosen = spans.filter((F.size("base") > 0) | (F.size("added") > 0)).select(F.col("rid").alias(rid), F.array_sort(F.concat(base, added)).alias(cut))
-    joined = docs.withColumn(rid, F.monotonically_increasing_id()).join(chosen, rid, "left")
+    joined = numbered(docs, rid).join(chosen, rid, "left")
 
     def shape(word):
         return F.when(F.regexp_like(word, F.lit(r"^\p{N}+$")), "<NUMBER>").when(F.regexp_like(word, F.lit(r"^\p{Lu}")), "<NAME>").otherwise("<TERM>")

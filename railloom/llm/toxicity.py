@@ -320,8 +320,9 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
 
 
 def op9_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Null ids have no label and are not held out."""
     docs = table(spark, sf_dir, "documents")
     scored = train(docs, table(spark, sf_dir, "labels")).scored(keyed(docs, text="text"))
     ids = keyed(docs, doc_id="doc_id")
-    out = ids.join(scored, "rid").select("doc_id", (fold("doc_id") == 0).alias("held_out"), "score")
+    out = ids.join(scored, "rid").select("doc_id", F.coalesce(fold("doc_id") == 0, F.lit(False)).alias("held_out"), "score")
     return out.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
