@@ -37,6 +37,7 @@ class Scenario:
     summary: DataFrame
     violations: DataFrame
     scenarios: tuple[int, ...] = ()
+    report: DataFrame | None = None
 
 
 def collapse_cta(runs: DataFrame, itin: DataFrame) -> DataFrame:
@@ -85,7 +86,9 @@ def coded_actions(
         "whole_lines": of(2).filter("layover = '99'").select(*BY, "ln").distinct(),
     }
     if vertices is not None and nodes is not None:
-        rates = of(2).groupBy(*BY, "tr_line").agg(F.max("trv_time").alias("reduc"))
+        # The rate that is coded first holds for the line.
+        first = F.struct("it_order", "itin_a", "itin_b")
+        rates = of(2).groupBy(*BY, "tr_line").agg(F.min_by("trv_time", first).alias("reduc"))
         out["cuts"] = A.cut_pairs(vertices, nodes, rates, layout, BY)
     else:
         out["cuts"] = of(2).filter("coalesce(layover, '') <> '99'").select(*BY, "ln", "itin_a", "itin_b", F.col("trv_time").alias("reduc"))
@@ -93,7 +96,10 @@ def coded_actions(
 
 
 def scenario_report(routes: DataFrame, itin: DataFrame, movers: DataFrame, scenarios: Sequence[int]) -> DataFrame:
-    """One sentence per edit of each scenario and period; `routes` carry their description in `descr`."""
+    """One sentence per edit of each scenario and period; `routes` carry their description in `descr`, else in `description`."""
+    if "descr" not in routes.columns:
+        text = F.col("description") if "description" in routes.columns else F.lit(None).cast("string")
+        routes = routes.withColumn("descr", text)
     lines = N.coded_by_period(routes, scenarios)
     rows = _coded_rows(routes, itin, scenarios)
     of = lambda df, action: df.filter(F.col("action") == action)
@@ -108,7 +114,7 @@ def build_scenarios(
     runs: DataFrame, itin: DataFrame, links: DataFrame, nodes: DataFrame, coded_runs: DataFrame, coded_itin: DataFrame,
     movers: DataFrame, scenarios: Sequence[int], zones: DataFrame | None = None,
     excluded: DataFrame | None = None, actions: dict[str, DataFrame] | None = None, action_vertices: DataFrame | None = None,
-    layout: RunLayout = RUNS, max_zone: int = C.MAX_ZONE, strict: bool = True,
+    layout: RunLayout = RUNS, max_zone: int = C.MAX_ZONE, strict: bool = True, future_routes: DataFrame | None = None,
 ) -> Scenario:
     """Runs, itineraries, links, nodes and summary of every scenario and period.
 
@@ -116,6 +122,10 @@ def build_scenarios(
     `coded_runs` changes are marked in their description. `actions` holds the coded rows of the actions by
     scenario and period, named as in `apply_actions`; without them they are made from `coded_runs` and
     `coded_itin`. With `strict`, the job ends when a check reports anything.
+
+    With the drawn `future_routes` (tr_line, vertices) of coded lines, `links` holds base and future links with their vertices: a
+    link belongs to a scenario when a base run or a future route active in the scenario runs along it, or when it is for neither
+    CTA nor Metra. Without them all links are in every scenario.
     """
     spark = itin.sparkSession
     if excluded is None:
@@ -133,8 +143,7 @@ def build_scenarios(
     kept = durable(A.revise_descriptions(marked, coded, F.col("scenario"), BY))
     heads = kept.select(*BY, "tr_line", "mode", "longname")
     final = durable(I.finish_itinerary(rows.join(heads, [*BY, "tr_line"]), excluded, layout, by=BY))
-    base = N.per_scenario(links, scenarios)
-    base = N.without_closed_movers(base, N.closed_movers(movers, scenarios))
+    base = scenario_links(links, itin, coded_runs, future_routes, movers, scenarios)
     tods = F.explode(F.array(*[F.lit(p) for p in N.ALL_TODS])).alias("tod")
     plain = base.select(*[c for c in base.columns if c != "vertices"], tods)  # drawings stay out of the copies per period
     net = durable(N.service_network(plain, final, BY, max_zone))
@@ -155,7 +164,26 @@ def build_scenarios(
         found = Q.violations(found, Q.extension_orders(actions["extensions"].withColumn("tr_line", F.col("ln")), BY))
     if strict:
         Q.assert_clean(found)
-    return Scenario(kept, final, net, table, summary, found, tuple(scenarios))
+    said = scenario_report(coded_runs, coded_itin, movers, scenarios) if coded_itin is not None else None
+    return Scenario(kept, final, net, table, summary, found, tuple(scenarios), said)
+
+
+def scenario_links(links: DataFrame, itin: DataFrame, coded_runs: DataFrame, future_routes: DataFrame | None, movers: DataFrame, scenarios: Sequence[int]) -> DataFrame:
+    """Links of each scenario without its closed people movers: the base network, then links along its active future routes."""
+    closed = N.closed_movers(movers, scenarios)
+    if future_routes is None:
+        return N.without_closed_movers(N.per_scenario(links, scenarios), closed)
+    links = durable(links)
+    used = itin.select(F.col("itin_a").alias("a"), F.col("itin_b").alias("b"))
+    # A base link serves a base run in one of its directions, or no rail run at all.
+    used = used.unionByName(used.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
+    rail = C.has_code("modes1", "C") | C.has_code("modes1", "M")
+    base = links.filter(~rail).unionByName(links.filter(rail).join(used, ["a", "b"], "left_semi"))
+    base = N.without_closed_movers(N.per_scenario(base, scenarios), closed)
+    active = N.per_scenario(coded_runs.select("tr_line", "scenario").distinct(), scenarios, "scenario")
+    routes = future_routes.select("tr_line", "vertices").join(active, "tr_line").drop("tr_line")
+    future = N.future_links(N.per_scenario(links, scenarios), routes)
+    return durable(N.scenario_network(base, future))
 
 
 def scenario_summary(itin: DataFrame, lengths: DataFrame, runs: DataFrame) -> DataFrame:
@@ -201,3 +229,6 @@ def write_scenarios(built: Scenario, vertices: DataFrame, path: str, date: str,
     write_text(shapes, f"{path}/link_shapes", ["_sec", "_no", "a", "b", "ord"], ("scenario",))
     write_csv(pairs, f"{path}/links", False, ["scenario", "a", "b"])
     write_csv(built.summary, f"{path}/summary", True, [*BY, "mode", "longname"])
+    if built.report is not None:
+        said = built.report.withColumnRenamed("message", "line")
+        write_text(said, f"{path}/report", ["section", "seq", "line"], BY)
