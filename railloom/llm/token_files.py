@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
@@ -61,35 +62,54 @@ def _writer(path: str, end_id: int, block_ids: int, bits: bool, added: bool = Fa
 
         schema = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("n_ids", pa.int32()), ("width", pa.int32()), ("planes", pa.list_(pa.binary())), ("docs", pa.list_(pa.struct([("row", pa.int64()), ("doc_id", pa.int64()), ("at", pa.int64()), ("n", pa.int32()), ("first", pa.bool_()), ("last", pa.bool_())])))])
         part, encode = TaskContext.get().partitionId(), encoder(path, added).encode
-        held, docs, filled, block, row, place = [], [], 0, 0, 0, 0
-
-        def flush() -> pa.RecordBatch:
-            nonlocal held, docs, filled, block
-            ids = np.concatenate(held)
-            planes = to_planes(ids, bits)
-            out = pa.RecordBatch.from_pylist([{"part": part, "block": block, "n_ids": len(ids), "width": len(planes), "planes": planes, "docs": docs}], schema)
-            held, docs, filled, block = [], [], 0, block + 1
-            return out
+        held: list[np.ndarray] = []  # ids not yet in a block
+        pieces: list[np.ndarray] = []  # columns row, id, id is null, place, n, first, last of their documents
+        filled, block, row, place = 0, 0, 0, 0
+
+        def flush(size: int) -> pa.RecordBatch:
+            nonlocal filled, block
+            ids, own = np.concatenate(held), np.concatenate(pieces, axis=1)
+            held[:], pieces[:] = [ids[size:]], []
+            n = int(np.searchsorted(np.cumsum(own[4]), size, side="right"))
+            if n < own.shape[1]:  # the block ends within a document, or just before one
+                over = int(own[4, : n + 1].sum()) - size
+                rest = own[:, n:].copy()
+                if over < own[4, n]:
+                    own[4, n] -= over
+                    own[6, n] = 0
+                    rest[3, 0] += own[4, n]
+                    rest[4, 0] = over
+                    rest[5, 0] = 0
+                    n += 1
+                pieces.append(rest)
+            own = own[:, :n]
+            docs = pa.StructArray.from_arrays(
+                [pa.array(own[0]), pa.array(own[1], mask=own[2] > 0), pa.array(own[3]), pa.array(own[4], pa.int32()), pa.array(own[5] > 0), pa.array(own[6] > 0)], fields=list(schema.field("docs").type.value_type)
+            )
+            planes = to_planes(ids[:size], bits)
+            out = [pa.array([part], pa.int32()), pa.array([block], pa.int32()), pa.array([size], pa.int32()), pa.array([len(planes)], pa.int32()), pa.array([planes], pa.list_(pa.binary())), pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), docs).cast(schema.field("docs").type)]
+            filled, block = filled - size, block + 1
+            return pa.record_batch(out, schema=schema)
 
         for batch in batches:
             for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
                 some = batch.slice(at, TEXTS_AT_ONCE)
                 ids, counts = encode([t or "" for t in some.column(1).to_pylist()])
-                cuts = np.append(0, np.cumsum(counts))
-                for k, doc_id in enumerate(some.column(0).to_pylist()):
-                    own = np.append(ids[cuts[k] : cuts[k + 1]], np.uint32(end_id))
-                    done = 0
-                    while done < len(own):
-                        n = min(len(own) - done, block_ids - filled)
-                        held.append(own[done : done + n])
-                        docs.append({"row": row, "doc_id": doc_id, "at": place + done, "n": n, "first": done == 0, "last": done + n == len(own)})
-                        done, filled = done + n, filled + n
-                        if filled == block_ids:
-                            yield flush()
-                    place += len(own)
-                    row += 1
+                # The end id behind every document.
+                upto = np.cumsum(counts + 1)
+                whole = np.full(upto[-1], end_id, np.uint32)
+                inner = np.ones(len(whole), bool)
+                inner[upto - 1] = False
+                whole[inner] = ids
+                key = some.column(0)
+                one = np.ones(len(counts), np.int64)
+                pieces.append(np.stack([row + np.arange(len(counts)), pc.fill_null(key, 0).to_numpy(), key.is_null().to_numpy(zero_copy_only=False), place + upto - counts - 1, counts + 1, one, one]))
+                held.append(whole)
+                filled, row, place = filled + len(whole), row + len(counts), place + len(whole)
+                while filled >= block_ids:
+                    yield flush(block_ids)
         if filled:
-            yield flush()
+            yield flush(filled)
 
     return run
 
@@ -113,13 +133,15 @@ def _reader(bits: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
-                c = batch.slice(k, 1).to_pylist()[0]
-                raw = from_planes(c["planes"], c["n_ids"], bits).tobytes()
-                out, at = [], 0
-                for d in c["docs"]:
-                    out.append({"part": c["part"], "row": d["row"], "doc_id": d["doc_id"], "at": d["at"], "n": d["n"], "whole": d["first"] and d["last"], "block": c["block"], "ids": raw[at : at + 4 * d["n"]]})
-                    at += 4 * d["n"]
-                yield pa.RecordBatch.from_pylist(out, schema)
+                c = {n: batch.column(n)[k] for n in ("part", "block", "n_ids", "planes")}
+                docs = batch.column("docs")[k].values
+                raw = from_planes(c["planes"].as_py(), c["n_ids"].as_py(), bits).tobytes()
+                n = docs.field("n")
+                cuts = np.append(0, np.cumsum(4 * n.to_numpy(), dtype=np.int64))
+                ids = pa.Array.from_buffers(pa.binary(), len(docs), [None, pa.array(cuts, pa.int32()).buffers()[1], pa.py_buffer(raw)])
+                same = lambda name: pa.repeat(c[name], len(docs))  # noqa: E731, B023
+                whole = pc.and_(docs.field("first"), docs.field("last"))
+                yield pa.record_batch([same("part"), docs.field("row"), docs.field("doc_id"), docs.field("at"), n, whole, same("block"), ids], schema=schema)
 
     return run
 
