@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.core import MAX_ZONE, round_half_away
@@ -16,6 +16,7 @@ from ..operators.links import directed_rail_links, link_miles
 from ..operators.runs import run_statistics
 from ..operators.sequence import RUNS, RunLayout
 from ..session import durable
+from ..sources import readers as T
 
 
 @dataclass(frozen=True)
@@ -86,3 +87,30 @@ def import_coding(
     if strict:
         Q.assert_clean(found)
     return Imported(all_routes, all_itin, None, found)
+
+
+def _with_refused(done: Imported, strict: bool, *refused: DataFrame) -> Imported:
+    found = Q.violations(*refused, done.violations.select("check", "key", "detail"))
+    if strict:
+        Q.assert_clean(found)
+    return replace(done, violations=found)
+
+
+def import_feed_files(
+    spark: SparkSession, runs_path: str, segments_path: str, links: DataFrame, fares: DataFrame, base: bool = True,
+    layout: RunLayout = RUNS, ranges=S.NETWORKS, max_zone: int = MAX_ZONE, strict: bool = True, named: bool = False,
+) -> Imported:
+    """`import_feed` from the feed's two files. Refused records are violations; `named`: see `readers.records`."""
+    runs, segments = T.read_feed_runs(spark, runs_path, named), T.read_feed_segments(spark, segments_path, named)
+    done = import_feed(runs, segments, links, fares, base, layout, ranges, max_zone, strict=False)
+    return _with_refused(done, strict, T.refused(spark, runs_path, T.FEED_RUNS, named), T.refused(spark, segments_path, T.FEED_SEGMENTS, named))
+
+
+def import_coding_files(
+    spark: SparkSession, header_path: str, itinerary_path: str, links: DataFrame, old_routes: DataFrame, old_itinerary: DataFrame,
+    layout: RunLayout = RUNS, ranges=S.NETWORKS, strict: bool = True, named: bool = False,
+) -> Imported:
+    """`import_coding` from the two sheets. Refused records are violations; `named`: see `readers.records`."""
+    header, itinerary = T.read_coding_sheets(spark, header_path, itinerary_path, named)
+    done = import_coding(header, itinerary, links, old_routes, old_itinerary, layout, ranges, strict=False)
+    return _with_refused(done, strict, T.refused(spark, header_path, T.HEADERS, named), T.refused(spark, itinerary_path, T.ITINERARIES, named))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,18 +29,55 @@ ROUTE_VERTEX = "rte INT, tr_line STRING, x DOUBLE, y DOUBLE, m DOUBLE"
 ACTION_VERTEX = "link INT, tr_line STRING, action INT, x DOUBLE, y DOUBLE"
 
 
-def _csv(spark: SparkSession, path: str, schema: str, header: bool = True, sep: str = ",") -> DataFrame:
-    return spark.read.schema(schema).option("header", header).option("sep", sep).option("enforceSchema", True).csv(path)
+REFUSED = "_refused"
 
 
-def read_feed_runs(spark: SparkSession, path: str) -> DataFrame:
+@dataclass(frozen=True)
+class Layout:
+    """Columns of a text file, whether its files begin with a header, and what stands between fields."""
+
+    schema: str
+    header: bool = True
+    sep: str = ","
+
+
+FEED_RUNS, FEED_SEGMENTS = Layout(FEED_RUN), Layout(FEED_SEGMENT)
+HEADERS, ITINERARIES = Layout(HEADER_SHEET), Layout(ITINERARY_SHEET)
+LINK_VERTICES, ROUTE_VERTICES, ACTION_VERTICES = (Layout(schema, False, ";") for schema in (LINK_VERTEX, ROUTE_VERTEX, ACTION_VERTEX))
+
+
+def records(spark: SparkSession, path: str, layout: Layout, named: bool = False) -> DataFrame:
+    """All records, in `_refused` the text of those with a field that is no value of its column, or with too few or too many fields.
+
+    Columns are taken by place. With `named` the files' headers must name them in this order, or the job ends where it reads the
+    file; without, headers are passed over. Empty fields are null, blank lines nothing.
+    """
+    reader = spark.read.schema(f"{layout.schema}, {REFUSED} STRING").option("header", layout.header).option("sep", layout.sep)
+    reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", REFUSED)
+    rows = reader.option("enforceSchema", not named).csv(path)
+    # Only columns that a query needs are parsed. This condition, always true, needs all, so that every query refuses the same records.
+    return rows.withColumn(REFUSED, F.when(F.xxhash64(*rows.columns[:-1]) >= -(1 << 63), F.col(REFUSED)))
+
+
+def refused(spark: SparkSession, path: str, layout: Layout, named: bool = False) -> DataFrame:
+    """Refused records as violations: the file is the key, the record's text the detail."""
+    rows = records(spark, path, layout, named).filter(F.col(REFUSED).isNotNull())
+    return rows.select(F.lit("refused_record").alias("check"), F.col("_metadata.file_name").alias("key"), F.col(REFUSED).alias("detail"))
+
+
+def _accepted(spark: SparkSession, path: str, layout: Layout, named: bool = False) -> DataFrame:
+    rows = records(spark, path, layout, named)
+    return rows.filter(F.col(REFUSED).isNull()).drop(REFUSED)
+
+
+def read_feed_runs(spark: SparkSession, path: str, named: bool = False) -> DataFrame:
     """Run headers; names are cut to 20 characters and the shape number is dropped."""
-    return cut_line(_csv(spark, path, FEED_RUN).drop("shape_id"))
+    return cut_line(_accepted(spark, path, FEED_RUNS, named).drop("shape_id"))
 
 
-def read_feed_segments(spark: SparkSession, path: str) -> DataFrame:
+def read_feed_segments(spark: SparkSession, path: str, named: bool = False) -> DataFrame:
     """Run segments; rows without a line are dropped."""
-    rows = cut_line(_csv(spark, path, FEED_SEGMENT).drop("shape_id", "shape_dist_trav_a", "shape_dist_trav_b"))
+    rows = cut_line(_accepted(spark, path, FEED_SEGMENTS, named).drop("shape_id", "shape_dist_trav_a", "shape_dist_trav_b"))
     return drop_blank_lines(rows)
 
 
@@ -51,9 +89,9 @@ def drop_blank_lines(df: DataFrame) -> DataFrame:
     return df.filter(F.coalesce(F.trim("line"), F.lit("")) != "")
 
 
-def read_coding_sheets(spark: SparkSession, header_path: str, itinerary_path: str) -> tuple[DataFrame, DataFrame]:
+def read_coding_sheets(spark: SparkSession, header_path: str, itinerary_path: str, named: bool = False) -> tuple[DataFrame, DataFrame]:
     """The two sheets of a coding workbook, saved as CSV."""
-    return _csv(spark, header_path, HEADER_SHEET), _csv(spark, itinerary_path, ITINERARY_SHEET)
+    return _accepted(spark, header_path, HEADERS, named), _accepted(spark, itinerary_path, ITINERARIES, named)
 
 
 def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -66,15 +104,15 @@ def read_link_vertices(spark: SparkSession, path: str) -> DataFrame:
 
     The row order of the text is the drawing order. It is kept as `seq`, which grows along each file.
     """
-    return in_file_order(_csv(spark, path, LINK_VERTEX, header=False, sep=";"))
+    return in_file_order(_accepted(spark, path, LINK_VERTICES))
 
 
 def read_route_vertices(spark: SparkSession, path: str) -> DataFrame:
-    return in_file_order(_csv(spark, path, ROUTE_VERTEX, header=False, sep=";"))
+    return in_file_order(_accepted(spark, path, ROUTE_VERTICES))
 
 
 def read_action_vertices(spark: SparkSession, path: str) -> DataFrame:
-    return in_file_order(_csv(spark, path, ACTION_VERTEX, header=False, sep=";"))
+    return in_file_order(_accepted(spark, path, ACTION_VERTICES))
 
 
 def in_file_order(df: DataFrame) -> DataFrame:
