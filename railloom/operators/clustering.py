@@ -126,3 +126,15 @@ def similar_runs(
     by_set = sets.select(*key, "print", "n", "run").join(joined, [*key, "run"]).drop("run")
     out = runs.select(*key, "run", "print", "n").join(by_set, [*key, "print", "n"])
     return out.select(*key, F.col("run").alias(run), "leader")
+
+
+def led_runs(signatures: DataFrame, key: Sequence[str] = ("route_key",), run: str = "tr_line", threshold: int = 85) -> DataFrame:
+    """(key.., run, leader, common): every run with the leader of its group and the number of segments both have.
+
+    One row per run, however many earlier runs cover it; leaders share all their segments with themselves.
+    """
+    key = list(key)
+    own = signatures.select(*key, run, "seg")
+    groups = similar_runs(signatures, key, run, threshold)
+    shared = own.join(groups, [*key, run]).join(own.select(*key, F.col(run).alias("leader"), "seg"), [*key, "leader", "seg"])
+    return shared.groupBy(*key, run, "leader").agg(F.count(F.lit(1)).alias("common"))

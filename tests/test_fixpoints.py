@@ -5,7 +5,7 @@ import random
 
 import pytest
 
-from railloom.operators.clustering import cover_pairs, similar_runs
+from railloom.operators.clustering import cover_pairs, led_runs, similar_runs
 from railloom.operators.paths import shortest_paths
 
 
@@ -60,6 +60,14 @@ def test_cover_pairs(spark):
     assert {(r["route_key"], r["leader"], r["tr_line"]) for r in got} == want
 
 
+def test_led_runs(spark):
+    """One row per run, also when one segment is in all runs of a key."""
+    runs = {k: v | {99} for k, v in random_runs(11).items()}
+    leads = one_at_a_time(runs)
+    want = {(k, r, leads[k, r], len(runs[k, r] & runs[k, leads[k, r]])) for k, r in runs}
+    assert {tuple(r) for r in led_runs(signature_frame(spark, runs)).collect()} == want
+
+
 def search(graph, src):
     dist, pred, heap = {src: 0}, {}, [(0, src)]
     done = set()
