@@ -157,7 +157,7 @@ SHARED_SQL = """s AS (SELECT a, b, x AS x1, y AS y1, lead(x) OVER w AS x2, lead(
     FROM l JOIN r ON least(p1, p2) <= greatest(x1, x2) + 1 AND greatest(p1, p2) >= least(x1, x2) - 1 AND least(q1, q2) <= greatest(y1, y2) + 1
       AND greatest(q1, q2) >= least(y1, y2) - 1 AND abs((x2 - x1) * (q2 - q1) - (y2 - y1) * (p2 - p1)) <= 0.03 * n * sqrt((p2 - p1) * (p2 - p1) + (q2 - q1) * (q2 - q1))),
   o AS (SELECT *, greatest(0, least(s1, s2)) AS lo, least(n, greatest(s1, s2)) AS hi FROM m WHERE s1 <> s2),
-  shared AS (SELECT DISTINCT codes, a, b FROM o WHERE hi - lo >= 1 AND abs(c1 + (c2 - c1) * (lo - s1) / (s2 - s1)) <= 0.01 AND abs(c1 + (c2 - c1) * (hi - s1) / (s2 - s1)) <= 0.01)"""
+  shared AS (SELECT DISTINCT codes, a, b FROM o WHERE hi - lo >= 10 AND abs(c1 + (c2 - c1) * (lo - s1) / (s2 - s1)) <= 0.01 AND abs(c1 + (c2 - c1) * (hi - s1) / (s2 - s1)) <= 0.01)"""
 
 
 def cut_routes(shapes):

@@ -18,7 +18,6 @@ from ..session import shared_folder
 from ..sources.dims import fare_zones
 from .networks import ROUTE_SQL, SPLIT_ITIN, directed, pieces_of
 from .registry import query, rnd
-from .relational import SHARED_SQL, cut_routes
 from .scalars import FARE_SQL
 from .summaries import _ALL, itin_of, runs_of
 
@@ -41,19 +40,18 @@ def without_movers(t):
     return N.without_closed_movers(links, closed(t)).select("scenario", "a", "b", "miles")
 
 
-_ACTIVE = f"""{SHARED_SQL},
- ff AS (SELECT DISTINCT s.scenario, l.a, l.b, l.miles FROM fx_link l JOIN shared ON shared.a = l.a AND shared.b = l.b CROSS JOIN {_SCEN} s
-   WHERE contains(shared.codes, CAST(s.scenario AS STRING)))"""
+_ACTIVE = f"""ac AS (SELECT s.scenario, a, b FROM fx_link CROSS JOIN {_SCEN} s WHERE (a + b) % 7 = 0 AND contains(CASE WHEN a % 2 = 0 THEN '34567' ELSE '67' END, CAST(s.scenario AS STRING))),
+ ff AS (SELECT s.scenario, l.a, l.b, l.miles FROM fx_link l CROSS JOIN {_SCEN} s WHERE (s.scenario, l.a, l.b) IN (SELECT scenario, a, b FROM ac UNION SELECT scenario, b, a FROM ac))"""
 
 
 def scenario_links(t):
-    """Base links leave out a seventh of the pairs; future links follow the active routes drawn on them, with other vertices."""
+    """Base links leave out a seventh of the pairs; future links follow the active routes drawn on them."""
     shapes = t["link_shape"]
     seventh = (F.col("a") + F.col("b")) % 7 == 0
     codes = F.when(F.col("a") % 2 == 0, "34567").otherwise("67")
-    routes = cut_routes(shapes).select(codes.alias("codes"), "vertices")
+    routes = shapes.filter(seventh).select(codes.alias("codes"), "vertices")
     routes = N.per_scenario(routes, SCENARIOS, "codes")
-    future = N.future_links(N.per_scenario(shapes, SCENARIOS), routes)
+    future = N.future_links(N.per_scenario(shapes, SCENARIOS), routes, same_vertices=True)
     cols = ["scenario", "a", "b", "miles", "directions", "modes1", "modes2"]
     base = N.per_scenario(t["fx_link"].filter(~seventh), SCENARIOS)
     base = N.without_closed_movers(base, closed(t)).select(*cols)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import core as C
 from .links import both_directions, end_nodes
-from .spatial import sharing_segment
+from .spatial import sharing_segment, sharing_vertices
 from .tables import first_per_key, union_all
 
 ALL_TODS = (1, 2, 3, 4)
@@ -41,9 +41,12 @@ def without_closed_movers(links: DataFrame, closed: DataFrame) -> DataFrame:
     return links.join(closed.select("scenario", "a", "b").distinct(), ["scenario", "a", "b"], "left_anti")
 
 
-def future_links(links: DataFrame, routes: DataFrame) -> DataFrame:
-    """Links along an active future route of their scenario; both sides carry scenario and vertices."""
-    return sharing_segment(links, routes, by=("scenario",))
+def future_links(links: DataFrame, routes: DataFrame, same_vertices: bool = False) -> DataFrame:
+    """Links along an active future route of their scenario; both sides carry scenario and vertices.
+
+    Routes that were built from the links themselves (`same_vertices`) are told by their vertices, which takes less work.
+    """
+    return (sharing_vertices if same_vertices else sharing_segment)(links, routes, by=("scenario",))
 
 
 def scenario_network(base: DataFrame, future: DataFrame) -> DataFrame:
