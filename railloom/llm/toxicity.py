@@ -7,20 +7,23 @@ of letters with continuation counts, which the classes share. An expression that
 same probability in both and says nothing.
 
 A text's score is a logistic function of two length-normalised log-likelihood ratios: of all its words and pairs, and of the same
-share of them that is most toxic. Counts are keyed by the contexts themselves and kept as stored tables that grow with the corpus;
-texts are scored by joining their distinct words and pairs with them. What reaches the workers besides is a fixed number of the
-commonest, which only spares them the join.
+share of them that is most toxic. Counts are kept as stored tables that grow with the corpus: of letters by the contexts themselves,
+of words and pairs by 64-bit hashes of the words. Texts are scored a chunk of rows at a time: a chunk asks the buckets of the model
+for its distinct words and pairs and gets their ratios back. What reaches the workers besides is a fixed number of the commonest,
+which only spares them the question. Rounds over shares of the rows bound what lies on disk between the two shuffles.
 """
 
 from __future__ import annotations
 
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
+from functools import cache, reduce
 
 import numpy as np
 import pyarrow as pa
 import regex
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
@@ -37,6 +40,17 @@ TAIL = 50  # one word in so many makes the toxic tail
 FOLDS = 5  # fold 0 is held out, the last one sets the logistic function, the others make the models
 FIT_ROWS = 20_000  # rows at most that set the logistic function: a bounded sample, those of least hash
 COMMON = 1 << 16  # words and pairs that workers score without the join
+BLOCK = 1 << 22  # characters read at once
+CROWN = 4  # letters by which words are dealt out to have their spelling looked up
+WORDS = 1 << 16  # words or letters behind contexts in a group
+ROOM = 1 << 18  # pairs of the model in a bucket
+ROUNDS = 6  # shares of the rows that are scored one after the other
+LESSONS = 3  # shares of the pairs that are learned one after the other
+CHUNK = 12  # 2 ** CHUNK rows are scored together,
+FULL = 1 << 24  # but not more than so many characters
+KEPT = 1 << 22  # keys that are kept before they are asked for
+SLOTS = np.uint64((1 << 18) - 1)
+TURN = 21  # bits that the hash of a pair's second word is turned by
 SMALL = 1 << 20  # rows of a model at most that Model.score takes to the workers
 END = "$"  # stands behind words
 _WORD = regex.compile(r"[\p{L}\p{N}]{1,%d}" % LONGEST)
@@ -64,20 +78,160 @@ def grams_of(text: str | None) -> tuple[Counter, int]:
     return found, len(words)
 
 
+@cache
+def _alphabet() -> tuple[np.ndarray, np.ndarray]:
+    """For each character 0, or a random number if it belongs to words; powers of a base from 0 to LONGEST."""
+    numbers = np.random.default_rng(9).integers(1, 1 << 63, 0x110000, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    every = "".join(chr(c) if not 0xD800 <= c < 0xE000 else " " for c in range(0x110000))
+    word = np.zeros(0x110000, bool)
+    word[[ord(c) for c in regex.findall(r"[\p{L}\p{N}]", every)]] = True
+    return np.where(word, numbers, np.uint64(0)), np.cumprod(np.append(np.uint64(1), np.full(LONGEST, 0x9E3779B97F4A7C15, np.uint64)))
+
+
+@dataclass(frozen=True)
+class Words:
+    """The words of some texts, one after the other: their texts' numbers, hashes, and places in all letters."""
+
+    letters: str
+    text: np.ndarray
+    hash: np.ndarray
+    start: np.ndarray
+    end: np.ndarray
+
+    def spelt(self, at: np.ndarray) -> list[str]:
+        return [self.letters[a:z] for a, z in zip(self.start[at].tolist(), self.end[at].tolist(), strict=True)]
+
+    def pairs(self) -> np.ndarray:
+        """Places of the words that another one of the same text follows."""
+        return np.flatnonzero(self.text[1:] == self.text[:-1])
+
+
+def words_of(texts: list[str | None]) -> Iterator[Words]:
+    """What `tokens_of` gives, for whole texts, a few at a time. A hash is a polynomial in the letters, mixed."""
+    lowered, first, total = [], 0, 0
+    for i, text in enumerate(texts):
+        own = (text or "").lower()
+        if lowered and total + len(own) > BLOCK:
+            yield _words_of(lowered, first)
+            lowered, first, total = [], i, 0
+        lowered.append(own)
+        total += len(own) + 1
+    yield _words_of(lowered, first)
+
+
+def _words_of(lowered: list[str], first: int) -> Words:
+    numbers, powers = _alphabet()
+    letters = "\n".join([*lowered, ""]) or "\n"
+    v = numbers[np.frombuffer(letters.encode("utf-32-le", "surrogatepass"), np.uint32)]
+    word = v > 0  # the last letter is none
+    edges = np.flatnonzero(word[1:] != word[:-1]) + 1
+    edges = np.append(0, edges) if word[0] else edges
+    start, end = edges[::2], edges[1::2]
+    pieces = (end - start + LONGEST - 1) // LONGEST
+    if (pieces > 1).any():
+        run = np.repeat(np.arange(len(start)), pieces)
+        start = start[run] + LONGEST * (np.arange(len(run)) - (np.cumsum(pieces) - pieces)[run])
+        end = np.minimum(start + LONGEST, end[run])
+    size = end - start
+    h = size.astype(np.uint64)
+    here = np.arange(len(h))
+    for k in range(int(size.max(initial=0))):
+        here = here[size[here] > k] if k else here
+        h[here] += v[start[here] + k] * powers[k + 1]
+    h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
+    begin = np.cumsum([0, *(len(t) + 1 for t in lowered)])[:-1]
+    return Words(letters, first + np.searchsorted(begin, start, side="right") - 1, h ^ (h >> np.uint64(31)), start, end)
+
+
+def pair_keys(before: np.ndarray, word: np.ndarray) -> np.ndarray:
+    return before ^ (word << np.uint64(TURN) | word >> np.uint64(64 - TURN))
+
+
+def _pair_key(before: str, word: str) -> Column:
+    return F.col(before).bitwiseXOR(F.shiftleft(word, TURN).bitwiseOR(F.shiftrightunsigned(word, 64 - TURN)))
+
+
 def counted(texts: DataFrame) -> DataFrame:
-    """gram, t, o: how often toxic and ordinary texts hold each word and pair, from rows (toxic 0/1, text)."""
+    """word, h, w, t, o: how often toxic and ordinary texts hold each word (hash w) and each pair (null, hashes h and w), from rows
+    (toxic 0/1, text)."""
+
+    def counts(texts: list[str | None], toxic: int) -> Iterator[pa.RecordBatch]:
+        for found in words_of(texts):
+            own, at, n = np.unique(found.hash, return_index=True, return_counts=True)
+            pairs = found.pairs()
+            _, place, m = np.unique(pair_keys(found.hash[pairs], found.hash[pairs + 1]), return_index=True, return_counts=True)
+            n = np.concatenate([n, m])
+            h = np.concatenate([np.zeros(len(own), np.uint64), found.hash[pairs[place]]])
+            w = np.concatenate([own, found.hash[pairs[place] + 1]])
+            both = [pa.array(x) for x in ((0 * n, n) if not toxic else (n, 0 * n))]
+            yield pa.record_batch([pa.array(found.spelt(at) + [None] * len(place), pa.string()), pa.array(h.view(np.int64)), pa.array(w.view(np.int64)), *both], ["word", "h", "w", "t", "o"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: tuple[list, list] = ([], [])
+        total = 0
         for b in batches:
-            sums = (Counter(), Counter())
             for toxic, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                sums[toxic].update(grams_of(text)[0])
-            for toxic, own in enumerate(sums):
-                n = pa.array(own.values(), pa.int64())
-                none = pa.array(np.zeros(len(own), np.int64))
-                yield pa.record_batch([pa.array(own.keys(), pa.string()), n if toxic else none, none if toxic else n], ["gram", "t", "o"])
+                held[toxic].append(text)
+                total += len(text or "")
+            if total >= BLOCK:
+                for toxic, own in enumerate(held):
+                    yield from counts(own, toxic)
+                held, total = ([], []), 0
+        for toxic, own in enumerate(held):
+            yield from counts(own, toxic)
+
+    rows = texts.select("toxic", "text").mapInArrow(count, "word string, h long, w long, t long, o long")
+    return rows.groupBy("word", "h", "w").agg(F.sum("t").alias("t"), F.sum("o").alias("o"))
+
+
+def _bucket(key: Column, buckets: int) -> Column:
+    return F.shiftright(F.shiftrightunsigned(key, 32) * F.lit(buckets).cast("long"), 32)
+
+
+def packed(rows: DataFrame, buckets: int) -> DataFrame:
+    """bucket, keys, ratios: the rows (key, ratio) of each bucket as arrays in the order of unsigned keys."""
+
+    def pack(rows: pa.Table) -> pa.Table:
+        keys, ratios = rows["key"].to_numpy().view(np.uint64), rows["ratio"].to_numpy()
+        o = np.argsort(keys)
+        return pa.table({"bucket": rows["bucket"].slice(0, 1), "keys": pa.array([keys[o].tobytes()], pa.binary()), "ratios": pa.array([ratios[o].tobytes()], pa.binary())})
+
+    return rows.select("key", "ratio", _bucket(F.col("key"), buckets).alias("bucket")).groupBy("bucket").applyInArrow(pack, "bucket long, keys binary, ratios binary")
+
+
+def _unpacked(keys, ratios) -> tuple[np.ndarray, np.ndarray]:
+    """Columns of packed rows as one sorted array of keys and their ratios."""
+    k = np.concatenate([np.zeros(0, np.uint64), *(np.frombuffer(x.as_py(), np.uint64) for x in keys)])
+    r = np.concatenate([np.zeros(0), *(np.frombuffer(x.as_py()) for x in ratios)])
+    o = np.argsort(k, kind="stable")
+    return k[o], r[o]
+
+
+def _found(keys: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which of `asked` are among the sorted keys, and the places of these."""
+    at = np.searchsorted(keys, asked)
+    hit = at < len(keys)
+    hit[hit] = keys[at[hit]] == asked[hit]
+    return hit, at[hit]
 
-    return texts.select("toxic", "text").mapInArrow(count, "gram string, t long, o long").groupBy("gram").agg(F.sum("t").alias("t"), F.sum("o").alias("o"))
+
+def _places(keys: np.ndarray) -> np.ndarray:
+    """A place of each different key: the last one in a slot holds it, keys that lost theirs go on."""
+    slots = np.empty(int(SLOTS) + 1, np.int64)
+    rest, out = np.arange(len(keys)), []
+    while len(rest):
+        slot = keys[rest] & SLOTS
+        slots[slot] = rest
+        held = slots[slot]
+        out.append(rest[held == rest])
+        rest = rest[keys[held] != keys[rest]]
+    return np.concatenate(out) if out else rest
+
+
+def _different(keys: np.ndarray) -> np.ndarray:
+    keys = np.sort(keys)
+    return keys[np.append(True, keys[1:] != keys[:-1])] if len(keys) else keys
 
 
 def steps_of(words: DataFrame, *others: str) -> DataFrame:
@@ -92,7 +246,8 @@ def shorter(edges: DataFrame) -> DataFrame:
     levels = [edges.select(F.concat(F.lit("^"), "parent").alias("context"), "letter")]
     for size in range(LOWER, -1, -1):
         context = F.substring("context", -size, size) if size else F.lit("")
-        levels.append(levels[-1].select(context.alias("context"), "letter").groupBy("context", "letter").agg(F.count("*").alias("n")))
+        level = levels[-1].select(context.alias("context"), "letter").groupBy("context", "letter").agg(F.count("*").alias("n"))
+        levels.append(stash(level, "level"))  # each is read three times
     p = None
     for size, level in enumerate(reversed(levels[1:])):
         sums = level.groupBy("context").agg(F.sum("n").alias("all"), F.count("*").alias("kinds"))
@@ -122,44 +277,110 @@ def _log_p(c: str, below: Column) -> Column:
     return F.log((F.greatest(F.col(c) - DISCOUNT, F.lit(0.0)) + _taken(c) * below) / (F.col(f"all_{c}") + SHARED))
 
 
+def _dealt(*columns: str | Column, size: int) -> Column:
+    """A group number by the columns, for groups of about WORDS of `size` rows."""
+    return F.pmod(F.xxhash64(*columns), F.lit(1 + size // WORDS))
+
+
 def spelling(words: DataFrame) -> DataFrame:
-    """parent, letters: behind each prefix of the words (word, t, o), the (t, o) log p of each letter met there."""
+    """parent, letter, t, o: behind each prefix of the words (word, t, o), the log p in both classes of each letter met there."""
     edges = stash(steps_of(words, "t", "o").groupBy("parent", "letter").agg(F.sum("t").alias("t"), F.sum("o").alias("o")), "letters")
-    sums = _class_sums(edges, "parent")
     lower = shorter(edges)
     last = F.concat(F.lit("^"), "parent")
-    rows = edges.withColumn("context", F.substring(last, -LOWER, LOWER)).join(lower, ["context", "letter"]).join(sums, "parent")
-    shared = (F.col("t") + F.col("o") - DISCOUNT + DISCOUNT * F.col("kinds") * F.col("p")) / (F.col("all_t") + F.col("all_o"))
-    entry = F.struct("letter", F.struct(_log_p("t", shared).alias("t"), _log_p("o", shared).alias("o")))
-    return stash(rows.groupBy("parent").agg(F.map_from_entries(F.collect_list(entry)).alias("letters")), "spelling")
+    rows = edges.withColumn("context", F.substring(last, -LOWER, LOWER)).join(lower, ["context", "letter"])
 
+    def log_p(rows: pa.Table) -> pa.Table:
+        parent = rows["parent"].combine_chunks().dictionary_encode().indices.to_numpy()
+        n = {c: rows[c].to_numpy().astype(np.float64) for c in "to"}
+        total = {c: np.bincount(parent, n[c])[parent] for c in "to"}
+        shared = (n["t"] + n["o"] - DISCOUNT + DISCOUNT * np.bincount(parent)[parent] * rows["p"].to_numpy()) / (total["t"] + total["o"])
+        out = {}
+        for c in "to":
+            taken = DISCOUNT * np.bincount(parent, n[c] > 0)[parent] + SHARED
+            out[c] = np.log((np.maximum(n[c] - DISCOUNT, 0.0) + taken * shared) / (total[c] + SHARED))
+        return pa.table({"parent": rows["parent"], "letter": rows["letter"], **out})
 
-def spelt(words: DataFrame, spelling_: DataFrame) -> DataFrame:
-    """word, p_t, p_o: log p of the distinct words of `words`, as far as the spelling has met their letters; the rest is the same in both."""
-    hit = steps_of(words.withColumn("w", F.col("word")), "w").join(spelling_, "parent", "left")
-    own = F.col("letters")[F.col("letter")]
-    return hit.groupBy(F.col("w").alias("word")).agg(F.sum(F.coalesce(own["t"], F.lit(0.0))).alias("p_t"), F.sum(F.coalesce(own["o"], F.lit(0.0))).alias("p_o"))
+    groups = rows.select("parent", "letter", "t", "o", "p").groupBy(_dealt("parent", size=edges.count()))
+    out = stash(groups.applyInArrow(log_p, "parent string, letter string, t double, o double"), "spelling")
+    discard(edges)
+    return out
 
 
-def learn(texts: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The stored model from (toxic, text): spelling, words (gram, ratio, n), pairs (gram, ratio, n).
+def spelt(words: DataFrame, spelling_: DataFrame) -> DataFrame:
+    """w, p_t, p_o: log p of the distinct words of the stored `words` (word, its hash w), as far as the spelling has met their letters;
+    the rest is the same in both.
+
+    Words that share their first CROWN letters come together with what the spelling has behind these, and with the sums up to there.
+    """
+    own = words.select(F.concat("word", F.lit(END)).alias("spelt"), "w").withColumn("crown", F.substring("spelt", 1, CROWN))
+    steps = own.select(F.col("crown").alias("head")).distinct().select("head", F.explode(F.sequence(F.lit(1), F.length("head"))).alias("k"))
+    steps = steps.select("head", F.substring("head", F.lit(1), F.col("k") - 1).alias("parent"), F.substring("head", F.col("k"), F.lit(1)).alias("letter"))
+    low = F.length("parent") < CROWN
+    sums = steps.join(spelling_.filter(low), ["parent", "letter"]).groupBy("head").agg(F.sum("t").alias("t"), F.sum("o").alias("o"))
+    above = spelling_.filter(~low).select(F.substring("parent", 1, CROWN).alias("head"), F.concat("parent", "letter").alias("prefix"), "t", "o")
+    known = sums.select("head", F.col("head").alias("prefix"), "t", "o").unionByName(above)
+
+    def look_up(known: pa.Table, words: pa.Table) -> pa.Table:
+        place = {prefix: k for k, prefix in enumerate(known["prefix"].to_pylist())}
+        path, sizes = [], []
+        for word in words["spelt"].to_pylist():
+            before = len(path)
+            if (here := place.get(word[:CROWN])) is not None:
+                path.append(here)
+                for k in range(CROWN + 1, len(word) + 1):
+                    if (here := place.get(word[:k])) is None:
+                        break
+                    path.append(here)
+            sizes.append(len(path) - before)
+        of = np.repeat(np.arange(len(sizes)), sizes)
+        path = np.array(path, np.int64)
+        return pa.table({"w": words["w"], **{f"p_{c}": np.bincount(of, known[c].to_numpy()[path], len(sizes)).astype(np.float64) for c in "to"}})
+
+    size = words.count()
+    return known.groupBy(_dealt("head", size=size)).cogroup(own.groupBy(_dealt("crown", size=size))).applyInArrow(look_up, "w long, p_t double, p_o double")
+
+
+def learn(texts: DataFrame) -> Model:
+    """The stored model from (toxic, text), without weights.
 
     A word's ratio is that of its spelling, a pair's is what it says beyond its word: the shared probability of the pair, with the
     word's own ratio, is what its class counts are smoothed with.
     """
+    spark = texts.sparkSession
     grams = stash(counted(texts), "grams")
-    met = grams.filter(~F.contains("gram", F.lit(" "))).withColumnRenamed("gram", "word")
+    met = grams.filter("word IS NOT NULL").select("word", "w", "t", "o")
     spelling_ = spelling(met)
-    words = stash(met.join(spelt(met.select("word"), spelling_), "word"), "words")
-    pairs = grams.filter(F.contains("gram", F.lit(" "))).withColumn("h", F.substring_index("gram", " ", 1)).withColumn("word", F.substring_index("gram", " ", -1))
-    rows = pairs.join(words.select("word", "p_t", "p_o"), "word").join(_class_sums(pairs, "h"), "h")
+    words = stash(met.join(spelt(met, spelling_), "w"), "words")
+    pairs = grams.filter("word IS NULL").select("h", "w", "t", "o")
+    buckets = 1 + pairs.count() // ROOM
+    heads = stash(_class_sums(pairs, "h"), "heads")
     p = {c: F.greatest(F.exp(f"p_{c}"), F.lit(1e-300)) for c in "to"}
     both = (p["t"] + p["o"]) / 2
     shared = (F.col("t") + F.col("o") - DISCOUNT + DISCOUNT * F.col("kinds") * both) / (F.col("all_t") + F.col("all_o"))
     ratio = _log_p("t", shared * p["t"] / both) - _log_p("o", shared * p["o"] / both) - F.log(p["t"]) + F.log(p["o"])
-    stored = stash(rows.select("gram", ratio.alias("ratio"), (F.col("t") + F.col("o")).alias("n")), "pairs")
-    discard(grams)
-    return spelling_, words.select(F.col("word").alias("gram"), (F.col("p_t") - F.col("p_o")).alias("ratio"), (F.col("t") + F.col("o")).alias("n")), stored
+    key = _pair_key("h", "w").alias("key")
+    parts = []
+    for k in range(LESSONS):
+        share = F.pmod("w", F.lit(LESSONS)) == k
+        rows = pairs.filter(share).join(words.filter(share).select("w", "p_t", "p_o"), "w").join(heads, "h")
+        parts.append(stash(packed(rows.select(key, ratio.alias("ratio")), buckets), "pairs"))
+    n = (F.col("t") + F.col("o")).alias("n")
+    common = pairs.select(key, n).orderBy(F.col("n").desc(), "key").limit(COMMON).select("key").collect()
+    discard(grams, heads)
+    top = spark.sparkContext.broadcast(np.sort(np.array([r.key for r in common], np.int64).view(np.uint64)))
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keys, ratios = _unpacked(b["keys"], b["ratios"])
+            hit, at = _found(keys, top.value)
+            yield pa.record_batch([pa.array(top.value[hit].view(np.int64)), pa.array(ratios[at])], ["key", "ratio"])
+
+    stored = reduce(DataFrame.unionByName, parts)
+    words = words.select("word", F.col("w").alias("key"), (F.col("p_t") - F.col("p_o")).alias("ratio"), n)
+    rows = words.orderBy(F.col("n").desc(), "word").limit(COMMON).select("key", "ratio").collect() + stored.mapInArrow(pick, "key long, ratio double").collect()
+    keys, ratios = np.array([r.key for r in rows], np.int64).view(np.uint64), np.array([r.ratio for r in rows], np.float64)
+    o = np.argsort(keys)
+    return Model(spelling_, words, stored, buckets, spark.sparkContext.broadcast((keys[o], ratios[o])))
 
 
 def _logistic_of(x: np.ndarray, weights: np.ndarray) -> np.ndarray:
@@ -183,69 +404,125 @@ def features(text: str | None, ratio) -> tuple[float, float]:
 @dataclass(frozen=True)
 class Model:
     spelling: DataFrame
-    words: DataFrame
-    pairs: DataFrame
-    common: object  # broadcast ratios of the commonest words and pairs
+    words: DataFrame  # word, key, ratio, n
+    pairs: DataFrame  # packed
+    buckets: int
+    common: object  # broadcast keys and ratios of the commonest words and pairs
     weights: tuple[float, ...] = (-5.0, 0.0, 0.0)
 
-    def ratios(self, vocabulary: DataFrame) -> DataFrame:
-        """gram, ratio of all words and pairs met, and of the other words of `vocabulary` (word, distinct)."""
-        new = vocabulary.join(self.words.select(F.col("gram").alias("word")), "word", "left_anti")
-        own = spelt(new, self.spelling).select(F.col("word").alias("gram"), (F.col("p_t") - F.col("p_o")).alias("ratio"))
-        return own.unionByName(self.words.select("gram", "ratio")).unionByName(self.pairs.select("gram", "ratio"))
-
-    def measured(self, rows: DataFrame) -> DataFrame:
+    def measured(self, rows: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         """rid, mean, tail of rows (rid, text): the features of each text."""
-        common = self.common
+        common, buckets = self.common, self.buckets
 
         def vocabulary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sent = common.value[0]
             for b in batches:
-                found: set[str] = set()
-                for text in b.column(0).to_pylist():
-                    found.update(tokens_of(text))
-                yield pa.record_batch([pa.array(found.difference(common.value), pa.string())], ["word"])
-
-        said = "array<struct<r:double,n:long>>"
-
-        def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            known = common.value
-            kind = pa.list_(pa.struct([("r", pa.float64()), ("n", pa.int64())]))
+                for found in words_of(b.column(0).to_pylist()):
+                    at = _places(found.hash)
+                    at = at[~_found(sent, found.hash[at])[0]]
+                    own = found.hash[at]
+                    sent = np.sort(np.concatenate([sent if len(sent) < SMALL else common.value[0], own]))
+                    yield pa.record_batch([pa.array(found.spelt(at), pa.string()), pa.array(own.view(np.int64))], ["word", "w"])
+
+        def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            """bucket, chunk, marks: the low halves of the keys that a chunk asks a bucket for."""
+
+            def asked(chunk: int, met: list[np.ndarray]) -> pa.RecordBatch:
+                keys = _different(np.concatenate(met))
+                keys = keys[~_found(common.value[0], keys)[0]]
+                bucket = ((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+                first = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(keys) else np.zeros(0, np.int64)
+                marks = [np.sort(x.astype(np.uint32)).tobytes() for x in np.split(keys, first[1:])][: len(first)]
+                return pa.record_batch([pa.array(bucket[first]), pa.array([chunk] * len(first), pa.int64()), pa.array(marks, pa.binary())], ["bucket", "chunk", "marks"])
+
+            held: defaultdict[int, list[np.ndarray]] = defaultdict(list)
+            total = 0
+            for b in batches:
+                chunks = b.column(0).to_numpy()
+                for chunk in np.unique(chunks):
+                    for found in words_of(b.column(1).filter(pa.array(chunks == chunk)).to_pylist()):
+                        pairs = found.pairs()
+                        held[int(chunk)].append(_different(np.concatenate([found.hash, pair_keys(found.hash[pairs], found.hash[pairs + 1])])))
+                        total += len(held[int(chunk)][-1])
+                if total > KEPT:
+                    yield from (asked(*x) for x in held.items())
+                    held.clear()
+                    total = 0
+            yield from (asked(*x) for x in held.items())
+
+        def answer(model: pa.Table, asked: pa.Table) -> pa.Table:
+            """What the bucket has under the marks; the chunk tells by the whole keys which of it are its own."""
+            keys, ratios = _unpacked(model["keys"], model["ratios"])
+            o = np.argsort(keys.astype(np.uint32), kind="stable")
+            keys, ratios = keys[o], ratios[o]
+            low = keys.astype(np.uint32)
+            twice = np.flatnonzero(low[1:] == low[:-1]) + 1  # marks that another key has as well
+            out: list[list] = [[], []]
+            for x in asked["marks"]:
+                own = np.frombuffer(x.as_py(), np.uint32)
+                at = np.concatenate([_found(low, own)[1], twice[_found(own, low[twice])[0]]])
+                out[0].append(keys[at].tobytes())
+                out[1].append(ratios[at].tobytes())
+            return pa.table({"chunk": asked["chunk"], "keys": pa.array(out[0], pa.binary()), "ratios": pa.array(out[1], pa.binary())})
+
+        def wrap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            """chunk, rids, sizes, texts: what a batch has of a chunk, in UTF-8 and compressed."""
             for b in batches:
-                for at in range(0, len(b), 64):
-                    out: list[list] = [[], [], [], [], [], []]
-                    for rid, text in zip(*(c.to_pylist() for c in b.slice(at, 64).columns), strict=True):
-                        grams, total = grams_of(text)
-                        near = sorted(((known[g], n) for g, n in grams.items() if g in known), reverse=True)
-                        far = [(g, n) for g, n in grams.items() if g not in known]
-                        tops, room = [], max(1, total // TAIL)
-                        for r, n in near:
-                            if room <= 0 or r <= 0:
-                                break
-                            tops.append({"r": r, "n": n})
-                            room -= n
-                        # A text's own row meets no gram: its key holds what is in none.
-                        out[0] += [rid] * (len(far) + 1)
-                        out[1] += [f"\n{rid}", *(g for g, _ in far)]
-                        out[2] += [0, *(n for _, n in far)]
-                        out[3] += [total] + [None] * len(far)
-                        out[4] += [float(sum(r * n for r, n in near))] + [None] * len(far)
-                        out[5] += [tops] + [None] * len(far)
-                    yield pa.record_batch([pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.float64(), kind), strict=True)], ["rid", "gram", "n", "total", "near", "tops"])
-
-        words = rows.select("text").mapInArrow(vocabulary, "word string").distinct()
-        ratios = self.ratios(words).hint("merge")
-        grams = rows.select("rid", "text").mapInArrow(split, f"rid long, gram string, n long, total long, near double, tops {said}")
-        met = grams.join(ratios, "gram", "left").filter(F.col("total").isNotNull() | F.col("ratio").isNotNull())
-        own = F.when(F.col("ratio") > 0, F.array(F.struct(F.col("ratio").alias("r"), "n"))).otherwise(F.array().cast(said))
-        sums = met.groupBy("rid").agg(F.max("total").alias("total"), F.sum(F.coalesce("near", F.col("ratio") * F.col("n"))).alias("all"), F.flatten(F.collect_list(F.coalesce("tops", own))).alias("tops"))
-        room = F.greatest(F.lit(1).cast("long"), F.floor(F.col("total") / TAIL))
-
-        def add(acc, x):
-            took = F.least(acc["room"], x["n"])
-            return F.struct((acc["top"] + x["r"] * took).alias("top"), (acc["room"] - took).alias("room"))
-
-        top = F.aggregate(F.sort_array("tops", False), F.struct(F.lit(0.0).alias("top"), room.alias("room")), add, lambda acc: acc["top"] / room)
-        return sums.select("rid", F.when(F.col("total") > 0, F.col("all") / F.col("total")).otherwise(0.0).alias("mean"), top.alias("tail"))
+                chunks = b.column(0).to_numpy()
+                out: list[list] = [[], [], [], []]
+                for chunk in np.unique(chunks):
+                    own = b.filter(pa.array(chunks == chunk))
+                    texts = [(t or "").encode("utf-8", "surrogatepass") for t in own.column(2).to_pylist()]
+                    values = int(chunk), own.column(1).to_numpy().tobytes(), np.array([len(t) for t in texts], np.int64).tobytes(), zstandard.compress(b"".join(texts), 1)
+                    for column, value in zip(out, values, strict=True):
+                        column.append(value)
+                yield pa.record_batch([pa.array(out[0], pa.int64()), *(pa.array(x, pa.binary()) for x in out[1:])], ["chunk", "rids", "sizes", "texts"])
+
+        def measure(texts: pa.Table, told: pa.Table) -> pa.Table:
+            keys, ratios = _unpacked(told["keys"], told["ratios"])
+            keys, ratios = np.concatenate([common.value[0], keys]), np.concatenate([common.value[1], ratios])
+            o = np.argsort(keys, kind="stable")
+            keys, ratios = keys[o], ratios[o]
+            rids = np.concatenate([np.frombuffer(x.as_py(), np.int64) for x in texts["rids"]] or [np.zeros(0, np.int64)])
+            own = []
+            for sizes, blob in zip(texts["sizes"], texts["texts"], strict=True):
+                letters, end = zstandard.decompress(blob.as_py()), np.cumsum(np.frombuffer(sizes.as_py(), np.int64)).tolist()
+                own += [letters[a:z].decode("utf-8", "surrogatepass") for a, z in zip([0, *end[:-1]], end, strict=True)]
+            of, r, size = [], [], np.zeros(len(rids), np.int64)
+            for found in words_of(own):
+                size += np.bincount(found.text, minlength=len(rids))
+                pairs = found.pairs()
+                asked = np.concatenate([found.hash, pair_keys(found.hash[pairs], found.hash[pairs + 1])])
+                hit, at = _found(keys, asked)
+                of.append(np.concatenate([found.text, found.text[pairs]])[hit])
+                r.append(ratios[at])
+            of, r = np.concatenate(of), np.concatenate(r)
+            room = np.maximum(1, size // TAIL)
+            up = np.flatnonzero(r > 0)
+            up = up[np.lexsort((-r[up], of[up]))]
+            up = up[np.arange(len(up)) - np.searchsorted(of[up], of[up]) < room[of[up]]]
+            mean = np.bincount(of, r, len(rids)) / np.maximum(1, size)
+            return pa.table({"rid": rids, "mean": mean, "tail": np.bincount(of[up], r[up], len(rids)) / room})
+
+        words = rows.select("text").mapInArrow(vocabulary, "word string, w long").distinct()
+        new = stash(words.join(self.words.select("word"), "word", "left_anti"), "new")
+        own = spelt(new, self.spelling).select(F.col("w").alias("key"), (F.col("p_t") - F.col("p_o")).alias("ratio"))
+        known = stash(packed(own.unionByName(self.words.select("key", "ratio")), buckets), "known")
+        discard(new)
+        model = self.pairs.unionByName(known)
+        # The longer a text, the fewer rows are a chunk, so that none exceeds FULL characters unless one text does.
+        bits = F.least(F.lit(CHUNK), F.greatest(F.lit(0), F.floor(F.log2(FULL / F.greatest(F.lit(1), F.coalesce(F.length("text"), F.lit(0)))))))
+        chunks = rows.select("rid", "text", bits.cast("int").alias("bits")).select((F.expr("shiftright(rid, bits)") * 32 + F.col("bits")).alias("chunk"), "rid", "text")
+        parts = []
+        for k in range(rounds):
+            own = chunks.filter(F.pmod(F.xxhash64("chunk"), F.lit(rounds)) == k)
+            asked = own.select("chunk", "text").mapInArrow(ask, "bucket long, chunk long, marks binary")
+            texts = own.mapInArrow(wrap, "chunk long, rids binary, sizes binary, texts binary")
+            told = model.groupBy("bucket").cogroup(asked.groupBy("bucket")).applyInArrow(answer, "chunk long, keys binary, ratios binary")
+            out = texts.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(measure, "rid long, mean double, tail double")
+            parts.append(stash(out, "measured"))
+        discard(known)
+        return reduce(DataFrame.unionByName, parts)
 
     def scored(self, rows: DataFrame) -> DataFrame:
         """rid, score from 0 to 1 of rows (rid, text); null and empty texts get the score of no evidence."""
@@ -255,20 +532,22 @@ class Model:
 
     def score(self, text: Column) -> Column:
         """The same as a column, for models of SMALL rows at most: these go to the workers whole."""
-        if self.spelling.count() + self.pairs.count() > SMALL:
+        if self.spelling.count() + (self.pairs.agg(F.sum(F.octet_length("keys"))).first()[0] or 0) // 8 > SMALL:
             raise ValueError("this model is too large for a column; use scored()")
-        parents = {r.parent: {k: v.t - v.o for k, v in r.letters.items()} for r in self.spelling.collect()}
-        pairs = {r.gram: r.ratio for r in self.pairs.collect()}
-        shared, weights = self.pairs.sparkSession.sparkContext.broadcast((parents, pairs)), np.array(self.weights)
+        letters = {r.parent + r.letter: r.t - r.o for r in self.spelling.collect()}
+        pairs = {k: v for r in self.pairs.collect() for k, v in zip(np.frombuffer(r["keys"], np.uint64).tolist(), np.frombuffer(r.ratios).tolist(), strict=True)}
+        shared, weights = self.pairs.sparkSession.sparkContext.broadcast((letters, pairs)), np.array(self.weights)
 
         @F.arrow_udf(DoubleType())
         def run(texts: pa.Array) -> pa.Array:
-            parents, pairs = shared.value
+            letters, pairs = shared.value
 
             def ratio(gram: str) -> float:
                 if " " in gram:
-                    return pairs.get(gram, 0.0)
-                return sum(parents.get(gram[:k], {}).get(letter, 0.0) for k, letter in enumerate(gram + END))
+                    found = next(words_of([gram]))
+                    return pairs.get(int(pair_keys(found.hash[:1], found.hash[1:])[0]), 0.0)
+                word = gram + END
+                return sum(letters.get(word[:k], 0.0) for k in range(1, len(word) + 1))
 
             x = np.array([(1.0, *features(t.as_py(), ratio)) for t in texts]).reshape(-1, 3)
             return pa.array(_logistic_of(x, weights))
@@ -301,18 +580,17 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     Null labels and labels without a document are left out; of repeated labels the largest holds, repeated documents count each
     time, null ids match nothing, null texts hold no words. Without labels of both classes all scores are below 0.5.
     """
-    spark = docs.sparkSession
     known = labels.filter(F.col(toxic).isNotNull() & (fold(doc_id) != 0)).groupBy(F.col(doc_id).alias("doc_id")).agg(F.max(toxic).cast("int").alias("toxic"))
     texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).filter(fold(doc_id) != 0)
     # Labels grow with the documents, so both sides are always shuffled.
-    joined = texts.join(known.hint("merge"), "doc_id").withColumn("fold", fold("doc_id"))
-    spelling_, words, pairs = learn(joined.filter(F.col("fold") < FOLDS - 1))
-    model = Model(spelling_, words, pairs, spark.sparkContext.broadcast({}))
-    common = {r.gram: r.ratio for rows in (words, pairs) for r in rows.orderBy(F.col("n").desc(), "gram").select("gram", "ratio").limit(COMMON).collect()}
-    model = replace(model, common=spark.sparkContext.broadcast(common))
+    labelled = stash(texts.join(known.hint("merge"), "doc_id"), "labelled")
+    model = learn(labelled.filter(fold("doc_id") < FOLDS - 1))
     chosen = known.filter(fold("doc_id") == FOLDS - 1).orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_ROWS)
-    fit = keyed(stash(texts.join(F.broadcast(chosen), "doc_id").select("toxic", "text"), "fit"), toxic="toxic", text="text")
-    rows = model.measured(fit.select("rid", "text")).join(fit.select("rid", "toxic"), "rid").select("toxic", "mean", "tail").collect()
+    stored = stash(labelled.join(F.broadcast(chosen.select("doc_id")), "doc_id").select("toxic", "text"), "fit")
+    discard(labelled)
+    fit = keyed(stored, toxic="toxic", text="text")
+    rows = model.measured(fit.select("rid", "text"), rounds=1).join(fit.select("rid", "toxic"), "rid").select("toxic", "mean", "tail").collect()
+    discard(stored)
     y = np.array([r["toxic"] for r in rows], np.float64)
     if len(set(y.tolist())) < 2:
         return model

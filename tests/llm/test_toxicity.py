@@ -1,12 +1,14 @@
 """Toxicity models: contexts stay apart, whole words and pairs count, the join and the column agree."""
 
+import os
+
 import numpy as np
 import pytest
 from cases import AWKWARD, frame
 from pyspark.sql import functions as F
 
 from railloom.llm import toxicity
-from railloom.llm.common import keyed
+from railloom.llm.common import keyed, shared_folder
 
 BAD, FINE = "understandzzq", "understandmmo"  # alike for more than eight letters
 
@@ -76,3 +78,43 @@ def test_join_and_column_agree(spark, texts, monkeypatch, common):
     assert all(abs(got[k] - want[k]) < 1e-9 for k in got)
     assert len({round(x, 6) for x in got.values()}) > 10
     assert model.scored(keyed(stored.limit(0), text="text")).count() == 0
+
+
+ODD = [*AWKWARD, "x" * 200 + " " + "é" * 64 + "y", "İstanbul ΑΣ ΑΣ. ²½ ⅷ a_b", "", "the end the end"]
+
+
+@pytest.mark.parametrize("block", [1 << 22, 50])
+def test_words_of_texts_are_their_tokens(monkeypatch, block):
+    monkeypatch.setattr(toxicity, "BLOCK", block)
+    got, hashes = [[] for _ in ODD], {}
+    for found in toxicity.words_of(ODD):
+        for text, word, h in zip(found.text.tolist(), found.spelt(np.arange(len(found.text))), found.hash.tolist(), strict=True):
+            got[text].append(word)
+            assert hashes.setdefault(h, word) == word
+    assert got == [toxicity.tokens_of(t) for t in ODD] and len(set(hashes.values())) == len(hashes)
+
+
+def test_places_hold_each_key_once(monkeypatch):
+    monkeypatch.setattr(toxicity, "SLOTS", np.uint64(3))
+    keys = np.random.default_rng(1).integers(0, 40, 500, dtype=np.uint64)
+    assert sorted(keys[toxicity._places(keys)].tolist()) == np.unique(keys).tolist()
+
+
+def test_only_the_model_stays_on_disk(spark, texts):
+    folder = shared_folder(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    labels = spark.createDataFrame([(k, int(k % 4 == 0)) for k in range(300)], "doc_id long, toxic int")
+    toxicity.train(frame(spark, texts[:300]), labels)
+    left = {name.split("-")[0] for name in set(os.listdir(folder)) - before}
+    assert not left & {"grams", "letters", "labelled", "heads", "new", "known", "fit"}
+
+
+def test_chunks_of_a_few_rows_in_many_buckets_give_the_same(spark, texts, model, monkeypatch):
+    stored = frame(spark, [*texts[:40], *ODD]).localCheckpoint()
+    want = {r.rid: r.s for r in keyed(stored, text="text").select("rid", model.score(F.col("text")).alias("s")).collect()}
+    monkeypatch.setattr(toxicity, "CHUNK", 1)
+    monkeypatch.setattr(toxicity, "ROOM", 50)
+    labels = spark.createDataFrame([(k, int(k % 4 == 0)) for k in range(len(texts))], "doc_id long, toxic int")
+    small = toxicity.train(frame(spark, texts), labels)
+    got = {r.rid: r.score for r in small.scored(keyed(stored, text="text")).collect()}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in got)
