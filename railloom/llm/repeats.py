@@ -26,9 +26,9 @@ LENGTH = 100  # bytes of a string
 GRAM = 32  # bytes of a k-gram
 BIN = 32  # strings of a piece
 STEP = 20  # bytes of a symbol
-SPAN = 1 << 20  # bytes worked on at once
-SHARD = 1 << 17  # bytes of a shard
-BATCH = 1 << 20  # bytes of pieces merged at once
+SPAN = 1 << 16  # bytes worked on at once, so few that their arrays stay in a core's cache
+SHARD = 1 << 14  # bytes of a shard
+BATCH = 1 << 16  # bytes of pieces merged at once
 CROWD = 4096  # pieces of a group in one task; in larger groups each string is counted on its own
 GRAMS_OF_STRING = LENGTH - GRAM + 1
 STRETCH = "rid long, doc_id long, key long, mark binary, start long, size int, anchor int, body binary"
@@ -107,7 +107,7 @@ def _file(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rids = batch.column(0).to_numpy()
         for text, _, _, key, _ in stretches(_bytes(batch.column(1))):
-            o = np.lexsort((key, text))
+            o = np.argsort(key.view(np.uint64) + text.astype(np.uint64) * _LETTERS[0])  # one number for both: equal rows come together
             first = np.ones(len(o), bool)
             first[1:] = (key[o][1:] != key[o][:-1]) | (text[o][1:] != text[o][:-1])
             n = np.diff(np.append(np.flatnonzero(first), len(o))).astype(np.int32)
@@ -335,11 +335,11 @@ def repeats_of(pieces: DataFrame) -> DataFrame:
 
 def repeated_spans(rows: DataFrame) -> DataFrame:
     """rid and an array of (start, end), in bytes, that cover what is to go, from rows (rid, doc_id, text)."""
-    filed = rows.select("rid", "text").mapInArrow(_file, "key long, rid long, n int")
+    filed = stash(rows.select("rid", "text").mapInArrow(_file, "key long, rid long, n int"), "filed")
     twice = filed.groupBy("key").agg(F.sum("n").alias("n")).filter("n > 1").select("key")
     wanted = stash(filed.join(twice.hint("merge"), "key", "left_semi").groupBy("rid").agg(F.collect_set("key").alias("keys")), "keys")
     found = stash(rows.join(wanted.hint("merge"), "rid").select("rid", "doc_id", "text", "keys").mapInArrow(_cut_out, STRETCH), "stretches")
-    discard(wanted)
+    discard(wanted, filed)
 
     start = F.struct("doc_id", "rid", "start")
     bodies = found.filter("body IS NOT NULL").groupBy("key", "mark")
