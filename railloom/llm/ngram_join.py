@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest, xxh3_128_digest
 
-from .common import fresh, keyed, numbered, remembers, settled, stash, table
+from .common import fresh, keyed, numbered, remembers, settled, stash, table, tidy
 from .components import components
 from .dense import SCHEMA, blocks_of, combined
 
@@ -71,7 +71,7 @@ def ngram_ranks(texts: DataFrame, words: int) -> np.ndarray:
                 np.add.at(cells, (ngrams(t.as_py(), words) & np.uint64(CELLS - 1)).astype(np.int64), np.uint32(1))
         yield from blocks_of(cells)
 
-    counts = combined(texts.mapInArrow(count, SCHEMA), CELLS, "uint32")
+    counts = combined(texts.mapInArrow(tidy(count), SCHEMA), CELLS, "uint32")
     return np.minimum(2 * np.log2(counts + 1.0), (1 << RANK_BITS) - 1).astype(np.uint8)
 
 
@@ -98,7 +98,7 @@ def _sign(words: int, share: int, ranks):
                 prefixes.append(keys[: prefix_size(len(keys), share)] if len(keys) else keys)
             yield pa.record_batch([batch.column(0), pa.array(n, pa.int32()), pa.array(marks, pa.binary()), pa.array(prefixes, pa.list_(pa.int64()))], schema=schema)
 
-    return run
+    return tidy(run)
 
 
 def _sets(words: int, ranks):
@@ -108,7 +108,7 @@ def _sets(words: int, ranks):
         for batch in batches:
             yield pa.record_batch([batch.column(0), pa.array([ordered(ngrams(t.as_py(), words), ranks.value) for t in batch.column(1)], pa.list_(pa.int64()))], schema=schema)
 
-    return run
+    return tidy(run)
 
 
 def walk(one: np.ndarray, others: list[np.ndarray], share: int) -> list[bool]:
@@ -169,7 +169,7 @@ def _verify(share: int):
         if ids and (out := close()):
             yield out
 
-    return run
+    return tidy(run)
 
 
 def verified(pairs: DataFrame, texts: DataFrame, words: int, share: int, ranks) -> DataFrame:

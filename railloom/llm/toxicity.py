@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 from xxhash import xxh64_intdigest
 
-from .common import discard, keyed, stash, table
+from .common import discard, keyed, remembers, stash, table, tidy, tidy_group, tidy_groups
 
 CELLS = 1 << 20
 LONGEST = 64  # letters of a token; longer runs are several tokens, one after the other
@@ -123,6 +123,7 @@ def words_of(texts: list[str | None]) -> Iterator[Words]:
 
 
 def _words_of(lowered: list[str], first: int) -> Words:
+    remembers("toxicity", _alphabet.cache_clear)
     numbers, powers = _alphabet()
     letters = "\n".join([*lowered, ""]) or "\n"
     codes = np.frombuffer(letters.encode("utf-32-le", "surrogatepass"), np.uint32)
@@ -270,7 +271,7 @@ def counted(texts: DataFrame, buckets: int) -> DataFrame:
         at, t, o = _summed(pair_keys(h, w), t, o)
         return pa.Table.from_batches([table([rows(part, h[at], w[at], t, o, [])])])
 
-    return texts.select("toxic", "text").mapInArrow(count, COUNTED).groupBy("part").applyInArrow(merge, COUNTED)
+    return texts.select("toxic", "text").mapInArrow(tidy(count), COUNTED).groupBy("part").applyInArrow(tidy_group(merge), COUNTED)
 
 
 def _by(home: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -472,7 +473,7 @@ def spelling(words: DataFrame, buckets: int) -> DataFrame:
                     ["part", "gram", "t", "o", "n"],
                 )
 
-    steps = stash(words.select("part", "t", "o", "words").mapInArrow(cut, "part long, gram string, t long, o long, n long"), "letters")
+    steps = stash(words.select("part", "t", "o", "words").mapInArrow(tidy(cut), "part long, gram string, t long, o long, n long"), "letters")
     crowns = steps.filter("n IS NULL").select(F.col("gram").alias("word"), "t", "o")
     low = stash(_steps(crowns, "t", "o").groupBy("parent", "letter").agg(F.sum("t").alias("t"), F.sum("o").alias("o")), "low").withColumn("context", _context("parent"))
     high = steps.filter("n IS NOT NULL").withColumn("context", F.substring("gram", 1, LOWER)).withColumn("letter", F.substring("gram", LOWER + 1, 1))
@@ -493,7 +494,7 @@ def spelling(words: DataFrame, buckets: int) -> DataFrame:
 
     none = F.lit(None).cast("double")
     known = high.join(p, ["context", "letter"]).select("part", "gram", "p", none.alias("t"), none.alias("o"))
-    known = known.unionByName(starts.select("gram", "t", "o").mapInArrow(deal, "part long, gram string, p double, t double, o double"))
+    known = known.unionByName(starts.select("gram", "t", "o").mapInArrow(tidy(deal), "part long, gram string, p double, t double, o double"))
     most = 1 + COMMON // buckets if COMMON else 0
 
     def spell(words: pa.Table, known: pa.Table) -> pa.Table:
@@ -524,7 +525,7 @@ def spelling(words: DataFrame, buckets: int) -> DataFrame:
         kinds = pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()
         return pa.table([pa.array(x, k) for x, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["part", "home", "keys", "t", "o"])
 
-    out = stash(words.groupBy("part").cogroup(known.groupBy("part")).applyInArrow(spell, SPELT), "spelling")
+    out = stash(words.groupBy("part").cogroup(known.groupBy("part")).applyInArrow(tidy_groups(spell), SPELT), "spelling")
     discard(steps, logs)
     return out
 
@@ -577,9 +578,9 @@ def learn(texts: DataFrame, chars: int) -> Model:
     parts = []
     for k in range(LESSONS):
         own = pairs.filter(F.pmod("part", F.lit(LESSONS)) == k)
-        asked = own.select("part", "w").mapInArrow(ask, "home long, part long, w binary")
-        words = told.filter("home IS NOT NULL").groupBy("home").cogroup(asked.groupBy("home")).applyInArrow(answer, "part long, w binary, t binary, o binary")
-        parts.append(stash(own.groupBy("part").cogroup(words.groupBy("part")).applyInArrow(finish, PACKED), "pairs"))
+        asked = own.select("part", "w").mapInArrow(tidy(ask), "home long, part long, w binary")
+        words = told.filter("home IS NOT NULL").groupBy("home").cogroup(asked.groupBy("home")).applyInArrow(tidy_groups(answer), "part long, w binary, t binary, o binary")
+        parts.append(stash(own.groupBy("part").cogroup(words.groupBy("part")).applyInArrow(tidy_groups(finish), PACKED), "pairs"))
     common = told.filter("part IS NULL AND home IS NULL").select("keys", "t").collect()  # arrays of COMMON words in all, about
     letters = stash(told.filter("part IS NOT NULL").select("part", "keys", F.col("t").alias("ratios")), "spelt")
     discard(grams, told)
@@ -725,9 +726,9 @@ class Model:
         parts = []
         for k in range(rounds):
             own = rows.filter(share == k) if rounds > 1 else rows
-            asks = own.select("rid", "text").mapInArrow(ask, ASKED)
-            told = model.groupBy("part").cogroup(asks.groupBy("part")).applyInArrow(answer, TOLD)
-            parts.append(stash(told.groupBy("chunk").applyInArrow(measure, "rid long, mean double, tail double"), "measured"))
+            asks = own.select("rid", "text").mapInArrow(tidy(ask), ASKED)
+            told = model.groupBy("part").cogroup(asks.groupBy("part")).applyInArrow(tidy_groups(answer), TOLD)
+            parts.append(stash(told.groupBy("chunk").applyInArrow(tidy_group(measure), "rid long, mean double, tail double"), "measured"))
         return reduce(DataFrame.unionByName, parts)
 
     def weighed(self, measured: DataFrame) -> DataFrame:
