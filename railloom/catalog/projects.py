@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from ..functions import core as C
 from ..operators import actions as A
+from ..operators.stores import stored
 from .fixtures import _PREFIX as RUN_PREFIX
 from .registry import query, rnd
 
@@ -143,9 +144,11 @@ _CHAIN = ", ".join([shift_sql("fx_itin", "x5"), cut_sql("x5", "x2"), station_sql
 
 @query("d28_all_actions", f"WITH {_CHAIN} {_sel('x4')}")
 def all_actions(t):
+    t.keep("fx_itin", "fx_pair", "fx_span")  # every action and its coded rows are read from them
+    cuts = stored(cut_rows(t), "cuts")
     return _out(
         A.apply_actions(
-            _base(t), shifts=t["fx_shift"], cuts=cut_rows(t), whole_lines=whole_lines(t), stations=t["fx_station"],
+            _base(t), shifts=t["fx_shift"], cuts=cuts, whole_lines=whole_lines(t), stations=t["fx_station"],
             spans=t["fx_span"], extensions=t["fx_extension"], tod="2", layout=t.layout,
         )
     )

@@ -16,6 +16,7 @@ from ..functions.core import line_group, period_value, revised_description, roun
 from ..session import durable
 from .geometry import chain_nodes
 from .sequence import RUNS, RunLayout, scan
+from .stores import forget, stored
 from .tables import cut_by_range, first_per_key, rows_from
 
 # Order in which the actions are applied.
@@ -26,6 +27,19 @@ def _with_group(itin: DataFrame) -> DataFrame:
     return itin if "ln" in itin.columns else itin.withColumn("ln", line_group("tr_line"))
 
 
+def _reading(rows: DataFrame, *states: DataFrame) -> DataFrame:
+    """`rows` with the stored states it reads, to be forgotten when it is written."""
+    rows.reads = states
+    return rows
+
+
+def _next(itin: DataFrame, old: DataFrame | None = None) -> DataFrame:
+    """The itineraries after an action, written; what only they were read from goes."""
+    new = stored(itin, "itineraries")
+    forget(*getattr(itin, "reads", ()), *([] if old is None else [old]))
+    return new
+
+
 def _renumber(rows: DataFrame, by: Sequence[str], order: list[str], layout: RunLayout) -> DataFrame:
     key = [*by, "tr_line"]
     out = scan(rows, key, order, bucket=layout.bucket(order[0]), number="_r")
@@ -108,7 +122,7 @@ def add_stations(
     """
     on = [*by, "ln", "itin_a", "itin_b"]
     new = first_per_key(coded.select(*on, "new", F.col("dw_code").alias("share")), on, ["new"])
-    all_rows = _with_group(itin).join(new, on, "left")
+    all_rows = stored(_with_group(itin).join(new, on, "left"), "stations")
     cut = all_rows.filter(F.col("new") > 0).withColumn("rate", stop_share("share", tod))
     cut = allocate_stops(cut, [*on, "new"], ["dep_time", "tr_line", "it_order"])
     half = round_half_away(F.col("trv_time") / 2 + 0.5, 1)
@@ -128,7 +142,7 @@ def add_stations(
     kept = all_rows.filter(F.coalesce(F.col("new") <= 0, F.lit(True))).withColumn("half", F.lit(1))
     cols = [*itin.columns, "half"]
     both = kept.select(*cols).unionByName(parts.select(*cols))
-    return _renumber(both, by, ["it_order", "half"], layout).select(*itin.columns)
+    return _reading(_renumber(both, by, ["it_order", "half"], layout).select(*itin.columns), all_rows)
 
 
 # --- 7: consolidated station --------------------------------------------------------------------------
@@ -139,14 +153,18 @@ def mark_spans(itin: DataFrame, coded: DataFrame, by: Sequence[str] = (), layout
 
     Adds `new` (null outside the span), `at_start`, `at_end` and `total`, the time of the span. Runs that
     already touch a coded station are left alone, and so are runs that never reach the end of the span.
-    All steps scan the runs in one order, so they share one shuffle.
+    All steps scan the runs in one order, so they share one shuffle. Rows are written between the joins before.
     """
     key, on = [*by, "tr_line"], [*by, "ln", "itin_a"]
     span = coded.select(*by, "ln", F.col("start_node").alias("itin_a"), F.col("end_node").alias("_end"), F.col("new").alias("_new"))
     rows = _with_group(itin).join(first_per_key(span, on, ["_end", "_new"]), on, "left")
     known = coded.select(*by, "new").distinct()
+    old = None
     for end, flag in (("itin_a", "_ka"), ("itin_b", "_kb")):
-        rows = rows.join(known.withColumnRenamed("new", end).withColumn(flag, F.lit(1)), [*by, end], "left")
+        before, old = old, stored(rows, "spans")
+        rows = old.join(known.withColumnRenamed("new", end).withColumn(flag, F.lit(1)), [*by, end], "left")
+        if before is not None:
+            forget(before)
 
     def step(df, **outputs):
         return scan(df, key, ["it_order"], bucket=layout.bucket("it_order"), **outputs)
@@ -167,7 +185,7 @@ def mark_spans(itin: DataFrame, coded: DataFrame, by: Sequence[str] = (), layout
             "at_end": F.col("_in") & F.col("_closes"),
         }
     )
-    return rows.select(*itin.columns, "new", "at_start", "at_end", "total")
+    return _reading(rows.select(*itin.columns, "new", "at_start", "at_end", "total"), old)
 
 
 def consolidate_stations(itin: DataFrame, coded: DataFrame, by: Sequence[str] = (), layout: RunLayout = RUNS) -> DataFrame:
@@ -175,7 +193,7 @@ def consolidate_stations(itin: DataFrame, coded: DataFrame, by: Sequence[str] =
 
     Coded rows (ln, start_node, end_node, new). Both new segments take half of the total less half a minute.
     """
-    rows = mark_spans(itin, coded, by, layout)
+    marked = rows = mark_spans(itin, coded, by, layout)
     inside, new = F.col("new").isNotNull(), F.col("new").cast("int")
     rows = rows.filter(~inside | F.col("at_start") | F.col("at_end"))
     half = round_half_away(F.col("total") / 2 - 0.5, 1)
@@ -195,7 +213,7 @@ def consolidate_stations(itin: DataFrame, coded: DataFrame, by: Sequence[str] =
     rows = rows.withColumns(
         {"half": F.col("_v.half"), "itin_a": F.col("_v.a"), "itin_b": F.col("_v.b"), "trv_time": F.col("_v.t")}
     )
-    return _renumber(rows, by, ["it_order", "half"], layout).select(*itin.columns)
+    return _reading(_renumber(rows, by, ["it_order", "half"], layout).select(*itin.columns), *marked.reads)
 
 
 # --- 4: line extension --------------------------------------------------------------------------------
@@ -287,17 +305,21 @@ def apply_actions(
 ) -> DataFrame:
     """All actions in their fixed order; an absent table leaves its action out.
 
-    Actions that read the itineraries several times start from a written state, so earlier actions run once.
+    The itineraries are written between two actions and the state before is deleted, so that the disk holds two states and the shuffle
+    of one action, and earlier actions run once.
     """
-    if shifts is not None:
-        itin = shift_terminus(itin, shifts, by)
-    if cuts is not None:
-        whole = whole_lines if whole_lines is not None else cuts.select(*by, "ln").limit(0)
-        itin = cut_times(itin, cuts, whole, by)
-    if stations is not None:
-        itin = add_stations(durable(itin), stations, tod, by, layout)
-    if spans is not None:
-        itin = consolidate_stations(itin, spans, by, layout)
-    if extensions is not None:
-        itin = extend_lines(durable(itin), extensions, by, layout)
-    return itin
+    old, last = None, None
+    whole = whole_lines if whole_lines is not None or cuts is None else cuts.select(*by, "ln").limit(0)
+    actions = (
+        (shifts, lambda i: shift_terminus(i, shifts, by)),
+        (cuts, lambda i: cut_times(i, cuts, whole, by)),
+        (stations, lambda i: add_stations(i, stations, tod, by, layout)),
+        (spans, lambda i: consolidate_stations(i, spans, by, layout)),
+        (extensions, lambda i: extend_lines(i, extensions, by, layout)),
+    )
+    for coded, action in actions:
+        if coded is not None:
+            if last is not None:
+                itin = old = _next(last(itin), old)
+            last = action
+    return itin if last is None else last(itin)
